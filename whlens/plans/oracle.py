@@ -173,8 +173,10 @@ def _min_max_sql(tables) -> str:
     for t in tables:
         for c, kind in PROFILE_COLUMNS[t]:
             if kind == "n":
-                parts.append(f"select '{t}' as TableName, '{c}' as ColumnName, cast(min({c}) as double) as MinValue, "
-                             f"cast(max({c}) as double) as MaxValue from {t}")
+                # + 0.0 turns DuckDB's -0.0 minimum of zeros into 0.0
+                parts.append(f"select '{t}' as TableName, '{c}' as ColumnName, "
+                             f"cast(min({c}) as double) + 0.0 as MinValue, "
+                             f"cast(max({c}) as double) + 0.0 as MaxValue from {t}")
     return "\nunion all\n".join(parts)
 
 
@@ -183,8 +185,8 @@ def _stats_sql(tables, schema) -> str:
     for t in tables:
         for c, kind in PROFILE_COLUMNS[t]:
             ds = f"cast(sum(length({c})) as double)" if kind == "s" else "cast(null as double)"
-            lo = f"cast(min({c}) as double)" if kind == "n" else "cast(null as double)"
-            hi = f"cast(max({c}) as double)" if kind == "n" else "cast(null as double)"
+            lo = f"cast(min({c}) as double) + 0.0" if kind == "n" else "cast(null as double)"
+            hi = f"cast(max({c}) as double) + 0.0" if kind == "n" else "cast(null as double)"
             parts.append(
                 f"select '{c}' as column_name, {ds} as data_size, cast(count(distinct {c}) as double) "
                 f"as distinct_values_count, case when count(*) = 0 then null else (count(*) - count({c})) / "
@@ -218,9 +220,14 @@ _NULL_METRICS = ["read_remote_bytes", "write_remote_bytes", "read_cache_bytes",
                  "pruned_files_count", "provisioning_queue_start_timestamp", "overloading_queue_start_timestamp"]
 
 
+def _ms(expr: str) -> str:
+    """Epoch milliseconds, truncated (DuckDB's epoch_ms rounds)."""
+    return f"(epoch_us({expr}) // 1000)"
+
+
 def _rest_sql() -> str:
-    s_ms = f"epoch_ms(timestamp '{R.EV_START} 00:00:00')"
-    e_ms = f"epoch_ms(timestamp '{R.EV_END} 00:00:00' + interval 1 day) - 1"
+    s_ms = _ms(f"timestamp '{R.EV_START} 00:00:00'")
+    e_ms = _ms(f"(timestamp '{R.EV_END} 00:00:00' + interval 1 day)") + " - 1"
     metric = {
         "total_time_ms": "cast(trunc(value * 1000) as bigint)",
         "read_bytes": "n_chars",
@@ -228,17 +235,17 @@ def _rest_sql() -> str:
         "compilation_time_ms": "cast(null as bigint)",
         "execution_time_ms": "cast(trunc(value * 900) as bigint)",
         "result_from_cache": "event_id % 7 = 0",
-        "query_compilation_start_timestamp": "epoch_ms(ts) - 5",
+        "query_compilation_start_timestamp": f"{_ms('ts')} - 5",
     }
     metric.update({n: "cast(null as bigint)" for n in _NULL_METRICS})
     from whlens.sources.json_pages import HISTORY_METRICS
     mcols = ", ".join(f"{metric[n]} as {n}" for n, _ in HISTORY_METRICS)
     return f"""
         select cast(event_id as varchar) as query_id, text as query_text, user_id,
-               concat('user', cast(user_id as varchar)) as "user", epoch_ms(ts) as start_time,
-               epoch_ms(ts) + cast(trunc(value * 1000) as bigint) as end_time, 'FINISHED' as status, {mcols}
+               concat('user', cast(user_id as varchar)) as "user", {_ms('ts')} as start_time,
+               {_ms('ts')} + cast(trunc(value * 1000) as bigint) as end_time, 'FINISHED' as status, {mcols}
         from events e left join documents d on e.event_id = d.doc_id
-        where e.event_type <> 'error' and epoch_ms(ts) between {s_ms} and {e_ms}
+        where e.event_type <> 'error' and {_ms('ts')} between {s_ms} and {e_ms}
           and not contains(coalesce(text, ''), 'This is a system generated query from sql editor')
           and not contains(coalesce(text, ''), 'SELECT * FROM system.information_schema')
           and not contains(coalesce(text, ''), 'SET use_cached_result = false ')"""
@@ -294,8 +301,8 @@ def oracle_sql() -> dict[str, str]:
         where start_time >= {EV_S} and start_time < {EV_E1} group by 1""", "query_history")
     q["rest_history"] = _rest_sql()
     q["history_epoch_ms"] = f"""
-        select event_id, epoch_ms(ts) as start_time_ms, event_type from events
-        where epoch_ms(ts) between epoch_ms({EV_S}) and epoch_ms({EV_E1}) - 1"""
+        select event_id, {_ms('ts')} as start_time_ms, event_type from events
+        where {_ms('ts')} between {_ms(EV_S)} and {_ms(EV_E1)} - 1"""
     q["exclude_system_queries"] = "select * from documents where not contains(coalesce(text, ''), 'License')"
     q["nested_to_json"] = ("select event_id, to_json({'event_type': event_type, 'user_id': user_id}) as detail "
                            "from events")
