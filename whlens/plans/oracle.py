@@ -146,7 +146,7 @@ def with_roles(sql: str, *names: str, extra: dict[str, str] | None = None) -> st
 
 
 def _metric_sql(columns, ts):
-    cols = ", ".join(f"{metric_column_rule(n, i)[1]} as {n}" for i, n in enumerate(columns))
+    cols = ", ".join(f"{metric_column_rule(n, i)} as {n}" for i, n in enumerate(columns))
     return (f"select {', '.join(columns)} from (select {cols}, o_totalprice as extra_column from orders) m "
             f"where {ts} between timestamp '{R.STATS_START} 00:00:00' and timestamp '{R.STATS_END} 00:00:00'")
 

@@ -227,21 +227,21 @@ TIME_COLUMNS = {"starttime", "queue_start_time", "exec_start_time", "service_cla
 TEXT_COLUMNS = {"service_class_name", "query_priority", "final_state", "database"}
 
 
-def metric_column_rule(name: str, i: int) -> tuple[Column, str]:
-    """How a metric-table role column is derived from ``orders`` (Spark
-    column, DuckDB SQL): times from the order date, text from the priority,
-    numbers from the order key."""
+def metric_column_rule(name: str, i: int) -> str:
+    """How a metric-table role column is derived from ``orders``, as a SQL
+    expression both Spark and DuckDB read: times from the order date, text
+    from the priority, numbers from the order key."""
     if name in TIME_COLUMNS:
-        return c("o_orderdate"), "o_orderdate"
+        return "o_orderdate"
     if name in TEXT_COLUMNS:
-        return c("o_orderpriority"), "o_orderpriority"
-    return (c("o_orderkey") * (i + 1)) % 1000, f"(o_orderkey * {i + 1}) % 1000"
+        return "o_orderpriority"
+    return f"(o_orderkey * {i + 1}) % 1000"
 
 
 def metric_table(t: Tables, columns) -> DataFrame:
     """A metric system table with ``columns`` plus one extra column the
     export must not carry."""
-    cols = [metric_column_rule(n, i)[0].alias(n) for i, n in enumerate(columns)]
+    cols = [F.expr(metric_column_rule(n, i)).alias(n) for i, n in enumerate(columns)]
     return t["orders"].select(*cols, c("o_totalprice").alias("extra_column"))
 
 
