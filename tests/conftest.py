@@ -13,8 +13,10 @@ SF0001 = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from whlens.session import build_session, ensure_checkpoint_dir
+    wh = tempfile.mkdtemp(prefix="whlens-wh-")
     s = build_session("local[4]", "whlens-tests", shuffle_partitions=8,
-                      extra_conf={"spark.driver.memory": "4g"})
+                      extra_conf={"spark.driver.memory": "4g", "spark.sql.warehouse.dir": wh,
+                                  "spark.driver.extraJavaOptions": f"-Dderby.system.home={wh}"})
     ensure_checkpoint_dir(s)
     yield s
     s.stop()

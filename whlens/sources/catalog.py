@@ -30,7 +30,7 @@ def live_catalog_columns(spark: SparkSession, catalog: str | None = None,
         for t in spark.catalog.listTables(db):
             if t.isTemporary:
                 continue
-            for c in spark.catalog.listColumns(t.name, db):
+            for c in spark.catalog.listColumns(f"{db}.{t.name}"):
                 rows.append((cat, db, t.name, c.name, "YES" if c.nullable else "NO", c.dataType))
     return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in CATALOG_COLUMNS))
 
