@@ -1,9 +1,10 @@
 """Catalog inventories: metadata joins, lookups and visibility (J3, J7, J8,
 J10-J15, C11, C14, A7).
 
-Catalog tables are small by nature, so lookups are broadcast — always after a
-row-count check (``maybe_broadcast``); above the bound they become ordinary
-shuffled joins. Vendor functions without a Spark twin (``format_type``,
+Both sides of these joins are catalog metadata (no fact table is involved),
+so they are plain joins: Spark's planner broadcasts a side whose estimated
+size is under ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-plans from
+the measured shuffle sizes; larger catalogs stay sort-merge joins. Vendor functions without a Spark twin (``format_type``,
 ``obj_description``, ``oidvectortypes``, ``pg_*_is_visible``) are modelled as
 lookups into landed catalog tables and a window ranking.
 """
@@ -16,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from whlens.operators.filters import live_rows, visible_objects
-from whlens.operators.joins import maybe_broadcast
 
 # The SQL Server type names whose columns get min/max profiles.
 NUMERIC_TYPE_NAMES = ("int", "bigint", "smallint", "decimal", "numeric", "float", "real")
@@ -48,7 +48,7 @@ def type_name(df: DataFrame, oid_col: str, types: DataFrame, out: str,
               oid: str = "oid", name: str = "typname") -> DataFrame:
     """J15 ``format_type(oid, NULL)``: left lookup of the type name."""
     lk = types.select(F.col(oid).alias(f"_tn_{out}"), F.col(name).alias(out))
-    return (df.join(maybe_broadcast(lk), F.col(oid_col) == F.col(f"_tn_{out}"), "left")
+    return (df.join(lk, F.col(oid_col) == F.col(f"_tn_{out}"), "left")
             .drop(f"_tn_{out}"))
 
 
@@ -58,14 +58,14 @@ def describe_objects(df: DataFrame, oid_col: str, descriptions: DataFrame, catal
     (objoid, catalog_name, description) table."""
     lk = (descriptions.where(F.col("catalog_name") == catalog)
           .select(F.col("objoid").alias("_d_oid"), F.col("description").alias(out)))
-    return df.join(maybe_broadcast(lk), F.col(oid_col) == F.col("_d_oid"), "left").drop("_d_oid")
+    return df.join(lk, F.col(oid_col) == F.col("_d_oid"), "left").drop("_d_oid")
 
 
 def with_namespace(df: DataFrame, ns_col: str, namespaces: DataFrame,
                    out: str = "nspname") -> DataFrame:
     """Left join to the namespace names."""
     lk = namespaces.select(F.col("oid").alias(f"_ns_{out}"), F.col("nspname").alias(out))
-    return df.join(maybe_broadcast(lk), F.col(ns_col) == F.col(f"_ns_{out}"), "left").drop(f"_ns_{out}")
+    return df.join(lk, F.col(ns_col) == F.col(f"_ns_{out}"), "left").drop(f"_ns_{out}")
 
 
 def resolve_type_names(df: DataFrame, key: str, vec: str, types: DataFrame, out: str,
@@ -96,7 +96,7 @@ def rs_types(pg_type: DataFrame, pg_namespace: DataFrame, pg_class: DataFrame,
     (``NOT EXISTS`` == left anti join)."""
     t = pg_type
     cls = pg_class.select(F.col("oid").alias("_c_oid"), F.col("relkind").alias("_c_relkind"))
-    t = (t.join(maybe_broadcast(cls), F.col("typrelid") == F.col("_c_oid"), "left")
+    t = (t.join(cls, F.col("typrelid") == F.col("_c_oid"), "left")
          .where((F.col("typrelid") == 0) | (F.col("_c_relkind") == "c"))
          .drop("_c_oid", "_c_relkind"))
     elem = pg_type.select(F.col("oid").alias("_el_oid"))
@@ -148,11 +148,11 @@ def rs_casts(pg_cast: DataFrame, pg_proc: DataFrame, pg_type: DataFrame,
     lookup used twice (source / target); visible if source or target is."""
     c = pg_cast
     procs = pg_proc.select(F.col("oid").alias("_p_oid"), F.col("proname").alias("_p_name"))
-    c = c.join(maybe_broadcast(procs), F.col("castfunc") == F.col("_p_oid"), "left").drop("_p_oid")
+    c = c.join(procs, F.col("castfunc") == F.col("_p_oid"), "left").drop("_p_oid")
     c = type_name(c, "castsource", pg_type, "_src")
     c = type_name(c, "casttarget", pg_type, "_tgt")
     if search_path is not None:
-        vis = maybe_broadcast(visible_type_oids(pg_type, pg_namespace, search_path))
+        vis = (visible_type_oids(pg_type, pg_namespace, search_path))
         vs = vis.select(F.col("oid").alias("_vs"))
         vt = vis.select(F.col("oid").alias("_vt"))
         c = (c.join(vs, F.col("castsource") == F.col("_vs"), "left")
@@ -178,7 +178,7 @@ def table_partitions(sys_tables: DataFrame, sys_partitions: DataFrame,
     keys = ["TableName"]
     if sys_schemas is not None:
         s = sys_schemas.select(F.col("schema_id").alias("_s_sid"), F.col("name").alias("TableSchema"))
-        t = t.join(maybe_broadcast(s), F.col("_t_sid") == F.col("_s_sid"))
+        t = t.join(s, F.col("_t_sid") == F.col("_s_sid"))
         keys = ["TableSchema", "TableName"]
     a = t.join(p.select(F.col("object_id").alias("_p_oid"), "rows"), F.col("_t_oid") == F.col("_p_oid"))
     a = a.select(*keys, "rows")
@@ -225,7 +225,7 @@ def numeric_columns(sys_tables: DataFrame, sys_schemas: DataFrame, sys_columns:
                            F.col("user_type_id").alias("_c_tid"))
     tp = (sys_types.where(F.col("name").isin(*type_names))
           .select(F.col("user_type_id").alias("_tp_tid"), F.col("name").alias("type_name")))
-    j = (t.join(maybe_broadcast(s), F.col("_t_sid") == F.col("_s_sid"))
+    j = (t.join(s, F.col("_t_sid") == F.col("_s_sid"))
          .join(c, F.col("_t_oid") == F.col("_c_oid"))
-         .join(maybe_broadcast(tp), F.col("_c_tid") == F.col("_tp_tid")))
+         .join(tp, F.col("_c_tid") == F.col("_tp_tid")))
     return j.select("schema_name", "table_name", "column_name", "type_name")

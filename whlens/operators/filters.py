@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from whlens.operators.joins import maybe_broadcast
-
 
 def live_rows(df: DataFrame, deleted: str = "deleted", catalog: str = "table_catalog",
               excluded_catalogs: Sequence[str] = ("SNOWFLAKE",)) -> DataFrame:
@@ -43,14 +41,13 @@ def visible_objects(df: DataFrame, name_cols: Sequence[str], schema_col: str,
 
     An object is visible when its schema is on the path and no object with
     the same name (``name_cols``) sits in a schema earlier on the path.
-    ``search_path`` is a (schema, rank) table, broadcast after a size check.
+    ``search_path`` is a (schema, rank) table of a few rows.
     The top-1 per name is a ``row_number() = 1`` that Spark plans with a
     partial ``WindowGroupLimit`` before the shuffle, so a popular name is
     cut to one row per map task before it moves. ``tie_breakers`` only
     matter when a schema holds two objects of one name (not possible in a
     real catalog)."""
-    path = maybe_broadcast(search_path.select(F.col(path_schema).alias("_vis_schema"),
-                                              F.col(path_rank).alias("_vis_rank")))
+    path = search_path.select(F.col(path_schema).alias("_vis_schema"), F.col(path_rank).alias("_vis_rank"))
     on_path = df.join(path, F.col(schema_col) == F.col("_vis_schema"), "inner")
     order = [F.col("_vis_rank").asc()] + [F.col(c).asc_nulls_last() for c in tie_breakers]
     w = Window.partitionBy(*name_cols).orderBy(*order)
