@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from whlens.operators.filters import live_rows, visible_objects
+from whlens.operators.joins import spread_order
 
 # The SQL Server type names whose columns get min/max profiles.
 NUMERIC_TYPE_NAMES = ("int", "bigint", "smallint", "decimal", "numeric", "float", "real")
@@ -24,7 +25,7 @@ NUMERIC_TYPE_NAMES = ("int", "bigint", "smallint", "decimal", "numeric", "float"
 
 def order_by_ordinal(df: DataFrame, *positions: int) -> DataFrame:
     """O3: ``ORDER BY 1, 2``: PostgreSQL-family ascending order puts nulls last."""
-    return df.orderBy(*[F.col(f"`{df.columns[i - 1]}`").asc_nulls_last() for i in positions])
+    return spread_order(df, *[F.col(f"`{df.columns[i - 1]}`").asc_nulls_last() for i in positions])
 
 
 # --- Snowflake -------------------------------------------------------------
@@ -210,8 +211,8 @@ def table_schema(is_tables: DataFrame, is_columns: DataFrame, sys_tables: DataFr
     else:
         a = table_partitions(sys_tables, sys_partitions, None, sum_partitions)
         j = tc.join(a, F.col("table_name") == F.col("TableName"))
-    return (j.orderBy(F.col("TableName").asc_nulls_first())
-            .select("table_schema", "table_name", "column_name", "data_type", "rows"))
+    return spread_order(j, F.col("TableName").asc_nulls_first()).select(
+        "table_schema", "table_name", "column_name", "data_type", "rows")
 
 
 def numeric_columns(sys_tables: DataFrame, sys_schemas: DataFrame, sys_columns: DataFrame,

@@ -1,28 +1,80 @@
-"""Join strategy helpers.
+"""Join strategy and ordering helpers.
 
 A side is broadcast only after its size has been checked: ``limit(n+1).count()``
 reads at most ``n+1`` rows, so the check is cheap even when the side turns out
-to be large. Beyond the bound the caller's fallback (a shuffled join, where AQE
-splits skewed partitions) is used.
+to be large. The row bound is derived from a byte budget and a conservative
+per-row width taken from the schema, so wide rows get a lower bound. Beyond
+the bound the caller's fallback is used (a shuffled join, where AQE splits
+skewed partitions, or a bucketed form).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows a dimension side may have and still be shipped to every executor.
-# Catalog / price / version tables are far below this; fact tables never are.
+# Budget for one broadcast side (collected on the driver, shipped to every
+# executor). Catalog / price / version tables are far below it.
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
+# Conservative in-memory width of a variable-length value (bytes).
+_VAR_WIDTH = 64
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    if max_rows <= 0:
+
+def row_width(dtype: T.DataType) -> int:
+    """Upper-side estimate of the in-memory bytes of one value."""
+    if isinstance(dtype, T.StructType):
+        return 8 + sum(row_width(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return _VAR_WIDTH
+    if isinstance(dtype, (T.ArrayType, T.MapType)):
+        return 4 * _VAR_WIDTH
+    if isinstance(dtype, T.DecimalType):
+        return 16
+    return 8
+
+
+def broadcast_row_bound(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
+                        max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> int:
+    """Rows of ``df`` that fit the byte budget (at most ``max_rows``)."""
+    return min(max_rows, max_bytes // max(1, row_width(df.schema)))
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = None,
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most the bounded number of rows (reads at most
+    bound + 1 rows). ``max_rows=0`` disables broadcasting."""
+    cap = DEFAULT_BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    bound = broadcast_row_bound(df, max_bytes, cap)
+    if bound <= 0:
         return False
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.limit(bound + 1).count() <= bound
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast hint when the size check passes, the frame unchanged otherwise."""
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A deterministic 64-bit hash of the whole row (nested columns via JSON)."""
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            c = F.to_json(c)
+        cols.append(c)
+    return F.xxhash64(*cols)
+
+
+def spread_order(df: DataFrame, *order: Column) -> DataFrame:
+    """Global sort by ``order`` with a row-hash tie-breaker.
+
+    The result has the requested order; the extra key only ranks rows with
+    equal sort values. It lets the range partitioner split a hot value (e.g.
+    hourly usage rows sharing one timestamp) over several tasks instead of
+    sending all of it to one."""
+    return df.orderBy(*order, row_hash(df))
+

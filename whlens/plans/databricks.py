@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from whlens.functions.normalize import hour_label
 from whlens.operators.filters import exclude_text
-from whlens.operators.joins import maybe_broadcast
+from whlens.operators.joins import maybe_broadcast, spread_order
 from whlens.operators.nested import field, field_or_null
 from whlens.operators.temporal import latest_per_key, temporal_join, version_intervals
 from whlens.operators.windows import between_dates, in_window
@@ -75,7 +75,7 @@ def usage_cost(usage: DataFrame, warehouses: DataFrame, list_prices: DataFrame,
         F.col("v.price_start_time"), F.col("v.currency_code"), price.alias("price_per_unit"),
         *[F.col(f"f.`{c}`") for c in cte.columns],
         F.coalesce(F.col("f.usage_quantity") * price, F.lit(0)).alias("usage_usd"))
-    return out.where(F.col("account_id").isNotNull()).orderBy(F.col("usage_start_time").asc_nulls_first())
+    return spread_order(out.where(F.col("account_id").isNotNull()), F.col("usage_start_time").asc_nulls_first())
 
 
 def warehouse_events(events: DataFrame, warehouses: DataFrame, start, end,
@@ -92,8 +92,8 @@ def warehouse_events(events: DataFrame, warehouses: DataFrame, start, end,
                            "change_time", open_end)
     j = temporal_join(ev, iv, ["warehouse_id"], "event_time", "change_time", "next_change_time",
                       how="inner", closed=closed)
-    return (j.select(*[F.col(f"f.`{c}`") for c in events.columns])
-            .orderBy(F.col("event_time").desc_nulls_last()))
+    return spread_order(j.select(*[F.col(f"f.`{c}`") for c in events.columns]),
+                        F.col("event_time").desc_nulls_last())
 
 
 def warehouse_info(warehouses: DataFrame, tie_breakers: Sequence[str] = ()) -> DataFrame:

@@ -80,20 +80,20 @@ def write_hourly(df: DataFrame, path: str, ts: str, label: str = "hour",
     """K3: one folder per hour (``hour=YYYYMMDD_HH``); hours without rows
     produce none.
 
-    The rows are range-partitioned on the time itself, not hash-partitioned
-    on the hour: tasks get equal shares even when one hour holds most of the
-    rows (a hot hour spans several tasks, each writing its own file), and
-    every task covers a contiguous time range, so an hour folder receives
-    files from one or a few tasks only. Timestamps are normalised as in K2
-    and nested columns written as JSON text."""
+    The rows are shuffled once with the ``REBALANCE(hour)`` hint: each hour
+    goes to one task (one file per hour, as the source writes), small hours
+    are coalesced, and AQE splits an hour that holds far more than the
+    advisory partition size into several tasks / files, so a hot hour does
+    not become one giant task. No sampling pass is needed (unlike a range
+    partitioning). Timestamps are normalised as in K2 and nested columns
+    written as JSON text."""
     spark = df.sparkSession
     df = normalize_for_export(nested_to_json(df))
     if label not in df.columns:
         df = df.withColumn(label, hour_label(F.col(ts)))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, F.col(ts))
+    balanced = df.hint("rebalance", label)
     with _conf(spark, "spark.sql.files.maxRecordsPerFile", str(max_records_per_file)):
-        return write_export(ranged, path, normalize=False, on_empty="skip", partition_by=[label])
+        return write_export(balanced, path, normalize=False, on_empty="skip", partition_by=[label])
 
 
 def write_csv(df: DataFrame, path: str, on_empty: str = "skip") -> int | None:
