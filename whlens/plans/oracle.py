@@ -99,12 +99,14 @@ ROLE_SQL: dict[str, str] = {
                p_type as description from part where p_partkey % 7 = 0""",
     "search_path": "select r_regionkey as rank_on_path, r_name as nspname from region where r_regionkey < 4",
     "sys_tables": """
-        select p_partkey as object_id, p_brand as table_schema, p_name as table_name, i.n as index_id,
+        select p_partkey as object_id, p_brand as table_schema,
+               concat(p_name, '_', cast(p_partkey as varchar)) as table_name, i.n as index_id,
                p_size * 10 as row_count
         from part join (select n_nationkey as n from nation where n_nationkey < 3) i
           on i.n <> 0 or p_partkey % 2 = 0""",
     "sys_columns": """
-        select p.p_partkey as object_id, p.p_brand as table_schema, p.p_name as table_name,
+        select p.p_partkey as object_id, p.p_brand as table_schema,
+               concat(p.p_name, '_', cast(p.p_partkey as varchar)) as table_name,
                concat('c', cast(n.n_nationkey as varchar)) as column_name,
                case n.n_nationkey when 0 then 'int' when 1 then 'varchar' when 2 then 'decimal' else 'tinyint' end
                  as data_type

@@ -271,13 +271,19 @@ def sf_views(t: Tables) -> DataFrame:
 
 # --- SQL Server ------------------------------------------------------------------
 
+def table_name() -> Column:
+    """Table names are unique within a schema, as in a real catalog (part
+    names alone repeat, which would pair unrelated tables)."""
+    return F.concat(c("p_name"), F.lit("_"), c("p_partkey").cast("string"))
+
+
 def sys_tables(t: Tables) -> DataFrame:
     """Tables with partitions: index 0 (heap) for even ids, 1 and 2 for all;
     index 2 (non-clustered) must be filtered out."""
     p = t["part"]
     idx = F.when(c("p_partkey") % 2 == 0, F.array(F.lit(0), F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1), F.lit(2)))
     return p.select(c("p_partkey").alias("object_id"), c("p_brand").alias("table_schema"),
-                    c("p_name").alias("table_name"), F.explode(idx).alias("index_id"),
+                    table_name().alias("table_name"), F.explode(idx).alias("index_id"),
                     (c("p_size") * 10).alias("row_count"))
 
 
@@ -287,7 +293,7 @@ def sys_columns(t: Tables) -> DataFrame:
     x = p.select("p_partkey", "p_brand", "p_name",
                  F.explode(F.array(*[F.lit(i) for i in range(4)])).alias("n"))
     return x.select(c("p_partkey").alias("object_id"), c("p_brand").alias("table_schema"),
-                    c("p_name").alias("table_name"), F.concat(F.lit("c"), c("n").cast("string")).alias("column_name"),
+                    table_name().alias("table_name"), F.concat(F.lit("c"), c("n").cast("string")).alias("column_name"),
                     F.when(c("n") == 0, F.lit("int")).when(c("n") == 1, F.lit("varchar"))
                     .when(c("n") == 2, F.lit("decimal")).otherwise(F.lit("tinyint")).alias("data_type"))
 
