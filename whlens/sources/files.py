@@ -21,16 +21,21 @@ class TableSet(Mapping[str, DataFrame]):
     """Lazy map of table name -> DataFrame over ``{root}/{name}.parquet`` (or
     ``{root}/{name}`` folders). Extra frames (derived tables) can be added."""
 
-    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
+    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet", suffix: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.fmt = fmt
+        self.suffix = suffix
         self._cache: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
-        with_ext = f"{self.root}/{name}.{self.fmt}"
-        if "://" in self.root or os.path.exists(with_ext):
-            return with_ext
+        """``{root}/{name}{suffix}``; without a suffix a local ``{name}.{fmt}``
+        file is used when present, else the ``{name}`` dataset folder."""
+        if self.suffix is not None:
+            return f"{self.root}/{name}{self.suffix}"
+        single = f"{self.root}/{name}.{self.fmt}"
+        if "://" not in self.root and os.path.exists(single):
+            return single
         return f"{self.root}/{name}"
 
     def __getitem__(self, name: str) -> DataFrame:
