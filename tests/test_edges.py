@@ -246,3 +246,10 @@ def test_concat_disjoint(spark):
     b = spark.createDataFrame([("q",)], "y string")
     out = nst.concat_frames([a, b])
     assert out.columns == ["x", "y"] and out.count() == 2
+
+
+@pytest.mark.parametrize("bucket", ["week", "month", "year"])
+def test_temporal_join_buckets(usage, prices, bucket):
+    j = temporal_join(usage, prices, ["sku"], "t", "ps", "pe", closed="left", broadcast_max_rows=0,
+                      bucket=bucket)
+    assert {r.id: r.price for r in j.select("f.id", "v.price").collect()} == {1: 2.0, 2: 3.0, 4: 3.0, 5: None}

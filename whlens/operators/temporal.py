@@ -9,14 +9,15 @@
 
   - small version side: broadcast hash join on the equi keys with the range
     as join condition (no shuffle of the fact side at all);
-  - large version side: both sides get a *day bucket*. Versions are exploded
-    over the days they cover (clipped to the days the facts span), facts get
-    ``to_date(at)``; the equi-join runs on ``keys + day`` with the range
-    re-checked. A hot key is spread over its days instead of landing in one
-    task, and a key with many versions only meets the versions of one day.
-
-  Each (fact, version) pair occurs once in either form: a fact has one day, a
-  version occurs once per day. Boundary duplicates of ``closed="both"`` are
+  - large version side: both sides get a time bucket (a day by default).
+    Versions are exploded over the buckets they cover (clipped to the
+    buckets the facts span), facts get their own bucket; the equi-join runs
+    on ``keys + bucket`` with the range re-checked. A hot key is spread over
+    its days instead of landing in one task, and a key with many versions
+    only meets the versions of one day; AQE splits what is still skewed.
+
+  Each (fact, version) pair occurs once in either form: a fact has one
+  bucket, a version occurs once per bucket. Boundary duplicates of ``closed="both"`` are
   therefore kept exactly as the SQL semantics define them.
 """
 
@@ -71,19 +72,30 @@ def _range_condition(at: Column, start: Column, end: Column, closed: str) -> Col
     raise ValueError(f"closed must be 'left' or 'both', not {closed!r}")
 
 
+BUCKETS = ("day", "week", "month", "year")
+
+
+def _bucket(c: Column, unit: str) -> Column:
+    return F.to_date(c) if unit == "day" else F.date_trunc(unit, c).cast("date")
+
+
 def temporal_join(facts: DataFrame, versions: DataFrame, on, at: str, start: str,
                   end: str, how: str = "inner", closed: str = "left",
-                  broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                  broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS, bucket: str = "day",
                   facts_alias: str = "f", versions_alias: str = "v") -> DataFrame:
     """Join every fact to the version(s) valid at ``facts[at]``.
 
     ``on`` lists equi keys as names (same on both sides) or ``(fact, version)``
     pairs. ``how`` is ``inner`` or ``facts_left`` (facts without a valid
     version kept with nulls). The result keeps both aliases, so callers select
-    ``f.*`` / ``v.col``.
+    ``f.*`` / ``v.col``. ``bucket`` is the time bucket of the large-version
+    form: ``day`` spreads hot keys most; ``month`` / ``year`` keep the
+    exploded version side small when versions live for years.
     """
     if how not in ("inner", "facts_left"):
         raise ValueError("how must be 'inner' or 'facts_left'")
+    if bucket not in BUCKETS:
+        raise ValueError(f"bucket must be one of {BUCKETS}")
     join_type = "inner" if how == "inner" else "left"
     pairs = _pairs(on)
     f = facts.alias(facts_alias)
@@ -98,21 +110,21 @@ def temporal_join(facts: DataFrame, versions: DataFrame, on, at: str, start: str
             cond = cond & (fc(a) == vc(b))
         return f.join(F.broadcast(v), cond, join_type)
 
-    # Large version side: day buckets. Bounds of the fact days are two
+    # Large version side: time buckets. Bounds of the fact buckets are two
     # scalars from one partial/final aggregate over the ``at`` column.
-    lo, hi = facts.agg(F.min(F.to_date(at)), F.max(F.to_date(at))).first()
-    day = "_whl_day"
-    f_days = facts.withColumn(day, F.to_date(F.col(at))).alias(facts_alias)
+    lo, hi = facts.agg(F.min(_bucket(F.col(at), bucket)), F.max(_bucket(F.col(at), bucket))).first()
+    key = "_whl_bucket"
+    f_b = facts.withColumn(key, _bucket(F.col(at), bucket)).alias(facts_alias)
     if lo is None:  # no facts: nothing can match
-        v_days = versions.withColumn(day, F.lit(None).cast("date")).where(F.lit(False))
+        v_b = versions.withColumn(key, F.lit(None).cast("date")).where(F.lit(False))
     else:
-        first = F.greatest(F.to_date(F.col(start)), F.lit(lo))
-        last = F.least(F.coalesce(F.to_date(F.col(end)), F.lit(hi)), F.lit(hi))
-        v_days = (versions.where(first <= last)
-                  .withColumn(day, F.explode(F.sequence(first, last))))
-    v_days = v_days.alias(versions_alias)
-    cond = rng & (F.col(f"{facts_alias}.{day}") == F.col(f"{versions_alias}.{day}"))
+        first = F.greatest(_bucket(F.col(start), bucket), F.lit(lo))
+        last = F.least(F.coalesce(_bucket(F.col(end), bucket), F.lit(hi)), F.lit(hi))
+        step = F.expr(f"interval 1 {bucket}")
+        v_b = versions.where(first <= last).withColumn(key, F.explode(F.sequence(first, last, step)))
+    v_b = v_b.alias(versions_alias)
+    cond = rng & (F.col(f"{facts_alias}.{key}") == F.col(f"{versions_alias}.{key}"))
     for a, b in pairs:
         cond = cond & (fc(a) == vc(b))
-    joined = f_days.join(v_days, cond, join_type)
-    return joined.drop(F.col(f"{facts_alias}.{day}")).drop(F.col(f"{versions_alias}.{day}"))
+    joined = f_b.join(v_b, cond, join_type)
+    return joined.drop(F.col(f"{facts_alias}.{key}")).drop(F.col(f"{versions_alias}.{key}"))
