@@ -20,7 +20,7 @@ def test_incremental_hourly_export(spark, tmp_out):
     # first arrival: the first half of the stream, by time
     mid = "2024-01-08 00:00:00"
     hist.where(F.col("start_time") < F.lit(mid).cast("timestamp_ntz")).write.parquet(os.path.join(land, "a"))
-    kw = dict(ts="start_time", start=EV_START, end=EV_END, name="test_hourly")
+    kw = dict(ts="start_time", start=EV_START, end=EV_END, name=f"test_hourly_{os.path.basename(tmp_out)}")
     run_hourly_export(spark, os.path.join(land, "*"), hist.schema, out, **kw)
     first = spark.read.parquet(out).count()
     # second arrival, second run: only the new files are read
