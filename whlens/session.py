@@ -61,21 +61,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for materialised tables."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)
-
-
 def sizing_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024,
                 max_shuffle_partitions: int = 100_000) -> dict[str, str]:
     """Session settings sized for ``input_bytes`` of landed data.
 
     Scan splits and AQE's target post-shuffle partition are both
     ``target_partition_bytes`` (fits executor memory with room for sort
-    buffers); the initial shuffle partition count covers the whole input at
-    that size so a full-width shuffle never starts with oversized
-    partitions, and AQE coalesces the small ones afterwards. For 100 TB at
-    256 MB this gives 100,000 initial partitions (the cap)."""
+    buffers); the initial shuffle partition count covers the input at that
+    size up to a cap, and AQE coalesces small partitions afterwards. Exports
+    shuffle filtered, projected rows, far less than the input; for 100 TB at
+    256 MB the count is the cap, 100,000."""
     parts = max(200, min(max_shuffle_partitions, -(-input_bytes // target_partition_bytes)))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
