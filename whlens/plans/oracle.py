@@ -273,6 +273,26 @@ def oracle_sql() -> dict[str, str]:
            and cte.usage_end_time >= p.price_start_time
            and (p.price_end_time is null or cte.usage_end_time < p.price_end_time)
           where p.currency_code = 'USD'"""})
+    q["usage_cost_unpriced"] = with_roles(
+        "select * from cte1 where account_id is not null order by usage_start_time",
+        "usage", "warehouses", "list_prices", extra={
+            "cte": f"{_J1} and u.usage_date between date '{R.USAGE_START}' and date '{R.USAGE_END}'",
+            "cte1": f"""
+          select coalesce(p.price_end_time, cast(date '{R.TODAY}' + 1 as timestamp)) as coalesced_price_end_time,
+                 p.price_start_time, p.currency_code, p.price as price_per_unit, cte.*,
+                 coalesce(cte.usage_quantity * p.price, 0) as usage_usd
+          from cte left join (select * from list_prices where currency_code = 'USD') p
+            on cte.sku_name = p.sku_name and cte.usage_unit = p.usage_unit
+           and cte.usage_end_time >= p.price_start_time
+           and (p.price_end_time is null or cte.usage_end_time < p.price_end_time)"""})
+    q["usage_latest_name"] = with_roles("""
+        select u.*, w.warehouse_name from usage u
+        join (select distinct account_id as w_account_id, workspace_id, warehouse_id, warehouse_name from (
+                select *, row_number() over (partition by account_id, workspace_id, warehouse_id
+                                             order by change_time desc, warehouse_name asc nulls last) as rn
+                from warehouses) where rn = 1) w
+          on u.account_id = w.w_account_id and u.workspace_id = w.workspace_id and u.warehouse_id = w.warehouse_id
+        where u.billing_origin_product = 'SQL'""", "usage", "warehouses")
     q["usage_window"] = with_roles(f"""
         select * from usage where billing_origin_product = 'SQL'
           and usage_date between date '{R.USAGE_START}' and date '{R.USAGE_END}'""", "usage")
@@ -290,6 +310,13 @@ def oracle_sql() -> dict[str, str]:
         order by ev.event_time desc""", "warehouse_events", "warehouse_changes", extra={
         "cte": f"""select *, coalesce(lead(change_time) over (partition by warehouse_id order by change_time),
                                       timestamp '{R.OPEN_END}') as next_change_time from warehouse_changes"""})
+    q["warehouse_events_single"] = with_roles(f"""
+        select ev.* from warehouse_events ev join cte on ev.warehouse_id = cte.warehouse_id
+           and ev.event_time >= cte.change_time and ev.event_time < cte.next_change_time
+        where cast(ev.event_time as date) between date '{R.EV_START}' and date '{R.EV_END}'
+        order by ev.event_time desc""", "warehouse_events", "warehouse_changes", extra={
+        "cte": f"""select *, coalesce(lead(change_time) over (partition by warehouse_id order by change_time),
+                                      timestamp '{R.OPEN_END}') as next_change_time from warehouse_changes"""})
     q["warehouse_info"] = with_roles("""
         select * exclude (rn) from (
           select *, row_number() over (partition by warehouse_id, workspace_id, account_id, warehouse_name
@@ -346,6 +373,12 @@ def oracle_sql() -> dict[str, str]:
         from ddl_chunks
         where starttime >= timestamp '{R.DDL_START} 00:00:00' and starttime <= timestamp '{R.DDL_END} 00:00:00'
         group by xid, pid""", "ddl_chunks")
+    q["query_ddl_raw"] = with_roles(f"""
+        select any_value(userid) as userid, any_value(starttime) as starttime, any_value(endtime) as endtime,
+               any_value(trim(label)) as label, xid, pid, string_agg(text, '' order by sequence) as sqltext
+        from ddl_chunks
+        where starttime >= timestamp '{R.DDL_START} 00:00:00' and starttime <= timestamp '{R.DDL_END} 00:00:00'
+        group by xid, pid""", "ddl_chunks")
     q["query_metrics"] = _metric_sql(QUERY_METRICS_COLUMNS, "starttime")
     q["query_queue_info"] = _metric_sql(QUERY_QUEUE_INFO_COLUMNS, "queue_start_time")
     q["query_wlm"] = _metric_sql(QUERY_WLM_COLUMNS, "queue_start_time")
@@ -380,6 +413,28 @@ def oracle_sql() -> dict[str, str]:
         where p.proisagg
         order by 1 nulls last, 2 nulls last, 4 nulls last""",
                                     "pg_proc", "pg_namespace", "pg_type", "pg_proc_args", "pg_description")
+    q["rs_aggregates_visible"] = with_roles("""
+        select n.nspname as "Schema", p.proname as "Name", rt.typname as "Result_data_type",
+               case when p.pronargs = 0 then '*' else a.args end as "Argument_data_types",
+               d.description as "Description"
+        from pg_proc p left join pg_namespace n on n.oid = p.pronamespace
+        left join pg_type rt on rt.oid = p.prorettype
+        left join (select pa.oid, string_agg(ty.typname, ', ' order by pa.pos) as args
+                   from pg_proc_args pa left join pg_type ty on ty.oid = pa.type_oid group by pa.oid) a
+          on a.oid = p.oid
+        left join (select objoid, description from pg_description where catalog_name = 'pg_proc') d
+          on d.objoid = p.oid
+        where p.proisagg and p.oid in (
+          select oid from (
+            select p2.oid, row_number() over (partition by p2.proname, v.vec order by sp.rank_on_path, p2.oid) as rn
+            from pg_proc p2
+            left join (select oid, list(type_oid order by pos) as vec from pg_proc_args group by oid) v
+              on v.oid = p2.oid
+            join pg_namespace n2 on n2.oid = p2.pronamespace
+            join search_path sp on sp.nspname = n2.nspname) where rn = 1)
+        order by 1 nulls last, 2 nulls last, 4 nulls last""",
+                                            "pg_proc", "pg_namespace", "pg_type", "pg_proc_args", "pg_description",
+                                            "search_path")
     casts_sql = """
         select ts.typname as "Source_type", tt.typname as "Target_type",
                case when c.castfunc = 0 then '(binary coercible)' else p.proname end as "Function",

@@ -89,6 +89,21 @@ def q_usage_cost(spark, d):
     return _drop_nested(out)
 
 
+@query("usage_cost_unpriced")
+def q_usage_cost_unpriced(spark, d):
+    t = _t(spark, d)
+    out = dbx.usage_cost(roles.usage(t), roles.warehouses(t), roles.list_prices(t),
+                         USAGE_START, USAGE_END, today=TODAY, keep_unpriced=True)
+    return _drop_nested(out)
+
+
+@query("usage_latest_name")
+def q_usage_latest_name(spark, d):
+    t = _t(spark, d)
+    u = roles.usage(t).where(F.col("billing_origin_product") == "SQL")
+    return _drop_nested(dbx.usage_with_warehouse(u, roles.warehouses(t), latest_name=True))
+
+
 @query("usage_window")
 def q_usage_window(spark, d):
     u = roles.usage(_t(spark, d), nested=False).where(F.col("billing_origin_product") == "SQL")
@@ -122,6 +137,13 @@ def q_warehouse_events(spark, d):
                                 open_end=OPEN_END)
 
 
+@query("warehouse_events_single")
+def q_warehouse_events_single(spark, d):
+    t = _t(spark, d)
+    return dbx.warehouse_events(roles.warehouse_events(t), roles.warehouse_changes(t), EV_START, EV_END,
+                                open_end=OPEN_END, closed="left")
+
+
 @query("warehouse_info")
 def q_warehouse_info(spark, d):
     return dbx.warehouse_info(roles.warehouses(_t(spark, d)))
@@ -227,6 +249,11 @@ def q_query_ddl(spark, d):
     return txt.ddl_text(roles.ddl_chunks(_t(spark, d)), DDL_START, DDL_END)
 
 
+@query("query_ddl_raw")
+def q_query_ddl_raw(spark, d):
+    return txt.ddl_text(roles.ddl_chunks(_t(spark, d)), DDL_START, DDL_END, rtrim=False)
+
+
 def _metric_export(spark, d, columns, ts):
     m = roles.metric_table(_t(spark, d), columns)
     return in_window(m, ts, STATS_START, STATS_END, "closed_instant").select(*columns)
@@ -266,6 +293,13 @@ def q_rs_aggregates(spark, d):
     return cat.rs_aggregates(roles.pg_proc(t), roles.pg_namespace(t), roles.pg_type(t), roles.pg_description(t))
 
 
+@query("rs_aggregates_visible")
+def q_rs_aggregates_visible(spark, d):
+    t = _t(spark, d)
+    return cat.rs_aggregates(roles.pg_proc(t), roles.pg_namespace(t), roles.pg_type(t), roles.pg_description(t),
+                             roles.search_path(t))
+
+
 @query("rs_casts")
 def q_rs_casts(spark, d):
     t = _t(spark, d)
