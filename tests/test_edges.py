@@ -253,3 +253,16 @@ def test_temporal_join_buckets(usage, prices, bucket):
     j = temporal_join(usage, prices, ["sku"], "t", "ps", "pe", closed="left", broadcast_max_rows=0,
                       bucket=bucket)
     assert {r.id: r.price for r in j.select("f.id", "v.price").collect()} == {1: 2.0, 2: 3.0, 4: 3.0, 5: None}
+
+
+def test_normalisation_refuses_non_utc_session(spark):
+    from whlens.functions.normalize import round_ms
+    df = spark.createDataFrame([(D("2024-01-01 10:00:00"),)], "t timestamp")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        with pytest.raises(ValueError):
+            utc_naive(df)
+        with pytest.raises(ValueError):
+            round_ms(df)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -11,6 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def require_utc(df: DataFrame) -> None:
+    """Zone casts (N1) and epoch arithmetic on zone-less times (N2) go through
+    the session time zone; results are UTC wall times only in a UTC session
+    (``whlens.session.build_session`` and the registered queries set it)."""
+    tz = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    if tz not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"spark.sql.session.timeZone is {tz!r}; set it to 'UTC' for whlens exports")
+
+
 def _ts_columns(df: DataFrame, kinds=(T.TimestampType, T.TimestampNTZType)) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
 
@@ -21,7 +30,10 @@ def utc_naive(df: DataFrame) -> DataFrame:
     With the session zone pinned to UTC (see ``whlens.session``) a cast to
     ``timestamp_ntz`` yields the UTC wall clock."""
     cols = _ts_columns(df, (T.TimestampType,))
-    return df.withColumns({c: F.col(f"`{c}`").cast("timestamp_ntz") for c in cols}) if cols else df
+    if not cols:
+        return df
+    require_utc(df)
+    return df.withColumns({c: F.col(f"`{c}`").cast("timestamp_ntz") for c in cols})
 
 
 def round_half_even_ms(c: Column, kind: str = "timestamp_ntz") -> Column:
@@ -40,6 +52,8 @@ def round_half_even_ms(c: Column, kind: str = "timestamp_ntz") -> Column:
 
 def round_ms(df: DataFrame) -> DataFrame:
     """N2 on every timestamp column of ``df``."""
+    if _ts_columns(df):
+        require_utc(df)
     out = {}
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):

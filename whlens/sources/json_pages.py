@@ -65,11 +65,15 @@ def read_history_pages(spark: SparkSession, path: str, schema: T.StructType = HI
     return explode_records(spark.read.schema(schema).json(path), "res")
 
 
-def read_executions(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_executions(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                    sampling_ratio: float | None = None) -> DataFrame:
     """Landed batched execution responses (``QueryExecutions[]``) -> one
     row per execution. Without a schema the union of keys of all records is
-    inferred (schema-merging read)."""
+    inferred, which reads the input once more; on large landings pass the
+    schema (or a ``sampling_ratio``, at the risk of missing rare keys)."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
+    elif sampling_ratio is not None:
+        reader = reader.option("samplingRatio", str(sampling_ratio))
     return explode_records(reader.json(path), "QueryExecutions")
