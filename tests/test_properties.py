@@ -34,6 +34,8 @@ def test_temporal_forms_agree(spark, changes, events, closed, bucket):
     ch = spark.createDataFrame([(w, BASE + dt.timedelta(hours=h)) for w, h in set(changes)],
                                "w int, t timestamp").withColumn("t", F.col("t").cast("timestamp_ntz"))
     iv = version_intervals(ch, ["w"], "t", "2030-01-01 00:00:00", out="nt")
+    iv_b = version_intervals(ch, ["w"], "t", "2030-01-01 00:00:00", out="nt", plain_max_rows=0)
+    assert sorted(map(tuple, iv.collect())) == sorted(map(tuple, iv_b.collect()))
     ev = spark.createDataFrame([(i, w, BASE + dt.timedelta(hours=h)) for i, (w, h) in enumerate(events)],
                                "id int, w int, et timestamp").withColumn("et", F.col("et").cast("timestamp_ntz"))
 

@@ -1,6 +1,7 @@
 """Version-valid joins and version windows (usage cost, warehouse events).
 
-* ``version_intervals`` (W1): next change time per key via ``lead``.
+* ``version_intervals`` (W1): next change time per key via ``lead`` (per
+  key and day bucket when the version table is large).
 * ``latest_per_key`` (W2): newest row per key; Spark plans a partial
   ``WindowGroupLimit`` before the shuffle, so hot keys are cut to one row per
   map task before they move.
@@ -37,10 +38,24 @@ def _pairs(on) -> list[tuple[str, str]]:
     return [(k, k) if isinstance(k, str) else (k[0], k[1]) for k in on]
 
 
+BUCKETS = ("day", "week", "month", "year")
+
+
+def _bucket(c: Column, unit: str) -> Column:
+    return F.to_date(c) if unit == "day" else F.date_trunc(unit, c).cast("date")
+
+
 def version_intervals(df: DataFrame, keys: Sequence[str], ts: str,
-                      open_end=None, out: str = "next_change_time") -> DataFrame:
+                      open_end=None, out: str = "next_change_time",
+                      plain_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS, bucket: str = "day") -> DataFrame:
     """Add ``out`` = next ``ts`` of the same key; the last version ends at
-    ``open_end`` (default ``current_timestamp()``), cast to ``ts``'s type."""
+    ``open_end`` (default ``current_timestamp()``), cast to ``ts``'s type.
+
+    A version table within ``plain_max_rows`` (checked) uses one ``lead``
+    window per key. A larger one is processed per (key, ``bucket``): ``lead``
+    inside each bucket, and the first change of the next non-empty bucket of
+    the key (a window over one row per key and bucket) for the last row of a
+    bucket. No task then holds more than one key-bucket of versions."""
     ts_type = df.schema[ts].dataType
     if open_end is None:
         end = F.current_timestamp()
@@ -48,8 +63,23 @@ def version_intervals(df: DataFrame, keys: Sequence[str], ts: str,
         end = open_end
     else:
         end = F.lit(open_end)
-    w = Window.partitionBy(*keys).orderBy(F.col(ts))
-    return df.withColumn(out, F.coalesce(F.lead(ts).over(w), end.cast(ts_type)))
+    if fits_broadcast(df, plain_max_rows):
+        w = Window.partitionBy(*keys).orderBy(F.col(ts))
+        return df.withColumn(out, F.coalesce(F.lead(ts).over(w), end.cast(ts_type)))
+    b = "_vi_bucket"
+    d = df.withColumn(b, _bucket(F.col(ts), bucket))
+    inside = d.withColumn("_vi_next", F.lead(ts).over(Window.partitionBy(*keys, b).orderBy(F.col(ts))))
+    firsts = d.groupBy(*[F.col(k).alias(f"_vi_k{i}") for i, k in enumerate(keys)], F.col(b).alias("_vi_b")) \
+        .agg(F.min(ts).alias("_vi_first"))
+    kcols = [f"_vi_k{i}" for i in range(len(keys))]
+    nxt = firsts.withColumn("_vi_next_first",
+                            F.lead("_vi_first").over(Window.partitionBy(*kcols).orderBy("_vi_b")))
+    cond = F.col(b).eqNullSafe(F.col("_vi_b"))
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(kcols[i]))
+    joined = inside.join(nxt, cond, "left")
+    return (joined.withColumn(out, F.coalesce(F.col("_vi_next"), F.col("_vi_next_first"), end.cast(ts_type)))
+            .select(*df.columns, out))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str,
@@ -72,13 +102,6 @@ def _range_condition(at: Column, start: Column, end: Column, closed: str) -> Col
     raise ValueError(f"closed must be 'left' or 'both', not {closed!r}")
 
 
-BUCKETS = ("day", "week", "month", "year")
-
-
-def _bucket(c: Column, unit: str) -> Column:
-    return F.to_date(c) if unit == "day" else F.date_trunc(unit, c).cast("date")
-
-
 def temporal_join(facts: DataFrame, versions: DataFrame, on, at: str, start: str,
                   end: str, how: str = "inner", closed: str = "left",
                   broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS, bucket: str = "day",
