@@ -55,8 +55,10 @@ def test_column_pruning(spark):
     assert schemas == ["struct<event_id:bigint,props:string>"]
 
 
-def test_latest_row_uses_group_limit(spark):
-    p = plan(QUERIES["warehouse_info"](spark, SF001))
+@pytest.mark.parametrize("name", ["warehouse_info", "visible_objects", "usage_latest_name",
+                                  "rs_types_visible"])
+def test_top1_windows_use_group_limit(spark, name):
+    p = plan(QUERIES[name](spark, SF001))
     assert "WindowGroupLimit" in p
 
 

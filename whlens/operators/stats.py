@@ -75,7 +75,7 @@ def column_stats(df: DataFrame, schema_name: str | None = None, table_name: str
                  exact: bool = False, rsd: float = 0.05) -> DataFrame:
     """A5: ``SHOW STATS`` layout for every column plus a summary row.
 
-    Per column: ``data_size`` (characters, text columns only),
+    Per column: ``data_size`` (bytes, text columns only),
     ``distinct_values_count``, ``nulls_fraction``, ``low_value`` /
     ``high_value`` (numeric columns, as double); ``row_count`` only on the
     summary row (``column_name`` null). Tagged with ``schema_name`` and
@@ -92,7 +92,7 @@ def column_stats(df: DataFrame, schema_name: str | None = None, table_name: str
         aggs.append(F.count(c).alias(f"_nn{i}"))
         aggs.append((F.count_distinct(c) if exact else F.approx_count_distinct(c, rsd)).alias(f"_nd{i}"))
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            aggs.append(F.sum(F.length(c)).cast("double").alias(f"_ds{i}"))
+            aggs.append(F.sum(F.octet_length(c)).cast("double").alias(f"_ds{i}"))
         else:
             aggs.append(F.lit(None).cast("double").alias(f"_ds{i}"))
         if isinstance(f.dataType, NUMERIC_TYPES):

@@ -186,7 +186,7 @@ def _stats_sql(tables, schema) -> str:
     parts = []
     for t in tables:
         for c, kind in PROFILE_COLUMNS[t]:
-            ds = f"cast(sum(length({c})) as double)" if kind == "s" else "cast(null as double)"
+            ds = f"cast(sum(strlen({c})) as double)" if kind == "s" else "cast(null as double)"
             lo = f"cast(min({c}) as double) + 0.0" if kind == "n" else "cast(null as double)"
             hi = f"cast(max({c}) as double) + 0.0" if kind == "n" else "cast(null as double)"
             parts.append(
