@@ -41,7 +41,7 @@ def parse_instant(value) -> dt.datetime:
     return d
 
 
-def _ts_lit(d: dt.datetime, like: Column | None = None, kind: str = "timestamp_ntz") -> Column:
+def _ts_lit(d: dt.datetime, kind: str = "timestamp_ntz") -> Column:
     return F.lit(d.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(kind)
 
 
@@ -78,7 +78,8 @@ def window_predicate(c: Column, start, end, mode: str, kind: str = "timestamp_nt
 
 def in_window(df: DataFrame, col: str, start, end, mode: str) -> DataFrame:
     """Filter ``df`` to rows whose ``col`` lies in the window."""
-    kind = df.schema[col].dataType.simpleString()
+    name = col.strip("`")
+    kind = df.schema[name].dataType.simpleString() if name in df.schema.fieldNames() else "timestamp_ntz"
     if kind not in ("timestamp", "timestamp_ntz"):
         kind = "timestamp_ntz"
     return df.where(window_predicate(F.col(col), start, end, mode, kind))
