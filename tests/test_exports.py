@@ -136,3 +136,24 @@ def test_athena_exports(spark, tmp_out):
     early = _status(spark, "athena", landed, os.path.join(tmp_out, "out2"),
                     Params(start=R.EV_START, end=R.EV_END, executions_path=exec_dir, listing_pos="pos"))
     assert early["athena_query_logs"].rows == 471
+
+
+def test_params_from_env():
+    p = Params.from_env({"QUERY_LOG_START": "2024-01-01", "QUERY_LOG_END": "2024-01-31",
+                         "EXPORT_METADATA": "True", "COLUMN_STATS": "false", "TRINO_CATALOG": "hive"},
+                        schema="s")
+    assert (p.start, p.end, p.export_metadata, p.column_stats, p.catalog, p.schema) == \
+        ("2024-01-01", "2024-01-31", True, False, "hive", "s")
+
+
+def test_cli_runs_query_logs_only(spark, tmp_out, capsys):
+    from whlens.__main__ import main
+    t = TableSet(spark, SF001)
+    e = t["events"]
+    land = os.path.join(tmp_out, "land")
+    _land(spark, land, {"QUERY_HISTORY": e.withColumnRenamed("ts", "end_time")})
+    code = main(["snowflake", land, os.path.join(tmp_out, "out"), "--start", R.EV_START, "--end", R.EV_END,
+                 "--kind", "query_logs"])
+    printed = capsys.readouterr().out
+    assert code == 0 and "query_history_snowflake" in printed and "1945" in printed
+    assert "warehouse_usage" not in printed

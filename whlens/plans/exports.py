@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import dataclasses
 import logging
+import os
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,23 @@ class Params:
     athena_csv: bool = False                 # also write the CSV form
 
 
+    @classmethod
+    def from_env(cls, environ: Mapping[str, str] | None = None, **overrides) -> "Params":
+        """Settings from the environment variables the source jobs read:
+        ``QUERY_LOG_START`` / ``QUERY_LOG_END`` (YYYY-MM-DD), ``EXPORT_METADATA``
+        and ``COLUMN_STATS`` (``true`` to enable), ``TRINO_CATALOG`` /
+        ``TRINO_SCHEMA`` (or the ``STARBURST_`` ones) for catalog and schema."""
+        env = dict(os.environ if environ is None else environ)
+
+        def flag(name):
+            return str(env.get(name, "")).strip().lower() == "true"
+        p = cls(start=env.get("QUERY_LOG_START"), end=env.get("QUERY_LOG_END"),
+                export_metadata=flag("EXPORT_METADATA"), column_stats=flag("COLUMN_STATS"),
+                catalog=env.get("TRINO_CATALOG") or env.get("STARBURST_CATALOG"),
+                schema=env.get("TRINO_SCHEMA") or env.get("STARBURST_SCHEMA"))
+        return dataclasses.replace(p, **overrides)
+
+
 Builder = Callable[[Mapping[str, DataFrame], Params], DataFrame | None]
 
 
@@ -59,6 +77,7 @@ class ExportSpec:
     on_empty: str = "schema"
     hourly_ts: str | None = None
     enabled: Callable[[Params], bool] = lambda p: True
+    kind: str = "metadata"                    # metadata | query_logs
 
 
 def _tables_as_text(df: DataFrame) -> DataFrame:
@@ -102,12 +121,12 @@ SPECS: list[ExportSpec] = [
     ExportSpec("databricks", "query_history",
                lambda t, p: dbx.hourly_history(t["query.history"], p.start, p.end)
                if _readable(t, "query.history") else None,
-               writer="hourly", hourly_ts="start_time", on_empty="skip"),
+               writer="hourly", hourly_ts="start_time", on_empty="skip", kind="query_logs"),
     ExportSpec("databricks", "query_history_output",
                lambda t, p: None if _readable(t, "query.history") else dbx.rest_history(
                    read_history_pages(_spark(t), p.rest_pages),
                    p.start, p.end),
-               on_empty="skip", enabled=lambda p: p.rest_pages is not None),
+               on_empty="skip", enabled=lambda p: p.rest_pages is not None, kind="query_logs"),
     # --- Snowflake ----------------------------------------------------------------
     ExportSpec("snowflake", "tables", lambda t, p: snowflake.live_tables(t["TABLES"], t["VIEWS"])),
     ExportSpec("snowflake", "views", lambda t, p: snowflake.live_objects(t["VIEWS"])),
@@ -117,7 +136,7 @@ SPECS: list[ExportSpec] = [
     ExportSpec("snowflake", "warehouse_usage", lambda t, p: snowflake.warehouse_usage(
         t["WAREHOUSE_METERING_HISTORY"], p.start, p.end)),
     ExportSpec("snowflake", "query_history_snowflake", lambda t, p: snowflake.query_history(
-        t["QUERY_HISTORY"], p.start, p.end), on_empty="skip"),
+        t["QUERY_HISTORY"], p.start, p.end), on_empty="skip", kind="query_logs"),
     # --- Redshift -----------------------------------------------------------------
     ExportSpec("redshift", "types", lambda t, p: cat.rs_types(
         t["pg_type"], t["pg_namespace"], t["pg_class"], t["pg_description"], _optional(t, "search_path"))),
@@ -130,13 +149,15 @@ SPECS: list[ExportSpec] = [
     ExportSpec("redshift", "views", lambda t, p: t["pg_views"]),
     ExportSpec("redshift", "user", lambda t, p: t["pg_user"]),
     ExportSpec("redshift", "query_text", lambda t, p: txt.query_text(
-        t["stl_query"], t["stl_querytext"], p.start, p.end)),
-    ExportSpec("redshift", "query_ddl", lambda t, p: txt.ddl_text(t["stl_ddltext"], p.start, p.end)),
+        t["stl_query"], t["stl_querytext"], p.start, p.end), kind="query_logs"),
+    ExportSpec("redshift", "query_ddl", lambda t, p: txt.ddl_text(t["stl_ddltext"], p.start, p.end),
+               kind="query_logs"),
     ExportSpec("redshift", "query_metrics", lambda t, p: redshift.query_metrics(
-        t["stl_query_metrics"], p.start, p.end)),
+        t["stl_query_metrics"], p.start, p.end), kind="query_logs"),
     ExportSpec("redshift", "query_queue_info", lambda t, p: redshift.query_queue_info(
-        t["svl_query_queue_info"], p.start, p.end)),
-    ExportSpec("redshift", "query_wlm", lambda t, p: redshift.query_wlm(t["stl_wlm_query"], p.start, p.end)),
+        t["svl_query_queue_info"], p.start, p.end), kind="query_logs"),
+    ExportSpec("redshift", "query_wlm", lambda t, p: redshift.query_wlm(t["stl_wlm_query"], p.start, p.end),
+               kind="query_logs"),
     # --- SQL Server ---------------------------------------------------------------
     ExportSpec("mssql", "schema", lambda t, p: cat.table_schema(
         t["information_schema.tables"], t["information_schema.columns"], t["sys.tables"], t["sys.partitions"],
@@ -144,28 +165,29 @@ SPECS: list[ExportSpec] = [
     ExportSpec("mssql", "column_min_max", lambda t, p: _user_table_min_max(p),
                enabled=lambda p: bool(p.minmax_tables)),
     ExportSpec("mssql", "query_history_mssql", lambda t, p: mssql.query_history(
-        t["sys.dm_exec_query_stats"], t["sys.dm_exec_sql_text"], p.start, p.end), on_empty="skip"),
+        t["sys.dm_exec_query_stats"], t["sys.dm_exec_sql_text"], p.start, p.end), on_empty="skip", kind="query_logs"),
     # --- Trino --------------------------------------------------------------------
     ExportSpec("trino", "schema_info_{catalog}", lambda t, p: starburst.schema_info(
         t["information_schema.columns"], p.catalog)),
     ExportSpec("trino", "stats_{schema}", lambda t, p: starburst.stats(p.stats_tables or {}, p.schema),
                on_empty="skip", enabled=lambda p: p.column_stats),
     ExportSpec("trino", "query_history_trino", lambda t, p: starburst.trino_history(
-        t["query_history"], p.history_cap), on_empty="skip"),
+        t["query_history"], p.history_cap), on_empty="skip", kind="query_logs"),
     # --- Starburst ----------------------------------------------------------------
     ExportSpec("starburst", "schema_info_{catalog}", lambda t, p: starburst.schema_info(
         t["information_schema.columns"], p.catalog)),
     ExportSpec("starburst", "stats_{schema}", lambda t, p: starburst.stats(p.stats_tables or {}, p.schema),
                on_empty="skip", enabled=lambda p: p.column_stats),
     ExportSpec("starburst", "query_history_starburst", lambda t, p: starburst.query_history(
-        t["query_history"], p.start, p.end), on_empty="skip"),
+        t["query_history"], p.start, p.end), on_empty="skip", kind="query_logs"),
     # --- Athena -------------------------------------------------------------------
     ExportSpec("athena", "athena_query_logs", lambda t, p: athena.query_logs(
         read_executions(_spark(t), p.executions_path) if p.executions_path else t["executions"],
-        p.start, p.end, p.listing_pos), on_empty="skip"),
+        p.start, p.end, p.listing_pos), on_empty="skip", kind="query_logs"),
     ExportSpec("athena", "athena_query_logs.csv", lambda t, p: athena.query_logs(
         read_executions(_spark(t), p.executions_path) if p.executions_path else t["executions"],
-        p.start, p.end, p.listing_pos), writer="csv", on_empty="skip", enabled=lambda p: p.athena_csv),
+        p.start, p.end, p.listing_pos), writer="csv", on_empty="skip", enabled=lambda p: p.athena_csv,
+        kind="query_logs"),
 ]
 
 
@@ -181,14 +203,19 @@ def specs_for(engine: str) -> list[ExportSpec]:
 STATUS_SCHEMA = "export string, path string, status string, rows long, error string"
 
 
+KINDS = ("metadata", "query_logs")
+
+
 def run_exports(spark: SparkSession, engine: str, tables: Mapping[str, DataFrame], out_dir: str,
-                params: Params, only: list[str] | None = None) -> DataFrame:
-    """K6: write every enabled export of ``engine``; one failure does not stop
-    the others. Returns one status row per export (written / empty / skipped
-    / failed, rows, error text). Each export is one Spark job."""
+                params: Params, only: list[str] | None = None,
+                kinds: tuple[str, ...] = KINDS) -> DataFrame:
+    """K6: write every enabled export of ``engine`` of the given ``kinds``
+    (metadata, query logs); one failure does not stop the others. Returns one
+    status row per export (written / empty / disabled / not applicable /
+    failed, rows, error text). Each export is one Spark job."""
     status = []
     for spec in specs_for(engine):
-        if only and spec.name not in only:
+        if (only and spec.name not in only) or spec.kind not in kinds:
             continue
         fmt_params = {"catalog": params.catalog, "schema": params.schema}
         name = spec.name.format(**fmt_params)
