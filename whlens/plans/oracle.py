@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from whlens.plans import registry as R
 from whlens.plans.roles import (QUERY_METRICS_COLUMNS, QUERY_QUEUE_INFO_COLUMNS, QUERY_WLM_COLUMNS,
-                                metric_column_rule)
+                                metric_column_rule, rest_metric_rule)
 
 # --- roles as DuckDB SQL ------------------------------------------------------------
 
@@ -216,12 +216,6 @@ _J1 = """
       on u.account_id = w.w_account_id and u.workspace_id = w.workspace_id and u.warehouse_id = w.warehouse_id
     where u.billing_origin_product = 'SQL'"""
 
-_NULL_METRICS = ["read_remote_bytes", "write_remote_bytes", "read_cache_bytes", "spill_to_disk_bytes",
-                 "task_total_time_ms", "read_files_count", "read_partitions_count", "photon_total_time_ms",
-                 "rows_read_count", "result_fetch_time_ms", "network_sent_bytes", "pruned_bytes",
-                 "pruned_files_count", "provisioning_queue_start_timestamp", "overloading_queue_start_timestamp"]
-
-
 def _ms(expr: str) -> str:
     """Epoch milliseconds, truncated (DuckDB's epoch_ms rounds)."""
     return f"(epoch_us({expr}) // 1000)"
@@ -230,18 +224,9 @@ def _ms(expr: str) -> str:
 def _rest_sql() -> str:
     s_ms = _ms(f"timestamp '{R.EV_START} 00:00:00'")
     e_ms = _ms(f"(timestamp '{R.EV_END} 00:00:00' + interval 1 day)") + " - 1"
-    metric = {
-        "total_time_ms": "cast(trunc(value * 1000) as bigint)",
-        "read_bytes": "n_chars",
-        "rows_produced_count": "event_id % 97",
-        "compilation_time_ms": "cast(null as bigint)",
-        "execution_time_ms": "cast(trunc(value * 900) as bigint)",
-        "result_from_cache": "event_id % 7 = 0",
-        "query_compilation_start_timestamp": f"{_ms('ts')} - 5",
-    }
-    metric.update({n: "cast(null as bigint)" for n in _NULL_METRICS})
     from whlens.sources.json_pages import HISTORY_METRICS
-    mcols = ", ".join(f"{metric[n]} as {n}" for n, _ in HISTORY_METRICS)
+    mcols = ", ".join(f"{rest_metric_rule(n, i, ty.simpleString())} as {n}"
+                      for i, (n, ty) in enumerate(HISTORY_METRICS))
     return f"""
         select cast(event_id as varchar) as query_id, text as query_text, user_id,
                concat('user', cast(user_id as varchar)) as "user", {_ms('ts')} as start_time,
@@ -253,7 +238,25 @@ def _rest_sql() -> str:
           and not contains(coalesce(text, ''), 'SET use_cached_result = false ')"""
 
 
+# Date columns of the checked outputs, compared as midnight timestamps.
+DATE_OUTPUTS = {"usage_with_warehouse": ["usage_date"], "usage_cost": ["usage_date"],
+                "usage_cost_unpriced": ["usage_date"], "usage_latest_name": ["usage_date"],
+                "usage_window": ["usage_date"]}
+
+
+def _dates_as_timestamps(sql: str, cols) -> str:
+    repl = ", ".join(f"cast({c} as timestamp) as {c}" for c in cols)
+    return f"select * replace ({repl}) from ({sql}) q"
+
+
 def oracle_sql() -> dict[str, str]:
+    q = _oracle_sql()
+    for name, cols in DATE_OUTPUTS.items():
+        q[name] = _dates_as_timestamps(q[name], cols)
+    return q
+
+
+def _oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["scan_table"] = "select * from customer"
     q["history_capped"] = "select * from events limit 1000000"
@@ -489,7 +492,9 @@ def oracle_sql() -> dict[str, str]:
                {_iso('ts', ' ', 'NaT')} as create_time, {_iso('ts', ' ', 'NaT')} as execution_start_time,
                {_iso('ts', ' ', 'NaT')} as end_time, value
         from events where strftime(ts, '%Y-%m-%d') between '{R.EV_START}' and '{R.EV_END}'"""
-    q["concat_missing"] = "select * from customer union all by name select * from supplier"
+    q["concat_missing"] = """
+        select c_name, c_acctbal, c_mktsegment from customer
+        union all by name select s_name, s_acctbal from supplier"""
     q["exec_window"] = with_roles(
         f"select * from executions where submission is not null and submission between {EV_S} and {EV_E}",
         "executions")

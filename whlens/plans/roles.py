@@ -97,19 +97,23 @@ def query_history(t: Tables) -> DataFrame:
                               c("user_id"), c("event_type").alias("statement_type"), "value", "props")
 
 
+def rest_metric_rule(name: str, i: int, kind: str) -> str:
+    """SQL (same text in Spark and DuckDB) deriving REST metric ``name`` of
+    an event: a boolean flag or a number from the event id."""
+    if kind == "boolean":
+        return "event_id % 7 = 0"
+    return f"(event_id * {i + 3}) % 100003"
+
+
 def rest_records(t: Tables) -> DataFrame:
-    """REST history records (nested ``metrics``) from events and documents."""
+    """REST history records (nested ``metrics``, every field set) from events,
+    with the query text of the document of the same id (null when none)."""
+    from whlens.sources.json_pages import HISTORY_METRICS
     e, d = t["events"], t["documents"]
     j = e.join(d, e["event_id"] == d["doc_id"], "left")
     start_ms = F.unix_millis(c("ts").cast("timestamp"))
-    metrics = F.struct(
-        (c("value") * 1000).cast("long").alias("total_time_ms"),
-        c("n_chars").alias("read_bytes"),
-        (c("event_id") % 97).alias("rows_produced_count"),
-        F.lit(None).cast("long").alias("compilation_time_ms"),
-        (c("value") * 900).cast("long").alias("execution_time_ms"),
-        (c("event_id") % 7 == 0).alias("result_from_cache"),
-        (start_ms - 5).alias("query_compilation_start_timestamp"))
+    metrics = F.struct(*[F.expr(rest_metric_rule(n, i, ty.simpleString())).alias(n)
+                         for i, (n, ty) in enumerate(HISTORY_METRICS)])
     return j.select(
         c("event_id").cast("string").alias("query_id"), c("text").alias("query_text"),
         c("user_id"), F.concat(F.lit("user"), c("user_id").cast("string")).alias("user_name"),
