@@ -47,7 +47,8 @@ def _bucket(c: Column, unit: str) -> Column:
 
 def version_intervals(df: DataFrame, keys: Sequence[str], ts: str,
                       open_end=None, out: str = "next_change_time",
-                      plain_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS, bucket: str = "day") -> DataFrame:
+                      plain_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS, bucket: str = "day",
+                      small: bool | None = None) -> DataFrame:
     """Add ``out`` = next ``ts`` of the same key; the last version ends at
     ``open_end`` (default ``current_timestamp()``), cast to ``ts``'s type.
 
@@ -55,7 +56,8 @@ def version_intervals(df: DataFrame, keys: Sequence[str], ts: str,
     window per key. A larger one is processed per (key, ``bucket``): ``lead``
     inside each bucket, and the first change of the next non-empty bucket of
     the key (a window over one row per key and bucket) for the last row of a
-    bucket. No task then holds more than one key-bucket of versions."""
+    bucket. No task then holds more than one key-bucket of versions.
+    ``small`` gives the size verdict when the caller already has it."""
     ts_type = df.schema[ts].dataType
     if open_end is None:
         end = F.current_timestamp()
@@ -63,7 +65,7 @@ def version_intervals(df: DataFrame, keys: Sequence[str], ts: str,
         end = open_end
     else:
         end = F.lit(open_end)
-    if fits_broadcast(df, plain_max_rows):
+    if small if small is not None else fits_broadcast(df, plain_max_rows):
         w = Window.partitionBy(*keys).orderBy(F.col(ts))
         return df.withColumn(out, F.coalesce(F.lead(ts).over(w), end.cast(ts_type)))
     b = "_vi_bucket"
@@ -105,7 +107,7 @@ def _range_condition(at: Column, start: Column, end: Column, closed: str) -> Col
 def temporal_join(facts: DataFrame, versions: DataFrame, on, at: str, start: str,
                   end: str, how: str = "inner", closed: str = "left",
                   broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS, bucket: str = "day",
-                  facts_alias: str = "f", versions_alias: str = "v") -> DataFrame:
+                  facts_alias: str = "f", versions_alias: str = "v", small: bool | None = None) -> DataFrame:
     """Join every fact to the version(s) valid at ``facts[at]``.
 
     ``on`` lists equi keys as names (same on both sides) or ``(fact, version)``
@@ -113,7 +115,8 @@ def temporal_join(facts: DataFrame, versions: DataFrame, on, at: str, start: str
     version kept with nulls). The result keeps both aliases, so callers select
     ``f.*`` / ``v.col``. ``bucket`` is the time bucket of the large-version
     form: ``day`` spreads hot keys most; ``month`` / ``year`` keep the
-    exploded version side small when versions live for years.
+    exploded version side small when versions live for years. ``small``
+    gives the size verdict of ``versions`` when the caller already has it.
     """
     if how not in ("inner", "facts_left"):
         raise ValueError("how must be 'inner' or 'facts_left'")
@@ -127,7 +130,7 @@ def temporal_join(facts: DataFrame, versions: DataFrame, on, at: str, start: str
     vc = lambda c: F.col(f"{versions_alias}.{c}")
     rng = _range_condition(fc(at), vc(start), vc(end), closed)
 
-    if fits_broadcast(versions, broadcast_max_rows):
+    if small if small is not None else fits_broadcast(versions, broadcast_max_rows):
         cond = rng
         for a, b in pairs:
             cond = cond & (fc(a) == vc(b))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from whlens.functions.normalize import hour_label
 from whlens.operators.filters import exclude_text
-from whlens.operators.joins import maybe_broadcast, spread_order
+from whlens.operators.joins import fits_broadcast, spread_order
 from whlens.operators.nested import field, field_or_null
 from whlens.operators.temporal import latest_per_key, temporal_join, version_intervals
 from whlens.operators.windows import between_dates, in_window
@@ -33,11 +33,13 @@ def usage_with_warehouse(usage: DataFrame, warehouses: DataFrame,
     w = w.select(F.col("account_id").alias("w_account_id"),
                  F.col("workspace_id").alias("_w_workspace_id"),
                  F.col("warehouse_id").alias("_w_warehouse_id"),
-                 "warehouse_name").distinct()
+                 "warehouse_name")
+    small = fits_broadcast(w)        # the distinct rows are at most these
+    w = w.distinct()
     cond = ((F.col("account_id") == F.col("w_account_id"))
             & (F.col("workspace_id") == F.col("_w_workspace_id"))
             & (field("usage_metadata.warehouse_id") == F.col("_w_warehouse_id")))
-    return usage.join(maybe_broadcast(w), cond, "inner").select(
+    return usage.join(F.broadcast(w) if small else w, cond, "inner").select(
         *[F.col(f"`{c}`") for c in usage.columns], "warehouse_name")
 
 
@@ -88,10 +90,11 @@ def warehouse_events(events: DataFrame, warehouses: DataFrame, start, end,
     exactly at a change time matches both versions and appears twice;
     ``closed="left"`` gives at most one match."""
     ev = in_window(events, "event_time", start, end, "date_between")
-    iv = version_intervals(warehouses.select("warehouse_id", "change_time"), ["warehouse_id"],
-                           "change_time", open_end)
+    versions = warehouses.select("warehouse_id", "change_time")
+    small = fits_broadcast(versions)   # the intervals have exactly these rows
+    iv = version_intervals(versions, ["warehouse_id"], "change_time", open_end, small=small)
     j = temporal_join(ev, iv, ["warehouse_id"], "event_time", "change_time", "next_change_time",
-                      how="inner", closed=closed)
+                      how="inner", closed=closed, small=small)
     return spread_order(j.select(*[F.col(f"f.`{c}`") for c in events.columns]),
                         F.col("event_time").desc_nulls_last())
 
