@@ -350,6 +350,9 @@ def _oracle_sql() -> dict[str, str]:
         "select * from sf_tables where deleted is null and table_catalog not in ('SNOWFLAKE')", "sf_tables")
     q["live_views"] = with_roles(
         "select * from sf_views where deleted is null and table_catalog not in ('SNOWFLAKE')", "sf_views")
+    q["live_functions"] = with_roles("""
+        select table_catalog as function_catalog, table_schema, table_name, deleted from sf_tables
+        where deleted is null and table_catalog not in ('SNOWFLAKE')""", "sf_tables")
     q["tables_with_views"] = with_roles("""
         select a.*, b.view_definition from sf_tables a left join sf_views b
           on a.table_catalog = b.table_catalog and a.table_schema = b.table_schema and a.table_name = b.table_name
@@ -473,6 +476,15 @@ def _oracle_sql() -> dict[str, str]:
               where p.index_id in (0, 1)) a
           on tbl.table_name = a.TableName and tbl.table_schema = a.TableSchema
         order by a.TableName""", "sys_tables", "sys_columns")
+    q["table_schema_summed"] = with_roles("""
+        select col.table_schema, col.table_name, col.column_name, col.data_type, a.rows
+        from (select distinct table_schema, table_name from sys_tables) tbl
+        join sys_columns col on col.table_name = tbl.table_name and col.table_schema = tbl.table_schema
+        join (select t.table_schema as TableSchema, t.table_name as TableName, cast(sum(p.rows) as bigint) as rows
+              from (select distinct object_id, table_schema, table_name from sys_tables) t
+              join (select object_id, index_id, row_count as rows from sys_tables) p on t.object_id = p.object_id
+              where p.index_id in (0, 1) group by 1, 2) a
+          on tbl.table_name = a.TableName and tbl.table_schema = a.TableSchema""", "sys_tables", "sys_columns")
     q["numeric_columns"] = with_roles("""
         select t.table_schema as schema_name, t.table_name, c.column_name, c.data_type as type_name
         from (select distinct object_id, table_schema, table_name from sys_tables) t
@@ -486,6 +498,9 @@ def _oracle_sql() -> dict[str, str]:
     q["column_min_max"] = _min_max_sql(["lineitem"])
     q["column_min_max_all"] = _min_max_sql(R.PROFILE_TABLES)
     q["column_stats_exact"] = _stats_sql(R.PROFILE_TABLES, R.STATS_SCHEMA)
+    q["history_trino_window"] = f"""
+        select event_id, ts as created, user_id, event_type, value, props from events
+        where ts >= {EV_S} and ts < {EV_E1} limit 1000000"""
     q["history_text_date"] = f"""
         select event_id, strftime(ts, '%Y-%m-%d') as date,
                to_json(map(['event_type'], [event_type])) as session_properties,

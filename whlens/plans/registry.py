@@ -213,6 +213,12 @@ def q_live_views(spark, d):
     return live_rows(roles.sf_views(_t(spark, d)))
 
 
+@query("live_functions")
+def q_live_functions(spark, d):
+    f = roles.sf_tables(_t(spark, d)).withColumnRenamed("table_catalog", "function_catalog")
+    return snowflake.live_objects(f, "function_catalog")
+
+
 @query("tables_with_views")
 def q_tables_with_views(spark, d):
     t = _t(spark, d)
@@ -338,6 +344,13 @@ def q_table_schema(spark, d):
                             roles.ms_partitions(t), roles.ms_schemas(t))
 
 
+@query("table_schema_summed")
+def q_table_schema_summed(spark, d):
+    t = _t(spark, d)
+    return cat.table_schema(roles.is_tables(t), roles.sys_columns(t), roles.ms_tables(t),
+                            roles.ms_partitions(t), roles.ms_schemas(t), sum_partitions=True)
+
+
 @query("numeric_columns")
 def q_numeric_columns(spark, d):
     t = _t(spark, d)
@@ -375,6 +388,12 @@ def q_column_stats(spark, d):
     return st.schema_stats({n: t[n] for n in PROFILE_TABLES}, STATS_SCHEMA, exact=False)
 
 
+@query("history_trino_window")
+def q_history_trino_window(spark, d):
+    h = _t(spark, d)["events"].withColumnRenamed("ts", "created")
+    return starburst.trino_history(h, 1_000_000, EV_START, EV_END)
+
+
 @query("history_text_date")
 def q_history_text_date(spark, d):
     return starburst.query_history(roles.text_date_history(_t(spark, d)), EV_START, EV_END)
