@@ -45,7 +45,7 @@ def usage_with_warehouse(usage: DataFrame, warehouses: DataFrame,
 
 def usage_cost(usage: DataFrame, warehouses: DataFrame, list_prices: DataFrame,
                start, end, today=None, product: str = "SQL", currency: str = "USD",
-               keep_unpriced: bool = False, latest_name: bool = False) -> DataFrame:
+               keep_unpriced: bool = False, latest_name: bool = False, ordered: bool = True) -> DataFrame:
     """Export ``usage``: SQL-warehouse usage priced at the list price valid
     when the usage ended.
 
@@ -59,7 +59,9 @@ def usage_cost(usage: DataFrame, warehouses: DataFrame, list_prices: DataFrame,
     * the source writes ``prices LEFT JOIN usage ... WHERE account_id IS NOT
       NULL``: an inner join (J6), so usage without a price is dropped;
       ``keep_unpriced=True`` keeps it with a zero cost;
-    * ordered by ``usage_start_time`` (O1).
+    * ordered by ``usage_start_time`` (O1). A global order costs one extra
+      pass over the joined rows (the range partitioner samples its input);
+      ``ordered=False`` returns the same rows without it.
     """
     u = between_dates(usage.where(F.col("billing_origin_product") == product),
                       "usage_date", start, end)
@@ -77,26 +79,28 @@ def usage_cost(usage: DataFrame, warehouses: DataFrame, list_prices: DataFrame,
         F.col("v.price_start_time"), F.col("v.currency_code"), price.alias("price_per_unit"),
         *[F.col(f"f.`{c}`") for c in cte.columns],
         F.coalesce(F.col("f.usage_quantity") * price, F.lit(0)).alias("usage_usd"))
-    return spread_order(out.where(F.col("account_id").isNotNull()), F.col("usage_start_time").asc_nulls_first())
+    out = out.where(F.col("account_id").isNotNull())
+    return spread_order(out, F.col("usage_start_time").asc_nulls_first()) if ordered else out
 
 
 def warehouse_events(events: DataFrame, warehouses: DataFrame, start, end,
-                     open_end=None, closed: str = "both") -> DataFrame:
+                     open_end=None, closed: str = "both", ordered: bool = True) -> DataFrame:
     """Export ``event``: warehouse events inside a version interval of their
     warehouse, events of the window days, newest first.
 
     Version intervals come from W1 (``lead`` per warehouse id, last one open
     to ``open_end``). ``closed="both"`` is the source's ``BETWEEN``: an event
     exactly at a change time matches both versions and appears twice;
-    ``closed="left"`` gives at most one match."""
+    ``closed="left"`` gives at most one match. ``ordered=False`` skips the
+    final global order (newest first)."""
     ev = in_window(events, "event_time", start, end, "date_between")
     versions = warehouses.select("warehouse_id", "change_time")
     small = fits_broadcast(versions)   # the intervals have exactly these rows
     iv = version_intervals(versions, ["warehouse_id"], "change_time", open_end, small=small)
     j = temporal_join(ev, iv, ["warehouse_id"], "event_time", "change_time", "next_change_time",
                       how="inner", closed=closed, small=small)
-    return spread_order(j.select(*[F.col(f"f.`{c}`") for c in events.columns]),
-                        F.col("event_time").desc_nulls_last())
+    out = j.select(*[F.col(f"f.`{c}`") for c in events.columns])
+    return spread_order(out, F.col("event_time").desc_nulls_last()) if ordered else out
 
 
 def warehouse_info(warehouses: DataFrame, tie_breakers: Sequence[str] = ()) -> DataFrame:
