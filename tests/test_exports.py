@@ -157,3 +157,25 @@ def test_cli_runs_query_logs_only(spark, tmp_out, capsys):
     printed = capsys.readouterr().out
     assert code == 0 and "query_history_snowflake" in printed and "1945" in printed
     assert "warehouse_usage" not in printed
+
+
+@pytest.mark.parametrize("source", ["scan", "analyze"])
+def test_stats_from_catalog_schema(spark, tmp_out, source):
+    spark.sql("create database if not exists whl_stats")
+    t = TableSet(spark, SF001)
+    for n in ("region", "nation"):
+        t[n].write.mode("overwrite").saveAsTable(f"whl_stats.{n}")
+    st = _status(spark, "trino", TableSet(spark, os.path.join(tmp_out, "land")), os.path.join(tmp_out, "out"),
+                 Params(schema="whl_stats", column_stats=True, stats_source=source))
+    assert st["stats_whl_stats"].rows == 2 + 1 + 3 + 1
+    back = spark.read.parquet(os.path.join(tmp_out, "out", "trino-logs", "stats_whl_stats"))
+    rows = {(r.table_name, r.column_name): r for r in back.collect()}
+    assert rows[("region", None)].row_count == 5.0 and rows[("nation", None)].row_count == 25.0
+
+
+def test_trino_history_named_table(spark, tmp_out):
+    spark.sql("create database if not exists whl_hist")
+    TableSet(spark, SF001)["events"].write.mode("overwrite").saveAsTable("whl_hist.queries")
+    st = _status(spark, "trino", TableSet(spark, os.path.join(tmp_out, "land")), os.path.join(tmp_out, "out"),
+                 Params(history_table="whl_hist.queries", catalog="c"))
+    assert st["query_history_trino"].rows == 10000

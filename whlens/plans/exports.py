@@ -23,6 +23,9 @@ from whlens.operators import catalog as cat
 from whlens.operators import text as txt
 from whlens.plans import athena, databricks as dbx, mssql, redshift, snowflake, starburst
 from whlens.sinks.writers import export_path, write_csv, write_export, write_hourly
+from whlens.operators.nested import concat_frames, tag
+from whlens.operators.stats import analyze_table
+from whlens.sources.catalog import list_tables
 from whlens.sources.json_pages import read_executions, read_history_pages
 
 log = logging.getLogger(__name__)
@@ -42,6 +45,8 @@ class Params:
     stats_tables: Mapping[str, DataFrame] | None = None   # tables of ``schema``
     minmax_tables: Mapping[str, DataFrame] | None = None  # user tables for column_min_max
     history_cap: int = 1_000_000
+    history_table: str | None = None         # caller-named history table (Trino)
+    stats_source: str = "scan"               # scan: one-pass profile | analyze: catalog statistics
     rest_pages: str | None = None            # folder of landed REST history pages
     executions_path: str | None = None       # folder of landed execution batches
     listing_pos: str | None = None           # Athena listing position column (early stop)
@@ -61,7 +66,8 @@ class Params:
         p = cls(start=env.get("QUERY_LOG_START"), end=env.get("QUERY_LOG_END"),
                 export_metadata=flag("EXPORT_METADATA"), column_stats=flag("COLUMN_STATS"),
                 catalog=env.get("TRINO_CATALOG") or env.get("STARBURST_CATALOG"),
-                schema=env.get("TRINO_SCHEMA") or env.get("STARBURST_SCHEMA"))
+                schema=env.get("TRINO_SCHEMA") or env.get("STARBURST_SCHEMA"),
+                history_table=env.get("TRINO_QH_TABLE"))
         return dataclasses.replace(p, **overrides)
 
 
@@ -99,6 +105,25 @@ def _optional(tables: Mapping[str, DataFrame], name: str) -> DataFrame | None:
     return tables[name] if _readable(tables, name) else None
 
 
+def _schema_stats(tables: Mapping[str, DataFrame], p: Params) -> DataFrame | None:
+    """Stats of the schema's tables: the given frames, else the tables the
+    catalog lists for ``p.schema`` (S8). ``stats_source="analyze"`` reads
+    catalog statistics after ``ANALYZE`` (A6) instead of profiling (A5)."""
+    spark = _spark(tables)
+    names = list(p.stats_tables) if p.stats_tables else list_tables(spark, p.schema)
+    if p.stats_source == "analyze":
+        parts = [tag(analyze_table(spark, f"{p.schema}.{n}"), schema_name=p.schema, table_name=n)
+                 for n in names]
+        return concat_frames(parts) if parts else None
+    frames = p.stats_tables or {n: spark.table(f"{p.schema}.{n}") for n in names}
+    return starburst.stats(frames, p.schema)
+
+
+def _trino_history(tables: Mapping[str, DataFrame], p: Params) -> DataFrame:
+    h = _spark(tables).table(p.history_table) if p.history_table else tables["query_history"]
+    return starburst.trino_history(h, p.history_cap)
+
+
 def _user_table_min_max(p: Params) -> DataFrame:
     if not p.minmax_tables:
         raise ValueError("minmax_tables not given")
@@ -169,15 +194,12 @@ SPECS: list[ExportSpec] = [
     # --- Trino --------------------------------------------------------------------
     ExportSpec("trino", "schema_info_{catalog}", lambda t, p: starburst.schema_info(
         t["information_schema.columns"], p.catalog)),
-    ExportSpec("trino", "stats_{schema}", lambda t, p: starburst.stats(p.stats_tables or {}, p.schema),
-               on_empty="skip", enabled=lambda p: p.column_stats),
-    ExportSpec("trino", "query_history_trino", lambda t, p: starburst.trino_history(
-        t["query_history"], p.history_cap), on_empty="skip", kind="query_logs"),
+    ExportSpec("trino", "stats_{schema}", _schema_stats, on_empty="skip", enabled=lambda p: p.column_stats),
+    ExportSpec("trino", "query_history_trino", _trino_history, on_empty="skip", kind="query_logs"),
     # --- Starburst ----------------------------------------------------------------
     ExportSpec("starburst", "schema_info_{catalog}", lambda t, p: starburst.schema_info(
         t["information_schema.columns"], p.catalog)),
-    ExportSpec("starburst", "stats_{schema}", lambda t, p: starburst.stats(p.stats_tables or {}, p.schema),
-               on_empty="skip", enabled=lambda p: p.column_stats),
+    ExportSpec("starburst", "stats_{schema}", _schema_stats, on_empty="skip", enabled=lambda p: p.column_stats),
     ExportSpec("starburst", "query_history_starburst", lambda t, p: starburst.query_history(
         t["query_history"], p.start, p.end), on_empty="skip", kind="query_logs"),
     # --- Athena -------------------------------------------------------------------
