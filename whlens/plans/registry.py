@@ -47,8 +47,17 @@ def query(name: str):
     return deco
 
 
+_TABLESETS: dict[tuple[int, str], tuple[SparkSession, TableSet]] = {}
+
+
 def _t(spark: SparkSession, sf_dir: str) -> TableSet:
-    return TableSet(spark, sf_dir)
+    """The test tables of ``sf_dir``, read once per session (the checked
+    queries share them; each read lists the file and its footer)."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    hit = _TABLESETS.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = _TABLESETS[key] = (spark, TableSet(spark, sf_dir))
+    return hit[1]
 
 
 def _drop_nested(df: DataFrame) -> DataFrame:
