@@ -85,3 +85,15 @@ def test_take_until_equals_filter_on_sorted_listing(spark, hours):
     a = sorted(r.pos for r in take_until(df, "pos", "t", s, e).collect())
     b = sorted(r.pos for r in range_or_skip(df, "t", s, e).collect())
     assert a == b
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from([0.0, -0.0, 1.5, float("nan"), None]),
+                               st.sampled_from(["a, b", "a", "b", None]),
+                               st.lists(st.sampled_from(["a, b", "a", "b"]), max_size=2)),
+                     min_size=0, max_size=20))
+def test_exact_distinct_counts_match_count_distinct(spark, rows):
+    df = spark.createDataFrame(rows, "x double, s string, arr array<string>")
+    got = {r["_i"]: r["_nd"] for r in stats.exact_distinct_counts(df).collect()}
+    want = df.agg(*[F.count_distinct(c).alias(c) for c in df.columns]).first()
+    assert [got.get(i, 0) for i in range(3)] == [want["x"], want["s"], want["arr"]]
