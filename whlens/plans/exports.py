@@ -6,7 +6,8 @@ says how it is written. ``run_exports`` writes the exports of one warehouse
 one after the other; a failing export is recorded and the others go on.
 
 Landed table names follow the warehouse's own names (``billing.usage``,
-``STL_QUERY`` -> ``stl_query``, ...); see the ``tables`` field of each spec.
+``compute.warehouses``, ``TABLES``, ``stl_query``, ``sys.partitions``, ...);
+each builder below names the tables it reads.
 """
 
 from __future__ import annotations
