@@ -77,3 +77,39 @@ def test_hot_hour_written_by_several_tasks(spark, tmp_out):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_shuffled_text_join_splits_hot_handle(spark, monkeypatch):
+    """Above the broadcast bound the lateral text join is a shuffled join; a
+    handle holding a third of the stats rows is split by AQE's skew join."""
+    import contextlib
+    import io
+
+    from whlens.operators import text as txt
+    monkeypatch.setattr(txt, "maybe_broadcast", lambda df, max_rows=None: df)   # text side "too large"
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    prev = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        stats = spark.range(60000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("sql_handle"),
+            F.col("id").alias("n"))
+        texts = spark.range(500).select(F.col("id").alias("sql_handle"),
+                                        F.concat(F.lit("q"), F.col("id").cast("string")).alias("text"))
+        j = txt.apply_text(stats, texts)
+        assert len(j.collect()) == 60000
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            j.explain()
+        assert "isFinalPlan=true" in buf.getvalue() and "SortMergeJoin(skew=true)" in buf.getvalue()
+    finally:
+        for k, v in prev.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
