@@ -179,3 +179,13 @@ def test_trino_history_named_table(spark, tmp_out):
     st = _status(spark, "trino", TableSet(spark, os.path.join(tmp_out, "land")), os.path.join(tmp_out, "out"),
                  Params(history_table="whl_hist.queries", catalog="c"))
     assert st["query_history_trino"].rows == 10000
+
+
+def test_decision_options_reach_exports(spark, tmp_out):
+    t = TableSet(spark, SF001)
+    landed = _land(spark, os.path.join(tmp_out, "land"), {
+        "information_schema.tables": roles.is_tables(t), "information_schema.columns": roles.sys_columns(t),
+        "sys.tables": roles.ms_tables(t), "sys.partitions": roles.ms_partitions(t),
+        "sys.schemas": roles.ms_schemas(t)})
+    st = _status(spark, "mssql", landed, os.path.join(tmp_out, "out"), Params(sum_partitions=True))
+    assert st["schema"].rows == 8000                  # one row per column once partitions are summed

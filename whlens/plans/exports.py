@@ -52,6 +52,14 @@ class Params:
     executions_path: str | None = None       # folder of landed execution batches
     listing_pos: str | None = None           # Athena listing position column (early stop)
     athena_csv: bool = False                 # also write the CSV form
+    # decisions on the source's quirks (README "Decisions and deviations")
+    keep_unpriced: bool = False              # usage without a valid price kept (cost 0)
+    latest_name: bool = False                # usage joined to the newest warehouse name only
+    events_closed: str = "both"              # "left": an event on a change time matches one version
+    ordered: bool = True                     # global order of usage / event exports
+    schema_by_name: bool = False             # SQL Server row counts joined by table name only
+    sum_partitions: bool = False             # SQL Server row counts summed over partitions
+    ddl_rtrim: bool = True                   # trim chunk ends before joining DDL text
 
 
     @classmethod
@@ -140,9 +148,11 @@ SPECS: list[ExportSpec] = [
     ExportSpec("databricks", "views", lambda t, p: t["information_schema.views"],
                enabled=lambda p: p.export_metadata),
     ExportSpec("databricks", "usage", lambda t, p: dbx.usage_cost(
-        t["billing.usage"], t["compute.warehouses"], t["billing.list_prices"], p.start, p.end, p.today)),
+        t["billing.usage"], t["compute.warehouses"], t["billing.list_prices"], p.start, p.end, p.today,
+        keep_unpriced=p.keep_unpriced, latest_name=p.latest_name, ordered=p.ordered)),
     ExportSpec("databricks", "event", lambda t, p: dbx.warehouse_events(
-        t["compute.warehouse_events"], t["compute.warehouses"], p.start, p.end, p.open_end)),
+        t["compute.warehouse_events"], t["compute.warehouses"], p.start, p.end, p.open_end,
+        closed=p.events_closed, ordered=p.ordered)),
     ExportSpec("databricks", "warehouse_info", lambda t, p: dbx.warehouse_info(t["compute.warehouses"])),
     ExportSpec("databricks", "query_history",
                lambda t, p: dbx.hourly_history(t["query.history"], p.start, p.end)
@@ -176,8 +186,8 @@ SPECS: list[ExportSpec] = [
     ExportSpec("redshift", "user", lambda t, p: t["pg_user"]),
     ExportSpec("redshift", "query_text", lambda t, p: txt.query_text(
         t["stl_query"], t["stl_querytext"], p.start, p.end), kind="query_logs"),
-    ExportSpec("redshift", "query_ddl", lambda t, p: txt.ddl_text(t["stl_ddltext"], p.start, p.end),
-               kind="query_logs"),
+    ExportSpec("redshift", "query_ddl", lambda t, p: txt.ddl_text(t["stl_ddltext"], p.start, p.end,
+                                                                  rtrim=p.ddl_rtrim), kind="query_logs"),
     ExportSpec("redshift", "query_metrics", lambda t, p: redshift.query_metrics(
         t["stl_query_metrics"], p.start, p.end), kind="query_logs"),
     ExportSpec("redshift", "query_queue_info", lambda t, p: redshift.query_queue_info(
@@ -187,7 +197,7 @@ SPECS: list[ExportSpec] = [
     # --- SQL Server ---------------------------------------------------------------
     ExportSpec("mssql", "schema", lambda t, p: cat.table_schema(
         t["information_schema.tables"], t["information_schema.columns"], t["sys.tables"], t["sys.partitions"],
-        t["sys.schemas"])),
+        t["sys.schemas"], by_schema=not p.schema_by_name, sum_partitions=p.sum_partitions)),
     ExportSpec("mssql", "column_min_max", lambda t, p: _user_table_min_max(p),
                enabled=lambda p: bool(p.minmax_tables)),
     ExportSpec("mssql", "query_history_mssql", lambda t, p: mssql.query_history(
