@@ -21,7 +21,7 @@ from whlens.operators import text as txt
 from whlens.operators.filters import exclude_text, live_rows, visible_objects
 from whlens.operators.temporal import version_intervals
 from whlens.operators.windows import between_dates, in_window, range_or_skip, take_until
-from whlens.plans import athena, databricks as dbx, roles, snowflake, starburst
+from whlens.plans import athena, databricks as dbx, mssql, redshift, roles, snowflake, starburst
 from whlens.sources.catalog import catalog_columns
 from whlens.sources.files import TableSet, scan, scan_capped
 
@@ -269,24 +269,21 @@ def q_query_ddl_raw(spark, d):
     return txt.ddl_text(roles.ddl_chunks(_t(spark, d)), DDL_START, DDL_END, rtrim=False)
 
 
-def _metric_export(spark, d, columns, ts):
-    m = roles.metric_table(_t(spark, d), columns)
-    return in_window(m, ts, STATS_START, STATS_END, "closed_instant").select(*columns)
-
-
 @query("query_metrics")
 def q_query_metrics(spark, d):
-    return _metric_export(spark, d, roles.QUERY_METRICS_COLUMNS, "starttime")
+    return redshift.query_metrics(roles.metric_table(_t(spark, d), roles.QUERY_METRICS_COLUMNS),
+                                  STATS_START, STATS_END)
 
 
 @query("query_queue_info")
 def q_query_queue_info(spark, d):
-    return _metric_export(spark, d, roles.QUERY_QUEUE_INFO_COLUMNS, "queue_start_time")
+    return redshift.query_queue_info(roles.metric_table(_t(spark, d), roles.QUERY_QUEUE_INFO_COLUMNS),
+                                     STATS_START, STATS_END)
 
 
 @query("query_wlm")
 def q_query_wlm(spark, d):
-    return _metric_export(spark, d, roles.QUERY_WLM_COLUMNS, "queue_start_time")
+    return redshift.query_wlm(roles.metric_table(_t(spark, d), roles.QUERY_WLM_COLUMNS), STATS_START, STATS_END)
 
 
 @query("rs_types")
@@ -369,7 +366,7 @@ def q_numeric_columns(spark, d):
 @query("query_stats_text")
 def q_query_stats_text(spark, d):
     t = _t(spark, d)
-    return txt.apply_text(roles.query_stats(t), roles.query_texts(t), "sql_handle", STATS_START, STATS_END)
+    return mssql.query_history(roles.query_stats(t), roles.query_texts(t), STATS_START, STATS_END)
 
 
 @query("column_min_max")

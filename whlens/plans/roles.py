@@ -14,6 +14,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from whlens.plans.redshift import (QUERY_METRICS_COLUMNS, QUERY_QUEUE_INFO_COLUMNS,  # noqa: F401
+                                   QUERY_WLM_COLUMNS)
+
 Tables = Mapping[str, DataFrame]
 
 
@@ -213,19 +216,6 @@ def search_path(t: Tables) -> DataFrame:
                                                           c("r_name").alias("nspname"))
 
 
-# Column lists of the Redshift metric exports.
-QUERY_METRICS_COLUMNS = (
-    "userid", "service_class", "query", "segment", "step_type", "starttime", "slices", "max_rows", "rows",
-    "max_cpu_time", "cpu_time", "max_blocks_read", "blocks_read", "max_run_time", "run_time",
-    "max_blocks_to_disk", "blocks_to_disk", "step", "max_query_scan_size", "query_scan_size",
-    "query_priority", "query_queue_time", "service_class_name")
-QUERY_QUEUE_INFO_COLUMNS = (
-    "database", "query", "xid", "userid", "queue_start_time", "exec_start_time", "service_class", "slots",
-    "queue_elapsed", "exec_elapsed", "wlm_total_elapsed", "commit_queue_elapsed", "commit_exec_time")
-QUERY_WLM_COLUMNS = (
-    "userid", "xid", "task", "query", "service_class", "slot_count", "service_class_start_time",
-    "queue_start_time", "queue_end_time", "total_queue_time", "exec_start_time", "exec_end_time",
-    "total_exec_time", "service_class_end_time", "final_state", "query_priority")
 TIME_COLUMNS = {"starttime", "queue_start_time", "exec_start_time", "service_class_start_time",
                 "queue_end_time", "exec_end_time", "service_class_end_time"}
 TEXT_COLUMNS = {"service_class_name", "query_priority", "final_state", "database"}
