@@ -189,3 +189,15 @@ def test_decision_options_reach_exports(spark, tmp_out):
         "sys.schemas": roles.ms_schemas(t)})
     st = _status(spark, "mssql", landed, os.path.join(tmp_out, "out"), Params(sum_partitions=True))
     assert st["schema"].rows == 8000                  # one row per column once partitions are summed
+
+
+def test_cli_params(spark, tmp_out, capsys):
+    from whlens.__main__ import main
+    t = TableSet(spark, SF001)
+    land = os.path.join(tmp_out, "land")
+    _land(spark, land, {"information_schema.tables": roles.is_tables(t),
+                        "information_schema.columns": roles.sys_columns(t), "sys.tables": roles.ms_tables(t),
+                        "sys.partitions": roles.ms_partitions(t), "sys.schemas": roles.ms_schemas(t)})
+    code = main(["mssql", land, os.path.join(tmp_out, "out"), "--kind", "metadata",
+                 "--param", "sum_partitions=true"])
+    assert code == 0 and "8000" in capsys.readouterr().out

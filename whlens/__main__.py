@@ -10,8 +10,13 @@ status of every export is printed; the exit code is 1 when one failed.
 from __future__ import annotations
 
 import argparse
+import dataclasses
+import os
 import sys
 
+if not __package__:   # run as a file (spark-submit whlens/__main__.py): make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 from whlens.plans.exports import KINDS, SPECS, Params, run_exports
 from whlens.session import build_session
 from whlens.sources.files import TableSet
@@ -29,10 +34,23 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--format", default="parquet", help="format of the landed tables")
     ap.add_argument("--rest-pages", help="folder of landed REST history pages (Databricks fallback)")
     ap.add_argument("--executions", help="folder of landed execution batches (Athena)")
+    ap.add_argument("--param", action="append", default=[], metavar="KEY=VALUE",
+                    help="any Params field, e.g. ordered=false, events_closed=left, keep_unpriced=true")
     args = ap.parse_args(argv)
 
     overrides = {k: v for k, v in (("start", args.start), ("end", args.end), ("rest_pages", args.rest_pages),
                                    ("executions_path", args.executions)) if v}
+    fields = {f.name: f for f in dataclasses.fields(Params)}
+    for item in args.param:
+        key, _, value = item.partition("=")
+        if key not in fields:
+            ap.error(f"unknown parameter {key!r}")
+        if fields[key].type in ("bool", bool):
+            overrides[key] = value.strip().lower() == "true"
+        elif fields[key].type in ("int", int):
+            overrides[key] = int(value)
+        else:
+            overrides[key] = value
     params = Params.from_env(**overrides)
     spark = build_session(app_name=f"whlens-{args.engine}")
     tables = TableSet(spark, args.landed, fmt=args.format)
