@@ -34,3 +34,39 @@ def test_incremental_hourly_export(spark, tmp_out):
     # a third run with nothing new changes nothing
     run_hourly_export(spark, os.path.join(land, "*"), hist.schema, out, **kw)
     assert spark.read.parquet(out).count() == 1945
+
+
+def test_incremental_rest_history(spark, tmp_out):
+    import __spark_entry__ as E
+    from whlens.streaming.hourly import run_rest_history_export
+    t = TableSet(spark, SF001)
+    rec = roles.rest_records(t)
+    pages = (rec.groupBy((F.col("user_id") % 20).alias("pg"))
+             .agg(F.collect_list(F.struct(*rec.columns)).alias("res")).drop("pg"))
+    land, out = os.path.join(tmp_out, "pages"), os.path.join(tmp_out, "out")
+    name = f"test_rest_{os.path.basename(tmp_out)}"
+    pages.where(F.col("res")[0]["user_id"] % 2 == 0).write.json(os.path.join(land, "a"))
+    run_rest_history_export(spark, os.path.join(land, "*"), out, EV_START, EV_END, name=name)
+    first = spark.read.parquet(out).count()
+    pages.where(F.col("res")[0]["user_id"] % 2 == 1).write.json(os.path.join(land, "b"))
+    run_rest_history_export(spark, os.path.join(land, "*"), out, EV_START, EV_END, name=name)
+    got = spark.read.parquet(out)
+    want = E.queries()["rest_history"](spark, SF001)
+    assert 0 < first < got.count() == want.count()
+    assert got.select("query_id").distinct().count() == want.count()
+
+
+def test_incremental_execution_export(spark, tmp_out):
+    from whlens.streaming.hourly import run_execution_export
+    t = TableSet(spark, SF001)
+    x = roles.nested_executions(t)
+    batches = (x.groupBy((F.col("pos") % 50).alias("b"))
+               .agg(F.collect_list(F.struct(*x.columns)).alias("QueryExecutions")))
+    land, out = os.path.join(tmp_out, "exec"), os.path.join(tmp_out, "out")
+    name = f"test_exec_{os.path.basename(tmp_out)}"
+    batches.where(F.col("b") < 25).drop("b").write.json(os.path.join(land, "a"))
+    schema = spark.read.json(os.path.join(land, "a")).schema
+    run_execution_export(spark, os.path.join(land, "*"), schema, out, EV_START, EV_END, name=name)
+    batches.where(F.col("b") >= 25).drop("b").write.json(os.path.join(land, "b"))
+    run_execution_export(spark, os.path.join(land, "*"), schema, out, EV_START, EV_END, name=name)
+    assert spark.read.parquet(out).count() == 1598

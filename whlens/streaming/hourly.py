@@ -1,4 +1,4 @@
-"""Incremental hourly history export with Structured Streaming.
+"""Incremental exports over landed files with Structured Streaming.
 
 The source exports query history hour by hour over a date range (one bounded
 query per hour). Once history is landed continuously as files, the same
@@ -8,6 +8,9 @@ since the last run (``Trigger.AvailableNow``), applies the same rows rules
 label) and appends to the hour folders. The file sink and its checkpoint
 make each file count exactly once, across restarts and lost executors.
 
+The REST history pages and the execution batches are exported the same way
+(``run_rest_history_export``, ``run_execution_export``).
+
 The checkpoint lives under the shared folder named by ``spark.checkpoint.dir``
 (set by the cluster); only when that is unset (tests) a scratch folder is used.
 """
@@ -58,3 +61,39 @@ def run_hourly_export(spark: SparkSession, source_dir: str, schema: T.StructType
                       **kwargs) -> None:
     """Process every history file not yet exported, then return."""
     start_hourly_export(spark, source_dir, schema, out_dir, **kwargs).awaitTermination()
+
+
+def start_file_export(spark: SparkSession, source: DataFrame, out_dir: str, name: str,
+                      partition_by: list[str] | None = None) -> StreamingQuery:
+    """Append a streaming DataFrame over landed files to ``out_dir`` with an
+    AvailableNow trigger and a checkpoint under ``spark.checkpoint.dir``."""
+    checkpoint = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
+    writer = (source.writeStream.format("parquet").outputMode("append")
+              .option("checkpointLocation", checkpoint).trigger(availableNow=True))
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    return writer.start(out_dir)
+
+
+def run_rest_history_export(spark: SparkSession, pages_dir: str, out_dir: str, start, end,
+                            name: str = "query_history_output") -> None:
+    """The REST history export (pages -> records -> window, status, generated
+    statements dropped, 29 columns) over pages landed since the last run."""
+    from whlens.plans.databricks import rest_history
+    from whlens.sources.json_pages import HISTORY_PAGE, explode_records
+    pages = spark.readStream.schema(HISTORY_PAGE).json(pages_dir)
+    rows = normalize_for_export(rest_history(explode_records(pages, "res"), start, end))
+    start_file_export(spark, rows, out_dir, name).awaitTermination()
+
+
+def run_execution_export(spark: SparkSession, batches_dir: str, schema: T.StructType, out_dir: str,
+                         start, end, name: str = "athena_query_logs") -> None:
+    """The execution-log export (records with a submission time in the
+    window, flattened, ISO text times) over batches landed since the last
+    run. A streaming source needs the batch schema up front. The listing-order
+    early stop (F15) needs the whole listing and stays a batch rule."""
+    from whlens.plans.athena import query_logs
+    from whlens.sources.json_pages import explode_records
+    batches = spark.readStream.schema(schema).json(batches_dir)
+    start_file_export(spark, query_logs(explode_records(batches, "QueryExecutions"), start, end),
+                      out_dir, name).awaitTermination()
