@@ -1,11 +1,14 @@
 """Join strategy and ordering helpers.
 
-A side is broadcast only after its size has been checked: ``limit(n+1).count()``
-reads at most ``n+1`` rows, so the check is cheap even when the side turns out
-to be large. The row bound is derived from a byte budget and a conservative
-per-row width taken from the schema, so wide rows get a lower bound. Beyond
-the bound the caller's fallback is used (a shuffled join, where AQE splits
-skewed partitions, or a bucketed form).
+A side is broadcast only after its size has been checked with
+``limit(n+1).count()``: Catalyst prunes the check to zero columns, each task
+stops after ``n+1`` rows and one task counts at most ``n+1`` of them. The check
+scans the candidate side, so it is applied only to sides that are small by
+nature (price lists, version lists, warehouse lists, the queries of a window,
+statement texts), never to a fact table. The row bound is derived from a byte
+budget and a conservative per-row width taken from the schema, so wide rows
+get a lower bound. Beyond the bound the caller's fallback is used (a shuffled
+join, where AQE splits skewed partitions, or a bucketed form).
 """
 
 from __future__ import annotations
@@ -44,8 +47,8 @@ def broadcast_row_bound(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None,
                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most the bounded number of rows (reads at most
-    bound + 1 rows). ``max_rows=0`` disables broadcasting."""
+    """True when ``df`` has at most the bounded number of rows (each task
+    reads at most bound + 1 of them). ``max_rows=0`` disables broadcasting."""
     cap = DEFAULT_BROADCAST_MAX_ROWS if max_rows is None else max_rows
     bound = broadcast_row_bound(df, max_bytes, cap)
     if bound <= 0:
