@@ -205,12 +205,12 @@ SPECS: list[ExportSpec] = [
     # --- Trino --------------------------------------------------------------------
     ExportSpec("trino", "schema_info_{catalog}", lambda t, p: starburst.schema_info(
         t["information_schema.columns"], p.catalog)),
-    ExportSpec("trino", "stats_{schema}", _schema_stats, on_empty="skip", enabled=lambda p: p.column_stats),
+    ExportSpec("trino", "stats_{schema}", _schema_stats, enabled=lambda p: p.column_stats),
     ExportSpec("trino", "query_history_trino", _trino_history, on_empty="skip", kind="query_logs"),
     # --- Starburst ----------------------------------------------------------------
     ExportSpec("starburst", "schema_info_{catalog}", lambda t, p: starburst.schema_info(
         t["information_schema.columns"], p.catalog)),
-    ExportSpec("starburst", "stats_{schema}", _schema_stats, on_empty="skip", enabled=lambda p: p.column_stats),
+    ExportSpec("starburst", "stats_{schema}", _schema_stats, enabled=lambda p: p.column_stats),
     ExportSpec("starburst", "query_history_starburst", lambda t, p: starburst.query_history(
         t["query_history"], p.start, p.end), on_empty="skip", kind="query_logs"),
     # --- Athena -------------------------------------------------------------------

@@ -50,7 +50,9 @@ def write_export(df: DataFrame, path: str, normalize: bool = True, json_nested:
       the millisecond and stored as milliseconds (N1, N2, K2);
     * ``json_nested``: struct / array / map columns as JSON text (N3);
     * ``on_empty="skip"`` writes nothing for an empty result (returns None);
-      ``"schema"`` writes a schema-only dataset.
+      ``"schema"`` writes a schema-only dataset. The skip check takes one
+      row of ``df``: cheap for filters and joins, a full pass when ``df``
+      ends in a shuffle (sort, aggregate), so such exports use "schema".
     """
     if on_empty not in ON_EMPTY:
         raise ValueError(f"on_empty must be one of {ON_EMPTY}")
@@ -91,9 +93,14 @@ def write_hourly(df: DataFrame, path: str, ts: str, label: str = "hour",
     df = normalize_for_export(nested_to_json(df))
     if label not in df.columns:
         df = df.withColumn(label, hour_label(F.col(ts)))
+    # Emptiness is checked before the shuffle: on the rebalanced plan the
+    # check would have to finish the whole shuffle first.
+    if df.isEmpty():
+        log.info("no rows for %s: nothing written", path)
+        return None
     balanced = df.hint("rebalance", label)
     with _conf(spark, "spark.sql.files.maxRecordsPerFile", str(max_records_per_file)):
-        return write_export(balanced, path, normalize=False, on_empty="skip", partition_by=[label])
+        return write_export(balanced, path, normalize=False, on_empty="schema", partition_by=[label])
 
 
 def write_csv(df: DataFrame, path: str, on_empty: str = "skip") -> int | None:
