@@ -24,7 +24,7 @@ from whlens.sources.files import TableSet
 
 def main(argv: list[str] | None = None) -> int:
     engines = sorted({s.engine for s in SPECS})
-    ap = argparse.ArgumentParser(prog="whlens", description=__doc__.splitlines()[0])
+    ap = argparse.ArgumentParser(prog="whlens", description="Run the exports of one warehouse on its landed system tables.")
     ap.add_argument("engine", choices=engines)
     ap.add_argument("landed", help="folder of landed system tables, one dataset per table name")
     ap.add_argument("out", help="output folder; exports go to OUT/ENGINE-logs/NAME")
