@@ -103,8 +103,8 @@ def _pieces(docs: DataFrame, tokenizer: str, length: int, open_windows: int) ->
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
         for batch in slices(batches):
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                packer.add(key, coder.encode(text))
+            for key, ids in zip(batch.column(0).to_pylist(), coder.encode_all(batch.column(1).to_pylist())):
+                packer.add(key, ids)
             if packer.closed:
                 yield rows(packer.closed, False)
                 packer.closed = []

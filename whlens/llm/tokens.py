@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -12,8 +14,11 @@ from pyspark.sql import functions as F
 from whlens.llm.common import arrow_schema, slices
 
 END_ID = 2
-#: Words whose ids a task remembers, and the longest of them.
-KNOWN_WORDS, KNOWN_LENGTH = 200_000, 48
+#: Words whose ids a process remembers, the longest of them, and the length up to
+#: which they stay when there are too many; the ids of all of them.
+KNOWN_WORDS, KNOWN_LENGTH, KEPT_LENGTH, FLAT_IDS = 600_000, 48, 8, 1 << 23
+#: A word of plain Latin letters (composed ones of Latin-1 too), with marks after it.
+PLAIN = re.compile("([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-/:-@\\[-`{-~]*)")
 
 
 def default_tokenizer() -> str:
@@ -24,75 +29,107 @@ def default_tokenizer() -> str:
 class WordEncoder:
     """Encodes texts with a tokenizer whose tokens never span white space.
 
-    ``word_bpe_49k`` splits its input at white space before the merges, so a text's
-    ids are those of its space-separated words, one after the other. Each word is
-    encoded once by the library and then looked up.
+    ``word_bpe_49k`` splits its input at white space and between letters and marks
+    before the merges, so a text's ids are those of its space-separated words, one
+    after the other. Each word is encoded by the library once and then looked up:
+    plain letters by the library's model itself, all else by the whole tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
         self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {"": 0}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.starts, self.sizes, self.end = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
+        self.model = self.tokenizer.model
+        to_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes = {c: to_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
+        self.marks: dict[str, list[int]] = {"": []}
+        self._keep({})
+
+    def _keep(self, words: dict[str, int]) -> None:
+        """Remember only these words (each with its place so far)."""
+        if words:
+            at = np.fromiter(words.values(), np.int64, len(words))
+            sizes = self.sizes[at]
+            self.flat = self._gather(at)
+            self.known = dict(zip(words, range(len(words))))
+        else:
+            sizes, self.flat, self.known = np.zeros(1, np.int64), np.zeros(0, np.uint32), {"": 0}
+        self.sizes, self.starts = sizes, np.cumsum(sizes) - sizes
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _learn(self, words: list[str]) -> None:
-        for word, coded in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False)):
-            at, ids = len(self.known), coded.ids
-            while self.end + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            if at >= len(self.starts):
-                self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
-            self.flat[self.end:self.end + len(ids)] = ids
-            self.starts[at], self.sizes[at] = self.end, len(ids)
-            self.end += len(ids)
+        ids, sizes, cores = [], [], {}
+        at = len(self.sizes)
+        for word in words:
+            plain = PLAIN.fullmatch(word)
+            if plain:
+                core, marks = plain.groups()
+                core = core.lower()
+                own = cores.get(core)
+                if own is None:
+                    if core in self.known:
+                        k = self.known[core]
+                        own = self.flat[self.starts[k]:self.starts[k] + self.sizes[k]].tolist() if k < len(self.sizes) else None  # else it is new too
+                    if own is None:
+                        own = [t.id for t in self.model.tokenize(core.translate(self.bytes))]
+                    cores[core] = own
+                if marks:
+                    if marks not in self.marks:
+                        if len(self.marks) > 10_000:
+                            self.marks = {"": []}
+                        self.marks[marks] = self._whole(marks)
+                    own = own + self.marks[marks]
+            else:
+                own = self._whole(word)
             self.known[word] = at
+            at += 1
+            ids += own
+            sizes.append(len(own))
+        sizes = np.array(sizes, np.int64)
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.flat = np.concatenate([self.flat, np.array(ids, np.uint32)])
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of the whole text (null: empty) with the end id."""
-        if not text:
-            return np.array([END_ID], np.uint32)
-        words = text.replace("\n", " ").split(" ")
-        new = {w for w in words if w not in self.known}
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
+        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        words = list(chain.from_iterable(split))
+        at = self._places(words)
+        new = {words[i] for i in np.flatnonzero(at < 0).tolist()}
+        if len(self.known) + len(new) > KNOWN_WORDS or len(self.flat) > FLAT_IDS:
+            few = {w: k for w, k in self.known.items() if len(w) <= KEPT_LENGTH}
+            self._keep(few if len(few) < KNOWN_WORDS // 2 else {})
+            at = self._places(words)
+            new = {words[i] for i in np.flatnonzero(at < 0).tolist()}
         if new:
-            if any(len(w) > KNOWN_LENGTH for w in new):  # not worth remembering
-                return self._encode_mixed(words)
-            if len(self.known) + len(new) > KNOWN_WORDS:
-                self._forget()
-                new = set(words) - {""}
-            self._learn(sorted(new))
-        return self._gather(words, END_ID)
-
-    def _gather(self, words: list[str], *tail: int) -> np.ndarray:
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        starts, sizes = self.starts[at], self.sizes[at]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        out = np.empty(total + len(tail), np.uint32)
-        out[:total] = self.flat[np.repeat(starts - ends + sizes, sizes) + np.arange(total)]
-        out[total:] = tail
+            self._learn(list(new))
+            missing = np.flatnonzero(at < 0)
+            at[missing] = [self.known[words[i]] for i in missing.tolist()]
+            for w in new:
+                if len(w) > KNOWN_LENGTH:  # not worth remembering
+                    del self.known[w]
+        ends = np.cumsum(self.sizes[at])
+        ids = self._gather(at)
+        out, word, start = [], 0, 0
+        for ws in split:
+            word += len(ws)
+            end = int(ends[word - 1])
+            out.append(np.append(ids[start:end], np.uint32(END_ID)))
+            start = end
         return out
 
-    def _encode_mixed(self, words: list[str]) -> np.ndarray:
-        parts, run = [], []
-        for w in words:
-            if len(w) > KNOWN_LENGTH:
-                parts += [self._encode_run(run), np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32)]
-                run = []
-            else:
-                run.append(w)
-        return np.concatenate([*parts, self._encode_run(run), np.array([END_ID], np.uint32)])
+    def _places(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
 
-    def _encode_run(self, words: list[str]) -> np.ndarray:
-        new = {w for w in words if w not in self.known}
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self._forget()
-            new = set(words) - {""}
-        self._learn(sorted(new))
-        return self._gather(words)
+    def _gather(self, at: np.ndarray) -> np.ndarray:
+        starts, sizes = self.starts[at], self.sizes[at]
+        ends = np.cumsum(sizes)
+        return self.flat[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -115,7 +152,7 @@ def token_table(docs: DataFrame, path: str, text: str = "text", key: str = "doc_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
         for batch in slices(batches):
-            coded = [coder.encode(t) for t in batch.column(1).to_pylist()]
+            coded = coder.encode_all(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(x) for x in coded], pa.int64()),
                 pa.array([x.astype("<u2").tobytes() for x in coded], pa.binary())], schema=schema)
