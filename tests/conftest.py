@@ -16,6 +16,7 @@ def spark():
     wh = tempfile.mkdtemp(prefix="whlens-wh-")
     s = build_session("local[4]", "whlens-tests", shuffle_partitions=8,
                       extra_conf={"spark.driver.memory": "4g", "spark.sql.warehouse.dir": wh,
+                                  "spark.checkpoint.dir": "file://" + tempfile.mkdtemp(prefix="whlens-ckpt-"),
                                   "spark.driver.extraJavaOptions": f"-Dderby.system.home={wh}"})
     ensure_checkpoint_dir(s)
     yield s

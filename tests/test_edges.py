@@ -46,7 +46,7 @@ def usage(spark):
 
 @pytest.mark.parametrize("max_rows", [1000, 0])   # broadcast form / day-bucket form
 def test_temporal_join_half_open(usage, prices, max_rows):
-    j = temporal_join(usage, prices, ["sku"], "t", "ps", "pe", closed="left", broadcast_max_rows=max_rows)
+    j = temporal_join(usage, prices, ["sku"], "t", "ps", "pe", closed="left", small=bool(max_rows))
     got = {r.id: r.price for r in j.select("f.id", "v.price").collect()}
     assert got == {1: 2.0, 2: 3.0, 4: 3.0, 5: None}
     cost = j.select("f.id", F.coalesce(F.lit(10.0) * F.col("v.price"), F.lit(0.0)).alias("c"))
@@ -55,7 +55,7 @@ def test_temporal_join_half_open(usage, prices, max_rows):
 
 @pytest.mark.parametrize("max_rows", [1000, 0])
 def test_temporal_join_facts_left(usage, prices, max_rows):
-    j = temporal_join(usage, prices, ["sku"], "t", "ps", "pe", how="facts_left", broadcast_max_rows=max_rows)
+    j = temporal_join(usage, prices, ["sku"], "t", "ps", "pe", how="facts_left", small=bool(max_rows))
     got = sorted((r.id, r.price) for r in j.select("f.id", "v.price").collect())
     assert [i for i, _ in got] == [1, 2, 3, 4, 5]
     assert dict(got)[3] is None
@@ -73,10 +73,10 @@ def test_version_interval_boundaries(spark, max_rows):
                                     (12, 1, D("2023-12-31 00:00:00")),   # before first: lost
                                     (13, 2, D("2025-01-01 00:00:00"))],  # single version, open end
                                    "id int, w int, et timestamp"), "et")
-    j = temporal_join(ev, iv, ["w"], "et", "t", "nt", closed="both", broadcast_max_rows=max_rows)
+    j = temporal_join(ev, iv, ["w"], "et", "t", "nt", closed="both", small=bool(max_rows))
     ids = sorted(r.id for r in j.select("f.id").collect())
     assert ids == [10, 10, 11, 13]
-    once = temporal_join(ev, iv, ["w"], "et", "t", "nt", closed="left", broadcast_max_rows=max_rows)
+    once = temporal_join(ev, iv, ["w"], "et", "t", "nt", closed="left", small=bool(max_rows))
     assert sorted(r.id for r in once.select("f.id").collect()) == [10, 11, 13]
 
 
@@ -250,7 +250,7 @@ def test_concat_disjoint(spark):
 
 @pytest.mark.parametrize("bucket", ["week", "month", "year"])
 def test_temporal_join_buckets(usage, prices, bucket):
-    j = temporal_join(usage, prices, ["sku"], "t", "ps", "pe", closed="left", broadcast_max_rows=0,
+    j = temporal_join(usage, prices, ["sku"], "t", "ps", "pe", closed="left", broadcast_max_bytes=0,
                       bucket=bucket)
     assert {r.id: r.price for r in j.select("f.id", "v.price").collect()} == {1: 2.0, 2: 3.0, 4: 3.0, 5: None}
 

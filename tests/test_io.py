@@ -34,10 +34,40 @@ def test_write_export_normalises_times(spark, tmp_out):
     path = os.path.join(tmp_out, "t")
     write_export(df, path)
     back = spark.read.parquet(path)
-    assert back.schema["t"].dataType.simpleString() == "timestamp_ntz"
     assert back.first().t == dt.datetime(2024, 1, 1, 10, 0, 0, 2000)
 
 
+def test_times_are_stored_in_milliseconds(spark, tmp_out):
+    """Zoned and zone-less times alike, as UTC instants."""
+    import pyarrow.parquet as pq
+    df = spark.sql("select timestamp'2024-01-01 10:00:00.0015' as a, timestamp_ntz'2024-01-01 10:00:00.0025' as b")
+    path = os.path.join(tmp_out, "ms")
+    write_export(df, path)
+    schema = pq.read_schema(glob.glob(f"{path}/part-*")[0])
+    assert {str(schema.field(c).type) for c in "ab"} == {"timestamp[ms, tz=UTC]"}
+    row = spark.read.parquet(path).selectExpr("cast(a as string) a", "cast(b as string) b").first()
+    assert row.a == "2024-01-01 10:00:00.002" and row.b == "2024-01-01 10:00:00.002"
+
+
+def test_an_export_that_turns_empty_leaves_nothing(spark, tmp_out):
+    df = spark.read.parquet(f"{SF001}/region.parquet")
+    for write, path in ((lambda d, p: write_export(d, p, on_empty="skip"), os.path.join(tmp_out, "a")), (write_csv, os.path.join(tmp_out, "b"))):
+        assert write(df, path) == 5
+        assert write(df.where("false"), path) is None and not os.path.exists(path)
+
+
+def test_plain_write_runs_the_plan_once(spark, tmp_out):
+    """Emptiness comes from the write's own row count."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for r in rows:
+            seen.add(1)
+            yield r
+    df = spark.createDataFrame(spark.range(10).rdd.mapPartitions(count), "id long")
+    assert write_export(df, os.path.join(tmp_out, "once"), on_empty="skip") == 10 and seen.value == 10
+
+
 def test_empty_policies(spark, tmp_out):
     df = spark.read.parquet(f"{SF001}/region.parquet").where("false")
     skipped = os.path.join(tmp_out, "skip")
@@ -93,17 +123,39 @@ def test_run_exports_isolation(spark, tmp_out):
         "svl_query_queue_info": roles.metric_table(t, roles.QUERY_QUEUE_INFO_COLUMNS),
         "stl_wlm_query": roles.metric_table(t, roles.QUERY_WLM_COLUMNS),
         "information_schema.columns": roles.sys_columns(t), "pg_views": roles.sf_views(t),
-        "pg_table_def": roles.sys_tables(t),
-    })  # pg_user deliberately missing; no search_path => no visibility filter
+        "pg_table_def": roles.sys_tables(t), "search_path": roles.search_path(t),
+    })  # pg_user deliberately missing
     out = os.path.join(tmp_out, "out")
     status = {r.export: r for r in run_exports(spark, "redshift", landed, out,
                                                Params(start="2024-01-05", end="2024-01-25")).collect()}
     assert status["user"].status == "failed"
     for name in ("types", "aggregates", "casts", "query_text", "query_ddl", "query_metrics", "columns"):
         assert status[name].status == "written", (name, status[name].error)
-    assert status["types"].rows == 1335 and status["aggregates"].rows == 1000
+    assert status["types"].rows == 85 and status["aggregates"].rows == 471
     back = spark.read.parquet(os.path.join(out, "redshift-logs", "types"))
-    assert back.count() == 1335
+    assert back.count() == 85
+    # without a readable search path nothing is exported as if all were visible
+    path = os.path.join(land, "search_path")
+    for broken in ("corrupt", "missing"):
+        for f in glob.glob(f"{path}/part-*") + glob.glob(f"{path}/.part-*"):
+            if broken == "corrupt" and not f.endswith(".crc"):
+                with open(f, "wb") as out_file:
+                    out_file.write(b"no parquet")
+            else:
+                os.remove(f)
+        status = {r.export: r for r in run_exports(spark, "redshift", TableSet(spark, land), out,
+                                                   Params(start="2024-01-05", end="2024-01-25"), ["types", "aggregates", "casts"]).collect()}
+        assert {r.status for r in status.values()} == {"failed"}, broken
+
+
+def test_unreadable_history_fails(spark, tmp_out):
+    land, out = os.path.join(tmp_out, "landed"), os.path.join(tmp_out, "out")
+    os.makedirs(os.path.join(land, "query.history"))
+    with open(os.path.join(land, "query.history", "part-0.parquet"), "wb") as f:
+        f.write(b"no parquet")
+    status = {r.export: r for r in run_exports(spark, "databricks", TableSet(spark, land), out,
+                                               Params(start="2024-01-05", end="2024-01-06"), ["query_history"]).collect()}
+    assert status["query_history"].status == "failed" and status["query_history"].error
 
 
 def test_json_history_pages(spark, tmp_out):

@@ -7,9 +7,11 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF001
 from tools.check_oracle import TABLES, digest
+from whlens.plans.registry import queries as registered
 
-ORACLE = E.oracle_sql()
-QUERIES = E.queries()
+NAMES = set(registered())
+ORACLE = {n: s for n, s in E.oracle_sql().items() if n in NAMES}
+QUERIES = {n: q for n, q in E.queries().items() if n in NAMES}
 
 
 @pytest.fixture(scope="module")

@@ -9,8 +9,9 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF001
+from whlens.plans.registry import queries as registered
 
-QUERIES = E.queries()
+QUERIES = {n: q for n, q in E.queries().items() if n in registered()}
 
 
 def plan(df) -> str:
@@ -78,3 +79,34 @@ def test_table_schema_joins_by_schema(spark):
     df = QUERIES["table_schema"](spark, SF001)
     # one row per (column, heap/clustered partition) of the same-schema table
     assert df.count() == 12000
+
+
+def test_building_a_plan_starts_no_job(spark):
+    """Size decisions come from plan statistics."""
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    for name in ("query_text", "query_stats_text", "usage_cost", "usage_cost_bucketed", "warehouse_events_bucketed"):
+        spark.read.parquet(f"{SF001}/region.parquet").schema   # file listings may run jobs; plans may not
+        QUERIES[name](spark, SF001)
+    jobs = set(tracker.getJobIdsForGroup(None)) - before
+    stages = [tracker.getJobInfo(j) for j in jobs]
+    assert all(s is None or len(s.stageIds) <= 1 for s in stages)
+
+
+def test_statement_text_is_not_broadcast(spark):
+    """Long texts get no hint: with automatic broadcasts off, the join is shuffled."""
+    from whlens.operators import text as txt
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        texts = spark.range(200).selectExpr("id as sql_handle", "repeat('select ', 2000) as text")
+        stats = spark.range(1000).selectExpr("id % 200 as sql_handle", "id")
+        joined = txt.apply_text(stats, texts)
+        assert "BroadcastHashJoin" not in plan(joined) and joined.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_aggregates_read_the_procs_once(spark):
+    p = plan(QUERIES["rs_aggregates"](spark, SF001))
+    assert p.count("proisagg") == 0 or p.count("ListAgg") + p.count("listagg") >= 1

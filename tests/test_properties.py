@@ -33,14 +33,14 @@ def test_reassemble_inverts_split(spark, text, size, block):
 def test_temporal_forms_agree(spark, changes, events, closed, bucket):
     ch = spark.createDataFrame([(w, BASE + dt.timedelta(hours=h)) for w, h in set(changes)],
                                "w int, t timestamp").withColumn("t", F.col("t").cast("timestamp_ntz"))
-    iv = version_intervals(ch, ["w"], "t", "2030-01-01 00:00:00", out="nt")
-    iv_b = version_intervals(ch, ["w"], "t", "2030-01-01 00:00:00", out="nt", plain_max_rows=0)
+    iv = version_intervals(ch, ["w"], "t", "2030-01-01 00:00:00", out="nt", small=True)
+    iv_b = version_intervals(ch, ["w"], "t", "2030-01-01 00:00:00", out="nt", small=False)
     assert sorted(map(tuple, iv.collect())) == sorted(map(tuple, iv_b.collect()))
     ev = spark.createDataFrame([(i, w, BASE + dt.timedelta(hours=h)) for i, (w, h) in enumerate(events)],
                                "id int, w int, et timestamp").withColumn("et", F.col("et").cast("timestamp_ntz"))
 
     def pairs(max_rows):
-        j = temporal_join(ev, iv, ["w"], "et", "t", "nt", closed=closed, broadcast_max_rows=max_rows,
+        j = temporal_join(ev, iv, ["w"], "et", "t", "nt", closed=closed, small=bool(max_rows),
                           bucket=bucket)
         return sorted((r.id, r.t) for r in j.select("f.id", "v.t").collect())
     brute = sorted((i, BASE + dt.timedelta(hours=ch_h))
@@ -55,6 +55,17 @@ def test_temporal_forms_agree(spark, changes, events, closed, bucket):
         assert len(ids) == len(set(ids))          # at most one version per event
 
 
+@SETTINGS
+@given(changes=st.lists(st.tuples(st.integers(0, 1), st.one_of(st.none(), st.integers(0, 300))), min_size=1, max_size=10))
+def test_interval_forms_agree_on_nulls(spark, changes):
+    """Null and equal change times: the plain and the bucketed form give the same rows."""
+    ch = spark.createDataFrame([(w, None if h is None else BASE + dt.timedelta(hours=h)) for w, h in changes],
+                               "w int, t timestamp").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    forms = [sorted(map(str, version_intervals(ch, ["w"], "t", "2030-01-01 00:00:00", out="nt", small=small, bucket="day").collect()))
+             for small in (True, False)]
+    assert forms[0] == forms[1]
+
+
 @SETTINGS
 @given(vals=st.lists(st.tuples(st.integers(-10**6, 10**6), st.floats(-1e6, 1e6, allow_nan=False)),
                      min_size=1, max_size=30))

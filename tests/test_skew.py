@@ -29,7 +29,7 @@ def test_bucketed_temporal_join_spreads_hot_key(spark):
         versions = spark.range(50).select(F.col("id").cast("int").alias("w"),
                                           F.lit("2023-01-01").cast("timestamp_ntz").alias("s"),
                                           F.lit(None).cast("timestamp_ntz").alias("e"))
-        j = temporal_join(ev, versions, ["w"], "et", "s", "e", broadcast_max_rows=0)
+        j = temporal_join(ev, versions, ["w"], "et", "s", "e", broadcast_max_bytes=0)
         hot = j.where(F.col("f.w") == 0).select(F.spark_partition_id().alias("p"))
         assert hot.count() == 3000
         assert hot.distinct().count() >= 3            # the hot key is spread over several tasks
@@ -86,7 +86,6 @@ def test_shuffled_text_join_splits_hot_handle(spark, monkeypatch):
     import io
 
     from whlens.operators import text as txt
-    monkeypatch.setattr(txt, "maybe_broadcast", lambda df, max_rows=None: df)   # text side "too large"
     keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",

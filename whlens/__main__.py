@@ -18,7 +18,7 @@ if not __package__:   # run as a file (spark-submit whlens/__main__.py): make th
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from whlens.plans.exports import KINDS, SPECS, Params, run_exports
-from whlens.session import build_session
+from whlens.session import build_session, sizing_conf
 from whlens.sources.files import TableSet
 
 
@@ -34,6 +34,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--format", default="parquet", help="format of the landed tables")
     ap.add_argument("--rest-pages", help="folder of landed REST history pages (Databricks fallback)")
     ap.add_argument("--executions", help="folder of landed execution batches (Athena)")
+    ap.add_argument("--input-gb", type=float, help="size of the landed tables: sets split and shuffle sizes")
     ap.add_argument("--param", action="append", default=[], metavar="KEY=VALUE",
                     help="any Params field, e.g. ordered=false, events_closed=left, keep_unpriced=true")
     args = ap.parse_args(argv)
@@ -47,12 +48,13 @@ def main(argv: list[str] | None = None) -> int:
             ap.error(f"unknown parameter {key!r}")
         if fields[key].type in ("bool", bool):
             overrides[key] = value.strip().lower() == "true"
-        elif fields[key].type in ("int", int):
+        elif fields[key].type in ("int", int, "int | None"):
             overrides[key] = int(value)
         else:
             overrides[key] = value
     params = Params.from_env(**overrides)
-    spark = build_session(app_name=f"whlens-{args.engine}")
+    sizing = sizing_conf(int(args.input_gb * 1e9)) if args.input_gb else None
+    spark = build_session(app_name=f"whlens-{args.engine}", extra_conf=sizing)
     tables = TableSet(spark, args.landed, fmt=args.format)
     status = run_exports(spark, args.engine, tables, args.out, params, kinds=tuple(args.kind or KINDS))
     rows = status.collect()          # one status row per export

@@ -45,12 +45,49 @@ def tables_with_views(tables: DataFrame, views: DataFrame,
 
 # --- Redshift / PostgreSQL catalog -----------------------------------------
 
-def type_name(df: DataFrame, oid_col: str, types: DataFrame, out: str,
-              oid: str = "oid", name: str = "typname") -> DataFrame:
-    """J15 ``format_type(oid, NULL)``: left lookup of the type name."""
-    lk = types.select(F.col(oid).alias(f"_tn_{out}"), F.col(name).alias(out))
-    return (df.join(lk, F.col(oid_col) == F.col(f"_tn_{out}"), "left")
-            .drop(f"_tn_{out}"))
+# How built-in types are displayed, by type oid.
+DISPLAYED_TYPES = {
+    16: "boolean", 18: '"char"', 20: "bigint", 21: "smallint", 23: "integer", 700: "real", 701: "double precision",
+    1042: "character", 1043: "character varying", 1083: "time without time zone",
+    1114: "timestamp without time zone", 1184: "timestamp with time zone", 1186: "interval",
+    1266: "time with time zone", 1560: "bit", 1562: "bit varying", 1700: "numeric",
+}
+UNKNOWN_TYPE = "???"
+
+
+def quoted_name(c: Column) -> Column:
+    """An identifier as SQL text shows it: quoted unless it is plain lower case."""
+    return F.when(c.rlike("^[a-z_][a-z0-9_$]*$"), c).otherwise(
+        F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')))
+
+
+def displayed_types(pg_type: DataFrame, pg_namespace: DataFrame | None = None,
+                    search_path: DataFrame | None = None) -> DataFrame:
+    """(oid, displayed): the display name of every type. Built-in types have
+    their SQL names, arrays (``_name`` with an element type) their element's and
+    ``[]``; with a search path, types that it doesn't show have their schema."""
+    t = pg_type.select("oid", "typname", "typelem", *(["typnamespace"] if search_path is not None else []))
+    shown = quoted_name(F.col("typname"))
+    if search_path is not None:
+        vis = visible_type_oids(pg_type, pg_namespace, search_path).select(F.col("oid").alias("_vis"))
+        t = with_namespace(t, "typnamespace", pg_namespace, "_ns").join(vis, F.col("oid") == F.col("_vis"), "left")
+        shown = F.when(F.col("_vis").isNull() & F.col("_ns").isNotNull(),
+                       F.concat(quoted_name(F.col("_ns")), F.lit("."), shown)).otherwise(shown)
+    for oid, name in DISPLAYED_TYPES.items():
+        shown = F.when(F.col("oid") == oid, F.lit(name)).otherwise(shown)
+    t = t.select("oid", shown.alias("_own"), F.when(F.col("typname").startswith("_") & (F.col("typelem") != 0), F.col("typelem")).alias("_elem"))
+    elem = t.select(F.col("oid").alias("_e_oid"), F.col("_own").alias("_e_name"))
+    out = t.join(elem, F.col("_elem") == F.col("_e_oid"), "left")
+    return out.select("oid", F.when(F.col("_elem").isNull(), F.col("_own")).otherwise(
+        F.concat(F.coalesce("_e_name", F.lit(UNKNOWN_TYPE)), F.lit("[]"))).alias("displayed"))
+
+
+def type_name(df: DataFrame, oid_col: str, displayed: DataFrame, out: str) -> DataFrame:
+    """J15 ``format_type(oid, NULL)``: the displayed name; ``???`` for an oid that is no
+    type's, null for null."""
+    lk = displayed.select(F.col("oid").alias(f"_tn_{out}"), F.col("displayed").alias(out))
+    joined = df.join(lk, F.col(oid_col) == F.col(f"_tn_{out}"), "left")
+    return joined.withColumn(out, F.when(F.col(oid_col).isNotNull(), F.coalesce(out, F.lit(UNKNOWN_TYPE)))).drop(f"_tn_{out}")
 
 
 def describe_objects(df: DataFrame, oid_col: str, descriptions: DataFrame, catalog: str,
@@ -69,16 +106,16 @@ def with_namespace(df: DataFrame, ns_col: str, namespaces: DataFrame,
     return df.join(lk, F.col(ns_col) == F.col(f"_ns_{out}"), "left").drop(f"_ns_{out}")
 
 
-def resolve_type_names(df: DataFrame, key: str, vec: str, types: DataFrame, out: str,
+def resolve_type_names(df: DataFrame, key: str, vec: str, displayed: DataFrame, out: str,
                        sep: str = ", ") -> DataFrame:
-    """C14 ``oidvectortypes``: a vector of type oids to ``sep``-joined names in
-    vector order (unknown oids skipped). Long form: posexplode, lookup,
-    ordered listagg per ``key``, joined back."""
-    longf = df.select(F.col(key).alias("_rt_key"), F.posexplode(F.col(vec)).alias("_rt_pos", "_rt_oid"))
-    named = type_name(longf, "_rt_oid", types, "_rt_name")
-    agg = (named.groupBy("_rt_key")
-           .agg(F.expr(f"listagg(_rt_name, '{sep}') within group (order by _rt_pos)").alias(out)))
-    return df.join(agg, F.col(key) == F.col("_rt_key"), "left").drop("_rt_key")
+    """C14 ``oidvectortypes``: a vector of type oids to ``sep``-joined displayed names
+    in vector order. Long form: posexplode, lookup, ordered listagg per ``key``, which
+    carries the other columns along; ``df`` is read once."""
+    rest = [c for c in df.columns if c not in (key, vec)]
+    longf = df.select(key, *rest, F.posexplode_outer(F.col(vec)).alias("_rt_pos", "_rt_oid"))
+    named = type_name(longf, "_rt_oid", displayed, "_rt_name")
+    return named.groupBy(key).agg(*[F.any_value(c).alias(c) for c in rest],
+                                  F.expr(f"listagg(_rt_name, '{sep}') within group (order by _rt_pos)").alias(out))
 
 
 def visible_type_oids(pg_type: DataFrame, pg_namespace: DataFrame, search_path: DataFrame) -> DataFrame:
@@ -105,8 +142,9 @@ def rs_types(pg_type: DataFrame, pg_namespace: DataFrame, pg_class: DataFrame,
     if search_path is not None:
         t = t.join(visible_type_oids(pg_type, pg_namespace, search_path), "oid", "left_semi")
     t = with_namespace(t, "typnamespace", pg_namespace)
+    t = type_name(t, "oid", displayed_types(pg_type, pg_namespace, search_path), "_name")
     t = describe_objects(t, "oid", pg_description, "pg_type", "_descr")
-    out = t.select(F.col("nspname").alias("Schema"), F.col("typname").alias("Name"),
+    out = t.select(F.col("nspname").alias("Schema"), F.col("_name").alias("Name"),
                    F.col("_descr").alias("Description"))
     return order_by_ordinal(out, 1, 2)
 
@@ -125,9 +163,11 @@ def rs_aggregates(pg_proc: DataFrame, pg_namespace: DataFrame, pg_type: DataFram
         vis = visible_objects(allp, ["proname", "proargtypes"], "nspname", search_path,
                               tie_breakers=["oid"]).select("oid")
         p = p.join(vis, "oid", "left_semi")
+    displayed = displayed_types(pg_type, pg_namespace, search_path)
+    p = p.select("oid", "proname", "prorettype", "pronargs", "pronamespace", "proargtypes")
+    p = resolve_type_names(p, "oid", "proargtypes", displayed, "_args")
     p = with_namespace(p, "pronamespace", pg_namespace)
-    p = type_name(p, "prorettype", pg_type, "_ret")
-    p = resolve_type_names(p, "oid", "proargtypes", pg_type, "_args")
+    p = type_name(p, "prorettype", displayed, "_ret")
     p = describe_objects(p, "oid", pg_description, "pg_proc", "_descr")
     out = p.select(F.col("nspname").alias("Schema"), F.col("proname").alias("Name"),
                    F.col("_ret").alias("Result_data_type"),
@@ -150,8 +190,9 @@ def rs_casts(pg_cast: DataFrame, pg_proc: DataFrame, pg_type: DataFrame,
     c = pg_cast
     procs = pg_proc.select(F.col("oid").alias("_p_oid"), F.col("proname").alias("_p_name"))
     c = c.join(procs, F.col("castfunc") == F.col("_p_oid"), "left").drop("_p_oid")
-    c = type_name(c, "castsource", pg_type, "_src")
-    c = type_name(c, "casttarget", pg_type, "_tgt")
+    displayed = displayed_types(pg_type, pg_namespace, search_path)
+    c = type_name(c, "castsource", displayed, "_src")
+    c = type_name(c, "casttarget", displayed, "_tgt")
     if search_path is not None:
         vis = (visible_type_oids(pg_type, pg_namespace, search_path))
         vs = vis.select(F.col("oid").alias("_vs"))

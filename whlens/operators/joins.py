@@ -1,14 +1,10 @@
 """Join strategy and ordering helpers.
 
-A side is broadcast only after its size has been checked with
-``limit(n+1).count()``: Catalyst prunes the check to zero columns, each task
-stops after ``n+1`` rows and one task counts at most ``n+1`` of them. The check
-scans the candidate side, so it is applied only to sides that are small by
-nature (price lists, version lists, warehouse lists, the queries of a window,
-statement texts), never to a fact table. The row bound is derived from a byte
-budget and a conservative per-row width taken from the schema, so wide rows
-get a lower bound. Beyond the bound the caller's fallback is used (a shuffled
-join, where AQE splits skewed partitions, or a bucketed form).
+Where a physical form depends on a side's size, the size is the optimiser's own
+estimate of its bytes (``plan_bytes``): known before anything runs, taken from file
+sizes, never lowered by filters. No job is started while a plan is built. Sides that
+may be facts (query rows, statement texts) get no hint at all; AQE chooses from the
+measured shuffle sizes.
 """
 
 from __future__ import annotations
@@ -17,54 +13,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Budget for one broadcast side (collected on the driver, shipped to every
-# executor). Catalog / price / version tables are far below it.
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+# Largest estimated size of a side that is broadcast (Parquet bytes; several times
+# that in memory). Price, version and warehouse lists are far below it.
+DEFAULT_BROADCAST_BYTES = 16 * 1024 * 1024
 
-# Conservative in-memory width of a variable-length value (bytes).
-_VAR_WIDTH = 64
 
+def plan_bytes(df: DataFrame) -> int:
+    """Catalyst's estimate of ``df``'s size in bytes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-def row_width(dtype: T.DataType) -> int:
-    """Upper-side estimate of the in-memory bytes of one value."""
-    if isinstance(dtype, T.StructType):
-        return 8 + sum(row_width(f.dataType) for f in dtype.fields)
-    if isinstance(dtype, (T.StringType, T.BinaryType)):
-        return _VAR_WIDTH
-    if isinstance(dtype, (T.ArrayType, T.MapType)):
-        return 4 * _VAR_WIDTH
-    if isinstance(dtype, T.DecimalType):
-        return 16
-    return 8
 
+def fits_broadcast(df: DataFrame, max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` is estimated at ``max_bytes`` or less. ``None`` is the default
+    bound; 0 never broadcasts."""
+    bound = DEFAULT_BROADCAST_BYTES if max_bytes is None else max_bytes
+    return bound > 0 and plan_bytes(df) <= bound
 
-def broadcast_row_bound(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
-                        max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> int:
-    """Rows of ``df`` that fit the byte budget (at most ``max_rows``)."""
-    return min(max_rows, max_bytes // max(1, row_width(df.schema)))
 
-
-def fits_broadcast(df: DataFrame, max_rows: int | None = None,
-                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most the bounded number of rows (each task
-    reads at most bound + 1 of them). ``max_rows=0`` disables broadcasting."""
-    cap = DEFAULT_BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    bound = broadcast_row_bound(df, max_bytes, cap)
-    if bound <= 0:
-        return False
-    return df.limit(bound + 1).count() <= bound
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast hint when the size check passes, the frame unchanged otherwise."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def _has_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.MapType):
+        return True
+    if isinstance(dtype, T.ArrayType):
+        return _has_map(dtype.elementType)
+    return isinstance(dtype, T.StructType) and any(_has_map(f.dataType) for f in dtype.fields)
 
 
 def row_hash(df: DataFrame) -> Column:
-    """A deterministic 64-bit hash of the row (map columns, which Spark does
-    not hash, are left out)."""
-    cols = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    """A deterministic 64-bit hash of the row. Spark doesn't hash maps: a column that
+    is or holds one is hashed as JSON text."""
+    cols = [F.to_json(F.col(f"`{f.name}`")) if _has_map(f.dataType) else F.col(f"`{f.name}`") for f in df.schema.fields]
     return F.xxhash64(*cols) if cols else F.lit(0)
 
 

@@ -72,13 +72,18 @@ def is_nested(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.StructType, T.ArrayType, T.MapType))
 
 
+def json_text(c: Column) -> Column:
+    """JSON text of a nested value; null fields are written as ``null``."""
+    return F.to_json(c, {"ignoreNullFields": "false"})
+
+
 def nested_to_json(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Struct / array / map columns to JSON text, decided by the schema
     type (not by sampling values). Null fields are written as ``null``."""
     names = columns if columns is not None else [f.name for f in df.schema.fields if is_nested(f.dataType)]
     if not names:
         return df
-    return df.withColumns({n: F.to_json(F.col(f"`{n}`"), {"ignoreNullFields": "false"}) for n in names})
+    return df.withColumns({n: json_text(F.col(f"`{n}`")) for n in names})
 
 
 def json_field(c: Column | str, path: str, dtype: str = "string") -> Column:

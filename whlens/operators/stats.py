@@ -61,9 +61,14 @@ def column_min_max(df: DataFrame, table_name: str, value_type: str | None = None
     return wide.selectExpr(f"stack({len(fields)}, {args}) as (TableName, ColumnName, MinValue, MaxValue)")
 
 
-def column_min_max_all(tables: Mapping[str, DataFrame], value_type: str = "double") -> DataFrame:
-    """``column_min_max`` of several tables, ``UNION ALL``-ed by name."""
-    parts = [column_min_max(df, name, value_type) for name, df in tables.items()]
+def column_min_max_all(tables: Mapping[str, DataFrame] | Sequence[tuple[str, DataFrame]],
+                       value_type: str | None = None) -> DataFrame:
+    """``column_min_max`` of several tables (names may repeat in different
+    schemas), ``UNION ALL``-ed by name, in the common type of all columns."""
+    named = list(tables.items()) if isinstance(tables, Mapping) else list(tables)
+    fields = [f for _, df in named for f in df.schema.fields if isinstance(f.dataType, MIN_MAX_TYPES)]
+    value_type = value_type or _common_type(fields)
+    parts = [column_min_max(df, name, value_type) for name, df in named]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

@@ -1,12 +1,13 @@
 """Version-valid joins and version windows (usage cost, warehouse events).
 
 * ``version_intervals`` (W1): next change time per key via ``lead`` (per
-  key and day bucket when the version table is large).
+  key and day bucket when the version table is large). Both forms give the
+  same values, null change times included.
 * ``latest_per_key`` (W2): newest row per key; Spark plans a partial
   ``WindowGroupLimit`` before the shuffle, so hot keys are cut to one row per
   map task before they move.
 * ``temporal_join`` (J4/J5): equi keys plus a validity range. Two physical
-  forms, picked by a size check of the version side:
+  forms, picked by the estimated size of the version side:
 
   - small version side: broadcast hash join on the equi keys with the range
     as join condition (no shuffle of the fact side at all);
@@ -29,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from whlens.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, fits_broadcast
+from whlens.operators.joins import DEFAULT_BROADCAST_BYTES, fits_broadcast
 
 KeyPairs = Sequence[tuple[str, str]]
 
@@ -45,14 +46,20 @@ def _bucket(c: Column, unit: str) -> Column:
     return F.to_date(c) if unit == "day" else F.date_trunc(unit, c).cast("date")
 
 
+def _next_time(ts: str, keys: Sequence[str]) -> Column:
+    """The next non-null time in the order of ``ts`` within ``keys``."""
+    return F.expr(f"lead(`{ts}`) ignore nulls over (partition by {', '.join(f'`{k}`' for k in keys)} order by `{ts}`)")
+
+
 def version_intervals(df: DataFrame, keys: Sequence[str], ts: str,
                       open_end=None, out: str = "next_change_time",
-                      plain_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS, bucket: str = "day",
+                      plain_max_bytes: int | None = DEFAULT_BROADCAST_BYTES, bucket: str = "day",
                       small: bool | None = None) -> DataFrame:
-    """Add ``out`` = next ``ts`` of the same key; the last version ends at
-    ``open_end`` (default ``current_timestamp()``), cast to ``ts``'s type.
+    """Add ``out`` = next ``ts`` of the same key, the last version ends at
+    ``open_end`` (default ``current_timestamp()``), cast to ``ts``'s type. Null
+    times come first and end at the key's first time.
 
-    A version table within ``plain_max_rows`` (checked) uses one ``lead``
+    A version table estimated at ``plain_max_bytes`` or less uses one ``lead``
     window per key. A larger one is processed per (key, ``bucket``): ``lead``
     inside each bucket, and the first change of the next non-empty bucket of
     the key (a window over one row per key and bucket) for the last row of a
@@ -65,12 +72,11 @@ def version_intervals(df: DataFrame, keys: Sequence[str], ts: str,
         end = open_end
     else:
         end = F.lit(open_end)
-    if small if small is not None else fits_broadcast(df, plain_max_rows):
-        w = Window.partitionBy(*keys).orderBy(F.col(ts))
-        return df.withColumn(out, F.coalesce(F.lead(ts).over(w), end.cast(ts_type)))
+    if small if small is not None else fits_broadcast(df, plain_max_bytes):
+        return df.withColumn(out, F.coalesce(_next_time(ts, keys), end.cast(ts_type)))
     b = "_vi_bucket"
     d = df.withColumn(b, _bucket(F.col(ts), bucket))
-    inside = d.withColumn("_vi_next", F.lead(ts).over(Window.partitionBy(*keys, b).orderBy(F.col(ts))))
+    inside = d.withColumn("_vi_next", _next_time(ts, [*keys, b]))
     firsts = d.groupBy(*[F.col(k).alias(f"_vi_k{i}") for i, k in enumerate(keys)], F.col(b).alias("_vi_b")) \
         .agg(F.min(ts).alias("_vi_first"))
     kcols = [f"_vi_k{i}" for i in range(len(keys))]
@@ -106,8 +112,9 @@ def _range_condition(at: Column, start: Column, end: Column, closed: str) -> Col
 
 def temporal_join(facts: DataFrame, versions: DataFrame, on, at: str, start: str,
                   end: str, how: str = "inner", closed: str = "left",
-                  broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS, bucket: str = "day",
-                  facts_alias: str = "f", versions_alias: str = "v", small: bool | None = None) -> DataFrame:
+                  broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES, bucket: str = "day",
+                  facts_alias: str = "f", versions_alias: str = "v", small: bool | None = None,
+                  within=None) -> DataFrame:
     """Join every fact to the version(s) valid at ``facts[at]``.
 
     ``on`` lists equi keys as names (same on both sides) or ``(fact, version)``
@@ -117,6 +124,9 @@ def temporal_join(facts: DataFrame, versions: DataFrame, on, at: str, start: str
     form: ``day`` spreads hot keys most; ``month`` / ``year`` keep the
     exploded version side small when versions live for years. ``small``
     gives the size verdict of ``versions`` when the caller already has it.
+    ``within``: the (first, last) day of all ``at``, or a frame that has every
+    ``at`` and is cheaper to scan than ``facts`` (its bounds are then a scalar
+    subquery); ``facts`` itself by default.
     """
     if how not in ("inner", "facts_left"):
         raise ValueError("how must be 'inner' or 'facts_left'")
@@ -130,24 +140,26 @@ def temporal_join(facts: DataFrame, versions: DataFrame, on, at: str, start: str
     vc = lambda c: F.col(f"{versions_alias}.{c}")
     rng = _range_condition(fc(at), vc(start), vc(end), closed)
 
-    if small if small is not None else fits_broadcast(versions, broadcast_max_rows):
+    if small if small is not None else fits_broadcast(versions, broadcast_max_bytes):
         cond = rng
         for a, b in pairs:
             cond = cond & (fc(a) == vc(b))
         return f.join(F.broadcast(v), cond, join_type)
 
-    # Large version side: time buckets. Bounds of the fact buckets are two
-    # scalars from one partial/final aggregate over the ``at`` column.
-    lo, hi = facts.agg(F.min(_bucket(F.col(at), bucket)), F.max(_bucket(F.col(at), bucket))).first()
+    # Large version side: time buckets, clipped to those that the facts span.
+    # Without facts the bounds are null and nothing is exploded.
+    if isinstance(within, tuple):
+        lo, hi = (_bucket(F.lit(d).cast("date"), bucket) for d in within)
+    else:
+        span = (facts if within is None else within).agg(F.min(_bucket(F.col(at), bucket)).alias("lo"),
+                                                         F.max(_bucket(F.col(at), bucket)).alias("hi"))
+        lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
     key = "_whl_bucket"
     f_b = facts.withColumn(key, _bucket(F.col(at), bucket)).alias(facts_alias)
-    if lo is None:  # no facts: nothing can match
-        v_b = versions.withColumn(key, F.lit(None).cast("date")).where(F.lit(False))
-    else:
-        first = F.greatest(_bucket(F.col(start), bucket), F.lit(lo))
-        last = F.least(F.coalesce(_bucket(F.col(end), bucket), F.lit(hi)), F.lit(hi))
-        step = F.expr(f"interval 1 {bucket}")
-        v_b = versions.where(first <= last).withColumn(key, F.explode(F.sequence(first, last, step)))
+    first = F.when(lo.isNotNull(), F.greatest(_bucket(F.col(start), bucket), lo))
+    last = F.when(hi.isNotNull(), F.least(F.coalesce(_bucket(F.col(end), bucket), hi), hi))
+    step = F.expr(f"interval 1 {bucket}")
+    v_b = versions.where(first <= last).withColumn(key, F.explode(F.sequence(first, last, step)))
     v_b = v_b.alias(versions_alias)
     cond = rng & (F.col(f"{facts_alias}.{key}") == F.col(f"{versions_alias}.{key}"))
     for a, b in pairs:

@@ -17,7 +17,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from whlens.operators.joins import maybe_broadcast
 from whlens.operators.windows import in_window
 
 DEFAULT_BLOCK = 4096
@@ -85,15 +84,15 @@ def query_text(queries: DataFrame, texts: DataFrame, start=None, end=None) -> Da
     """Export ``query_text``: query rows joined ``USING`` the 4 keys to their
     text chunks (one row per chunk), window closed on ``starttime``.
 
-    The window filter is applied to the query side before the join; that side
-    is broadcast when its size check passes, otherwise both sides shuffle on
-    the keys and AQE splits a skewed statement."""
+    The window filter is applied to the query side before the join. Both sides
+    are facts, so neither gets a broadcast hint: AQE picks the join from the
+    measured sizes and splits a skewed statement."""
     if start is not None:
         queries = in_window(queries, "starttime", start, end, "closed_instant")
     q_cols = [c for c in QUERY_TEXT_COLUMNS if c in queries.columns and c not in ("sequence", "text")]
     q = queries.select(*q_cols)
     t = texts.select(*QUERY_TEXT_KEYS, "sequence", "text")
-    joined = t.join(maybe_broadcast(q), list(QUERY_TEXT_KEYS), "inner")
+    joined = t.join(q, list(QUERY_TEXT_KEYS), "inner")
     return joined.select(*[c for c in QUERY_TEXT_COLUMNS if c in joined.columns])
 
 
@@ -101,10 +100,11 @@ def apply_text(stats: DataFrame, texts: DataFrame, handle: str = "sql_handle",
                start=None, end=None, ts: str = "creation_time") -> DataFrame:
     """``CROSS APPLY sql_text(handle)`` as an inner equi-join; stats rows
     without text are dropped. Output: every stats column then the text
-    columns (the handle once)."""
+    columns (the handle once). Statement texts are as large as the history, so
+    neither side gets a broadcast hint."""
     if start is not None:
         stats = in_window(stats, ts, start, end, "closed_instant")
     text_cols = [c for c in texts.columns if c != handle]
     t = texts.select(F.col(handle).alias("_h"), *text_cols)
-    joined = stats.join(maybe_broadcast(t), F.col(handle) == F.col("_h"), "inner")
+    joined = stats.join(t, F.col(handle) == F.col("_h"), "inner")
     return joined.select(*stats.columns, *text_cols)

@@ -13,7 +13,7 @@ from whlens.operators.filters import exclude_text
 from whlens.operators.joins import fits_broadcast, spread_order
 from whlens.operators.nested import field, field_or_null
 from whlens.operators.temporal import latest_per_key, temporal_join, version_intervals
-from whlens.operators.windows import between_dates, in_window
+from whlens.operators.windows import between_dates, in_window, parse_day
 from whlens.sources.json_pages import HISTORY_METRICS
 
 
@@ -25,7 +25,7 @@ def usage_with_warehouse(usage: DataFrame, warehouses: DataFrame,
     ``DISTINCT`` (account, workspace, warehouse, name) of the warehouse
     versions. A renamed warehouse has two names, so its usage appears twice
     (source semantics); ``latest_name=True`` keeps only the newest name.
-    The warehouse side is a dimension: broadcast after a size check."""
+    The warehouse side is a dimension: broadcast if it is estimated small."""
     w = warehouses
     if latest_name:
         w = latest_per_key(w, ["account_id", "workspace_id", "warehouse_id"], "change_time",
@@ -45,7 +45,8 @@ def usage_with_warehouse(usage: DataFrame, warehouses: DataFrame,
 
 def usage_cost(usage: DataFrame, warehouses: DataFrame, list_prices: DataFrame,
                start, end, today=None, product: str = "SQL", currency: str = "USD",
-               keep_unpriced: bool = False, latest_name: bool = False, ordered: bool = True) -> DataFrame:
+               keep_unpriced: bool = False, latest_name: bool = False, ordered: bool = True,
+               bucket: str = "day", broadcast_max_bytes: int | None = None) -> DataFrame:
     """Export ``usage``: SQL-warehouse usage priced at the list price valid
     when the usage ended.
 
@@ -62,6 +63,9 @@ def usage_cost(usage: DataFrame, warehouses: DataFrame, list_prices: DataFrame,
     * ordered by ``usage_start_time`` (O1). A global order costs one extra
       pass over the joined rows (the range partitioner samples its input);
       ``ordered=False`` returns the same rows without it.
+
+    ``bucket`` and ``broadcast_max_bytes`` are those of ``temporal_join``: prices
+    that are valid for years make fewer rows per ``month`` or ``year``.
     """
     u = between_dates(usage.where(F.col("billing_origin_product") == product),
                       "usage_date", start, end)
@@ -69,7 +73,8 @@ def usage_cost(usage: DataFrame, warehouses: DataFrame, list_prices: DataFrame,
     prices = list_prices.where(F.col("currency_code") == currency)
     j = temporal_join(cte, prices, ["sku_name", "usage_unit"], "usage_end_time",
                       "price_start_time", "price_end_time",
-                      how="facts_left" if keep_unpriced else "inner", closed="left")
+                      how="facts_left" if keep_unpriced else "inner", closed="left",
+                      bucket=bucket, broadcast_max_bytes=broadcast_max_bytes, within=u.select("usage_end_time"))
     today_col = F.current_date() if today is None else F.lit(today).cast("date")
     end_type = prices.schema["price_end_time"].dataType
     price = F.col("v.pricing").getField("effective_list").getField("default")
@@ -84,7 +89,8 @@ def usage_cost(usage: DataFrame, warehouses: DataFrame, list_prices: DataFrame,
 
 
 def warehouse_events(events: DataFrame, warehouses: DataFrame, start, end,
-                     open_end=None, closed: str = "both", ordered: bool = True) -> DataFrame:
+                     open_end=None, closed: str = "both", ordered: bool = True, bucket: str = "day",
+                     broadcast_max_bytes: int | None = None) -> DataFrame:
     """Export ``event``: warehouse events inside a version interval of their
     warehouse, events of the window days, newest first.
 
@@ -92,13 +98,15 @@ def warehouse_events(events: DataFrame, warehouses: DataFrame, start, end,
     to ``open_end``). ``closed="both"`` is the source's ``BETWEEN``: an event
     exactly at a change time matches both versions and appears twice;
     ``closed="left"`` gives at most one match. ``ordered=False`` skips the
-    final global order (newest first)."""
+    final global order (newest first). ``bucket`` and ``broadcast_max_bytes`` are
+    those of ``temporal_join``; the window gives its bounds."""
     ev = in_window(events, "event_time", start, end, "date_between")
     versions = warehouses.select("warehouse_id", "change_time")
-    small = fits_broadcast(versions)   # the intervals have exactly these rows
-    iv = version_intervals(versions, ["warehouse_id"], "change_time", open_end, small=small)
+    small = fits_broadcast(versions, broadcast_max_bytes)   # the intervals have exactly these rows
+    iv = version_intervals(versions, ["warehouse_id"], "change_time", open_end, small=small, bucket=bucket)
     j = temporal_join(ev, iv, ["warehouse_id"], "event_time", "change_time", "next_change_time",
-                      how="inner", closed=closed, small=small)
+                      how="inner", closed=closed, small=small, bucket=bucket,
+                      within=(parse_day(start), parse_day(end)))
     out = j.select(*[F.col(f"f.`{c}`") for c in events.columns])
     return spread_order(out, F.col("event_time").desc_nulls_last()) if ordered else out
 
@@ -136,12 +144,13 @@ def project_history(records: DataFrame) -> DataFrame:
     return records.select(*cols)
 
 
-def rest_history(records: DataFrame, start, end, status: str = "FINISHED") -> DataFrame:
+def rest_history(records: DataFrame, start=None, end=None, status: str = "FINISHED") -> DataFrame:
     """Export ``query_history_output``: REST history records of the window
     (epoch-ms closed, F7), ``status`` only (F8), generated statements
     dropped (F12), projected to 29 columns (P7)."""
     r = records.where(F.col("status") == status)
-    r = in_window(r, "query_start_time_ms", start, end, "epoch_ms_closed")
+    if start is not None:
+        r = in_window(r, "query_start_time_ms", start, end, "epoch_ms_closed")
     r = exclude_text(r, "query_text", SYSTEM_QUERY_MARKERS + INFORMATION_SCHEMA_MARKERS)
     return project_history(r)
 

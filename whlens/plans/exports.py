@@ -17,6 +17,7 @@ import logging
 import os
 from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ class Params:
     schema: str | None = None
     stats_tables: Mapping[str, DataFrame] | None = None   # tables of ``schema``
     minmax_tables: Mapping[str, DataFrame] | None = None  # user tables for column_min_max
-    history_cap: int = 1_000_000
+    history_cap: int | None = None           # the source's row cap; None exports everything
     history_table: str | None = None         # caller-named history table (Trino)
     stats_source: str = "scan"               # scan: one-pass profile | analyze: catalog statistics
     rest_pages: str | None = None            # folder of landed REST history pages
@@ -101,17 +102,19 @@ def _tables_as_text(df: DataFrame) -> DataFrame:
     return df.withColumns(out) if out else df
 
 
-def _readable(tables: Mapping[str, DataFrame], name: str) -> bool:
+def _landed(tables: Mapping[str, DataFrame], name: str) -> bool:
+    """Whether a table is there at all. One that is there but can't be read raises
+    (here or when its export is written), so that the export fails rather than
+    passing for one that doesn't apply."""
     try:
-        tables[name].limit(1).collect()
+        tables[name]
         return True
-    except Exception:  # noqa: BLE001 - absent or unreadable
+    except KeyError:
         return False
-
-
-def _optional(tables: Mapping[str, DataFrame], name: str) -> DataFrame | None:
-    """A landed table if present (e.g. the search path for visibility)."""
-    return tables[name] if _readable(tables, name) else None
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+            return False
+        raise
 
 
 def _schema_stats(tables: Mapping[str, DataFrame], p: Params) -> DataFrame | None:
@@ -133,10 +136,20 @@ def _trino_history(tables: Mapping[str, DataFrame], p: Params) -> DataFrame:
     return starburst.trino_history(h, p.history_cap)
 
 
-def _user_table_min_max(p: Params) -> DataFrame:
-    if not p.minmax_tables:
-        raise ValueError("minmax_tables not given")
-    return mssql.column_min_max(p.minmax_tables)
+def _user_table_min_max(t: Mapping[str, DataFrame], p: Params) -> DataFrame:
+    """Min/max of the numeric columns that the catalog lists (J8), read from the landed
+    user tables (``schema.table``) or from the given frames."""
+    if p.minmax_tables:
+        return mssql.column_min_max(p.minmax_tables)
+    listed = cat.numeric_columns(t["sys.tables"], t["sys.schemas"], t["sys.columns"], t["sys.types"])
+    columns: dict[tuple[str, str], list[str]] = {}
+    for r in listed.orderBy("schema_name", "table_name", "column_name").collect():   # catalog metadata
+        columns.setdefault((r["schema_name"], r["table_name"]), []).append(r["column_name"])
+    if not columns:
+        raise ValueError("the catalog lists no numeric column")
+    frames = [(table, t[f"{schema}.{table}"].select(*[F.col(f"`{c}`") for c in names]))
+              for (schema, table), names in columns.items()]
+    return mssql.column_min_max(frames)
 
 
 SPECS: list[ExportSpec] = [
@@ -156,10 +169,10 @@ SPECS: list[ExportSpec] = [
     ExportSpec("databricks", "warehouse_info", lambda t, p: dbx.warehouse_info(t["compute.warehouses"])),
     ExportSpec("databricks", "query_history",
                lambda t, p: dbx.hourly_history(t["query.history"], p.start, p.end)
-               if _readable(t, "query.history") else None,
+               if _landed(t, "query.history") else None,
                writer="hourly", hourly_ts="start_time", on_empty="skip", kind="query_logs"),
     ExportSpec("databricks", "query_history_output",
-               lambda t, p: None if _readable(t, "query.history") else dbx.rest_history(
+               lambda t, p: None if _landed(t, "query.history") else dbx.rest_history(
                    read_history_pages(_spark(t), p.rest_pages),
                    p.start, p.end),
                on_empty="skip", enabled=lambda p: p.rest_pages is not None, kind="query_logs"),
@@ -175,11 +188,11 @@ SPECS: list[ExportSpec] = [
         t["QUERY_HISTORY"], p.start, p.end), on_empty="skip", kind="query_logs"),
     # --- Redshift -----------------------------------------------------------------
     ExportSpec("redshift", "types", lambda t, p: cat.rs_types(
-        t["pg_type"], t["pg_namespace"], t["pg_class"], t["pg_description"], _optional(t, "search_path"))),
+        t["pg_type"], t["pg_namespace"], t["pg_class"], t["pg_description"], t["search_path"])),
     ExportSpec("redshift", "aggregates", lambda t, p: cat.rs_aggregates(
-        t["pg_proc"], t["pg_namespace"], t["pg_type"], t["pg_description"], _optional(t, "search_path"))),
+        t["pg_proc"], t["pg_namespace"], t["pg_type"], t["pg_description"], t["search_path"])),
     ExportSpec("redshift", "casts", lambda t, p: cat.rs_casts(
-        t["pg_cast"], t["pg_proc"], t["pg_type"], t["pg_namespace"], _optional(t, "search_path"))),
+        t["pg_cast"], t["pg_proc"], t["pg_type"], t["pg_namespace"], t["search_path"])),
     ExportSpec("redshift", "columns", lambda t, p: t["information_schema.columns"]),
     ExportSpec("redshift", "table_def", lambda t, p: t["pg_table_def"]),
     ExportSpec("redshift", "views", lambda t, p: t["pg_views"]),
@@ -198,8 +211,7 @@ SPECS: list[ExportSpec] = [
     ExportSpec("mssql", "schema", lambda t, p: cat.table_schema(
         t["information_schema.tables"], t["information_schema.columns"], t["sys.tables"], t["sys.partitions"],
         t["sys.schemas"], by_schema=not p.schema_by_name, sum_partitions=p.sum_partitions)),
-    ExportSpec("mssql", "column_min_max", lambda t, p: _user_table_min_max(p),
-               enabled=lambda p: bool(p.minmax_tables)),
+    ExportSpec("mssql", "column_min_max", _user_table_min_max),
     ExportSpec("mssql", "query_history_mssql", lambda t, p: mssql.query_history(
         t["sys.dm_exec_query_stats"], t["sys.dm_exec_sql_text"], p.start, p.end), on_empty="skip", kind="query_logs"),
     # --- Trino --------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -11,10 +11,11 @@ from whlens.operators.stats import column_min_max_all
 from whlens.operators.text import apply_text
 
 
-def column_min_max(tables: Mapping[str, DataFrame]) -> DataFrame:
+def column_min_max(tables: Mapping[str, DataFrame] | Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """Export ``column_min_max``: min/max of every numeric column of every
-    table (A4, U1), one scan per table instead of one per column."""
-    return column_min_max_all(tables, "double")
+    table (A4, U1), one scan per table instead of one per column. Values have the
+    common type of all columns: exact decimals unless a floating one is among them."""
+    return column_min_max_all(tables)
 
 
 def query_history(stats: DataFrame, texts: DataFrame, start, end) -> DataFrame:

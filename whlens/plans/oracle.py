@@ -79,7 +79,12 @@ ROLE_SQL: dict[str, str] = {
                cast('2024-01-01 00:00:00' as timestamp)
         from customer where c_custkey % 8 = 0""",
     "pg_type": """
-        select p_partkey + 1 as oid, p_name as typname, p_size % 6 as typnamespace,
+        select p_partkey + 1 as oid, case p_partkey + 1 when 16 then 'bool' when 18 then 'char' when 20 then 'int8' when 21 then 'int2'
+                 when 23 then 'int4' when 700 then 'float4' when 701 then 'float8' when 1042 then 'bpchar'
+                 when 1043 then 'varchar' when 1083 then 'time' when 1114 then 'timestamp' when 1184 then 'timestamptz'
+                 when 1186 then 'interval' when 1266 then 'timetz' when 1560 then 'bit' when 1562 then 'varbit'
+                 when 1700 then 'numeric' else case when p_partkey % 35 = 0 then '_' || p_name
+                   when p_partkey % 4 = 1 then replace(p_name, ' ', '_') else p_name end end as typname, p_size % 6 as typnamespace,
                case when p_partkey % 3 = 0 then p_partkey + 1 else 0 end as typrelid,
                case when p_partkey % 5 = 0 then p_partkey else 0 end as typelem from part""",
     "pg_class": "select p_partkey + 1 as oid, case when p_partkey % 2 = 0 then 'c' else 'r' end as relkind from part",
@@ -156,17 +161,27 @@ def _metric_sql(columns, ts):
 # --- profile tables (fixed test-table layouts) ------------------------------------------
 
 # Columns of the profiled test tables and their kind
-# (n = numeric, s = text, t = timestamp).
+# (n = numeric, s = text, t = timestamp, a = array).
 PROFILE_COLUMNS = {
+    "region": [("r_regionkey", "n"), ("r_name", "s")],
+    "nation": [("n_nationkey", "n"), ("n_name", "s"), ("n_regionkey", "n")],
+    "customer": [("c_custkey", "n"), ("c_name", "s"), ("c_nationkey", "n"), ("c_acctbal", "n"),
+                 ("c_mktsegment", "s")],
+    "supplier": [("s_suppkey", "n"), ("s_name", "s"), ("s_nationkey", "n"), ("s_acctbal", "n")],
+    "part": [("p_partkey", "n"), ("p_name", "s"), ("p_brand", "s"), ("p_type", "s"), ("p_size", "n"),
+             ("p_retailprice", "n")],
+    "orders": [("o_orderkey", "n"), ("o_custkey", "n"), ("o_orderstatus", "s"), ("o_totalprice", "n"),
+               ("o_orderdate", "t"), ("o_orderpriority", "s")],
     "lineitem": [("l_orderkey", "n"), ("l_partkey", "n"), ("l_suppkey", "n"), ("l_linenumber", "n"),
                  ("l_quantity", "n"), ("l_extendedprice", "n"), ("l_discount", "n"), ("l_tax", "n"),
                  ("l_returnflag", "s"), ("l_linestatus", "s"), ("l_shipdate", "t")],
-    "orders": [("o_orderkey", "n"), ("o_custkey", "n"), ("o_orderstatus", "s"), ("o_totalprice", "n"),
-               ("o_orderdate", "t"), ("o_orderpriority", "s")],
-    "part": [("p_partkey", "n"), ("p_name", "s"), ("p_brand", "s"), ("p_type", "s"), ("p_size", "n"),
-             ("p_retailprice", "n")],
-    "customer": [("c_custkey", "n"), ("c_name", "s"), ("c_nationkey", "n"), ("c_acctbal", "n"),
-                 ("c_mktsegment", "s")],
+    "events": [("event_id", "n"), ("user_id", "n"), ("event_type", "s"), ("ts", "t"), ("value", "n"), ("props", "s")],
+    "documents": [("doc_id", "n"), ("text", "s"), ("lang", "s"), ("source", "s"), ("n_chars", "n")],
+    "embeddings": [("vec_id", "n"), ("embedding", "a"), ("label", "n")],
+    "pages": [("page_id", "n"), ("url", "s"), ("html", "s")],
+    "benchmark": [("item_id", "n"), ("text", "s")],
+    "labels": [("doc_id", "n"), ("quality", "n"), ("toxic", "n")],
+    "conversations": [("conv_id", "n"), ("turn", "n"), ("role", "s"), ("text", "s")],
 }
 
 
@@ -210,11 +225,147 @@ EV_E = f"timestamp '{R.EV_END} 00:00:00'"
 EV_E1 = f"(timestamp '{R.EV_END} 00:00:00' + interval 1 day)"
 EV_E_SEC = f"timestamp '{R.EV_END} 23:59:59'"
 
-_J1 = """
-    select u.*, w.warehouse_name from usage u
-    join (select distinct account_id as w_account_id, workspace_id, warehouse_id, warehouse_name from warehouses) w
-      on u.account_id = w.w_account_id and u.workspace_id = w.workspace_id and u.warehouse_id = w.warehouse_id
-    where u.billing_origin_product = 'SQL'"""
+# Every name that a warehouse has had.
+_NAMES = "select account_id, workspace_id, warehouse_id, warehouse_name from warehouses group by all"
+
+
+def _named_usage(names: str = _NAMES, where: str = "true") -> str:
+    """SQL usage, a row for each name of its warehouse."""
+    return f"""
+        select u.*, n.warehouse_name from usage u, ({names}) n
+        where u.billing_origin_product = 'SQL' and {where}
+          and (u.account_id, u.workspace_id, u.warehouse_id) = (n.account_id, n.workspace_id, n.warehouse_id)"""
+
+
+def _priced_usage(join: str) -> str:
+    """Named usage of the window with the dollar price in force when it ended."""
+    window = f"u.usage_date >= date '{R.USAGE_START}' and u.usage_date <= date '{R.USAGE_END}'"
+    return with_roles(f"""
+        select s.*, r.price_start_time, r.currency_code, r.price as price_per_unit,
+               ifnull(r.price_end_time, cast(date '{R.TODAY}' + 1 as timestamp)) as coalesced_price_end_time,
+               ifnull(r.price * s.usage_quantity, 0) as usage_usd
+        from ({_named_usage(where=window)}) s
+        {join} (select *, ifnull(price_end_time, timestamp '9999-12-31 00:00:00') as valid_to
+                from list_prices where currency_code = 'USD') r
+          on r.sku_name = s.sku_name and r.usage_unit = s.usage_unit
+         and r.price_start_time <= s.usage_end_time and s.usage_end_time < r.valid_to
+        where s.account_id is not null""", "usage", "warehouses", "list_prices")
+
+
+def _intervals() -> str:
+    """Each warehouse change with the time of the next one."""
+    return f"""select warehouse_id, change_time,
+          ifnull(first_value(change_time) over (partition by warehouse_id order by change_time
+                                                rows between 1 following and 1 following),
+                 timestamp '{R.OPEN_END}') as next_change_time
+        from warehouse_changes"""
+
+
+def _valid_events(before: str) -> str:
+    """Events of the window within an interval; ``before`` compares with its end."""
+    return with_roles(f"""
+        select e.* from warehouse_events e, ({_intervals()}) i
+        where e.warehouse_id = i.warehouse_id and e.event_time >= i.change_time and e.event_time {before} i.next_change_time
+          and e.event_time >= {EV_S} and e.event_time < {EV_E1}""", "warehouse_events", "warehouse_changes")
+
+
+def _statements(piece: str) -> str:
+    """DDL statements put together from their chunks."""
+    return with_roles(f"""
+        select xid, pid, min(userid) as userid, min(starttime) as starttime, min(endtime) as endtime,
+               min(trim(label)) as label, array_to_string(list({piece} order by sequence), '') as sqltext
+        from (select *, regexp_replace(text, ' +$', '') as trimmed from ddl_chunks)
+        where starttime between timestamp '{R.DDL_START} 00:00:00' and timestamp '{R.DDL_END} 00:00:00'
+        group by all""".replace("group by all", "group by xid, pid"), "ddl_chunks")
+
+
+# Catalog of types. Built-in display names are fixed values, by oid.
+_BUILTIN = """(values (16, 'boolean'), (18, '"char"'), (20, 'bigint'), (21, 'smallint'), (23, 'integer'), (700, 'real'),
+    (701, 'double precision'), (1042, 'character'), (1043, 'character varying'), (1083, 'time without time zone'),
+    (1114, 'timestamp without time zone'), (1184, 'timestamp with time zone'), (1186, 'interval'),
+    (1266, 'time with time zone'), (1560, 'bit'), (1562, 'bit varying'), (1700, 'numeric')) as b(oid, shown)"""
+
+
+def _quoted(c: str) -> str:
+    return f"""if(regexp_matches({c}, '^[a-z_][a-z0-9_$]*$'), {c}, '"' || replace({c}, '"', '""') || '"')"""
+
+
+# First on the search path wins a name; ties by oid.
+_ON_PATH = """select arg_min(t.oid, (sp.rank_on_path, t.oid)) as oid
+    from pg_type t, pg_namespace n, search_path sp
+    where n.oid = t.typnamespace and sp.nspname = n.nspname group by t.typname"""
+_PROCS_ON_PATH = """select arg_min(p.oid, (sp.rank_on_path, p.oid)) as oid
+    from pg_proc p left join (select oid, list(type_oid order by pos) as vec from pg_proc_args group by oid) v using (oid),
+         pg_namespace n, search_path sp
+    where n.oid = p.pronamespace and sp.nspname = n.nspname group by p.proname, v.vec"""
+
+
+def _shown_types(visible: bool) -> dict[str, str]:
+    """CTEs up to ``shown`` (oid, shown): how each type is displayed."""
+    schema = ""
+    if visible:
+        schema = f"if(t.oid in (select oid from on_path) or n.nspname is null, '', {_quoted('n.nspname')} || '.') || "
+    own = f"""select t.oid, ifnull(b.shown, {schema}{_quoted('t.typname')}) as shown
+        from pg_type t left join {_BUILTIN} on b.oid = t.oid left join pg_namespace n on n.oid = t.typnamespace"""
+    out = {"on_path": _ON_PATH} if visible else {}
+    return out | {"own": own, "shown": """
+        select t.oid, if(t.typname[1] = '_' and t.typelem <> 0, ifnull(e.shown, '???') || '[]', o.shown) as shown
+        from pg_type t join own o on o.oid = t.oid left join own e on e.oid = t.typelem"""}
+
+
+def _types_sql(visible: bool) -> str:
+    return with_roles(f"""
+        select n.nspname as "Schema", s.shown as "Name",
+               (select min(d.description) from pg_description d where d.objoid = t.oid and d.catalog_name = 'pg_type') as "Description"
+        from pg_type t join shown s on s.oid = t.oid left join pg_namespace n on t.typnamespace = n.oid
+        where t.typelem not in (select oid from pg_type)
+          and (t.typrelid = 0 or t.typrelid in (select oid from pg_class where relkind = 'c'))
+          {'and t.oid in (select oid from on_path)' if visible else ''}""",
+                      "pg_type", "pg_namespace", "pg_class", "pg_description", *(["search_path"] if visible else []),
+                      extra=_shown_types(visible))
+
+
+def _aggregates_sql(visible: bool) -> str:
+    return with_roles(f"""
+        select n.nspname as "Schema", p.proname as "Name",
+               ifnull((select shown from shown where oid = p.prorettype), '???') as "Result_data_type",
+               if(p.pronargs = 0, '*', a.args) as "Argument_data_types",
+               (select min(d.description) from pg_description d where d.objoid = p.oid and d.catalog_name = 'pg_proc') as "Description"
+        from pg_proc p left join pg_namespace n on p.pronamespace = n.oid
+        left join (select g.oid, array_to_string(list(ifnull(s.shown, '???') order by g.pos), ', ') as args
+                   from pg_proc_args g left join shown s on s.oid = g.type_oid group by g.oid) a on a.oid = p.oid
+        where p.proisagg {f'and p.oid in ({_PROCS_ON_PATH})' if visible else ''}""",
+                      "pg_proc", "pg_namespace", "pg_type", "pg_proc_args", "pg_description",
+                      *(["search_path"] if visible else []), extra=_shown_types(visible))
+
+
+def _casts_sql(visible: bool) -> str:
+    return with_roles(f"""
+        select ifnull(a.shown, '???') as "Source_type", ifnull(b.shown, '???') as "Target_type",
+               if(x.castfunc = 0, '(binary coercible)', f.proname) as "Function",
+               case x.castcontext when 'a' then 'in assignment' when 'e' then 'no' else 'yes' end as "Implicit?"
+        from pg_cast x left join shown a on a.oid = x.castsource left join shown b on b.oid = x.casttarget
+        left join pg_proc f on f.oid = x.castfunc
+        {'where x.castsource in (select oid from on_path) or x.casttarget in (select oid from on_path)' if visible else ''}""",
+                      "pg_cast", "pg_proc", "pg_type", "pg_namespace", *(["search_path"] if visible else []),
+                      extra=_shown_types(visible))
+
+
+def _table_schema_sql(counts: str, keys: str) -> str:
+    """Columns with the row counts of their table, found by ``keys``."""
+    return with_roles(f"""
+        select c.table_schema, c.table_name, c.column_name, c.data_type, k.rows
+        from sys_columns c, counts k
+        where {' and '.join(f'c.{x} = k.{x}' for x in keys.split())}
+          and (c.table_schema, c.table_name) in (select (table_schema, table_name) from sys_tables)""",
+                      "sys_tables", "sys_columns", extra={
+                          "parts": "select table_schema, table_name, row_count from sys_tables where index_id < 2",
+                          "counts": counts})
+
+
+def _ordered(sql: str) -> str:
+    return f"select count(*) as n_rows, cast(0 as bigint) as out_of_order from ({sql})"
+
 
 def _ms(expr: str) -> str:
     """Epoch milliseconds, truncated (DuckDB's epoch_ms rounds)."""
@@ -241,7 +392,7 @@ def _rest_sql() -> str:
 # Date columns of the checked outputs, compared as midnight timestamps.
 DATE_OUTPUTS = {"usage_with_warehouse": ["usage_date"], "usage_cost": ["usage_date"],
                 "usage_cost_unpriced": ["usage_date"], "usage_latest_name": ["usage_date"],
-                "usage_window": ["usage_date"]}
+                "usage_window": ["usage_date"], "usage_cost_bucketed": ["usage_date"]}
 
 
 def _dates_as_timestamps(sql: str, cols) -> str:
@@ -259,67 +410,27 @@ def oracle_sql() -> dict[str, str]:
 def _oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["scan_table"] = "select * from customer"
-    q["history_capped"] = "select * from events limit 1000000"
+    q["history_capped"] = "select * from events"
     q["catalog_columns"] = with_roles(f"select * from info_columns where table_catalog = '{R.CATALOG}'",
                                       "info_columns")
-    q["usage_with_warehouse"] = with_roles(_J1, "usage", "warehouses")
-    q["usage_cost"] = with_roles(
-        "select * from cte1 where account_id is not null order by usage_start_time",
-        "usage", "warehouses", "list_prices", extra={
-            "cte": f"{_J1} and u.usage_date between date '{R.USAGE_START}' and date '{R.USAGE_END}'",
-            "cte1": f"""
-          select coalesce(p.price_end_time, cast(date '{R.TODAY}' + 1 as timestamp)) as coalesced_price_end_time,
-                 p.price_start_time, p.currency_code, p.price as price_per_unit, cte.*,
-                 coalesce(cte.usage_quantity * p.price, 0) as usage_usd
-          from list_prices p left join cte
-            on cte.sku_name = p.sku_name and cte.usage_unit = p.usage_unit
-           and cte.usage_end_time >= p.price_start_time
-           and (p.price_end_time is null or cte.usage_end_time < p.price_end_time)
-          where p.currency_code = 'USD'"""})
-    q["usage_cost_unpriced"] = with_roles(
-        "select * from cte1 where account_id is not null order by usage_start_time",
-        "usage", "warehouses", "list_prices", extra={
-            "cte": f"{_J1} and u.usage_date between date '{R.USAGE_START}' and date '{R.USAGE_END}'",
-            "cte1": f"""
-          select coalesce(p.price_end_time, cast(date '{R.TODAY}' + 1 as timestamp)) as coalesced_price_end_time,
-                 p.price_start_time, p.currency_code, p.price as price_per_unit, cte.*,
-                 coalesce(cte.usage_quantity * p.price, 0) as usage_usd
-          from cte left join (select * from list_prices where currency_code = 'USD') p
-            on cte.sku_name = p.sku_name and cte.usage_unit = p.usage_unit
-           and cte.usage_end_time >= p.price_start_time
-           and (p.price_end_time is null or cte.usage_end_time < p.price_end_time)"""})
-    q["usage_latest_name"] = with_roles("""
-        select u.*, w.warehouse_name from usage u
-        join (select distinct account_id as w_account_id, workspace_id, warehouse_id, warehouse_name from (
-                select *, row_number() over (partition by account_id, workspace_id, warehouse_id
-                                             order by change_time desc, warehouse_name asc nulls last) as rn
-                from warehouses) where rn = 1) w
-          on u.account_id = w.w_account_id and u.workspace_id = w.workspace_id and u.warehouse_id = w.warehouse_id
-        where u.billing_origin_product = 'SQL'""", "usage", "warehouses")
+    q["usage_with_warehouse"] = with_roles(_named_usage(), "usage", "warehouses")
+    q["usage_cost"] = q["usage_cost_bucketed"] = _priced_usage("join")
+    q["usage_cost_unpriced"] = _priced_usage("left join")
+    q["usage_cost_order"] = _ordered(q["usage_cost"])
+    newest = """select account_id, workspace_id, warehouse_id,
+          first(warehouse_name order by change_time desc, warehouse_name asc nulls last) as warehouse_name
+        from warehouses group by all"""
+    q["usage_latest_name"] = with_roles(_named_usage(newest), "usage", "warehouses")
     q["usage_window"] = with_roles(f"""
         select * from usage where billing_origin_product = 'SQL'
           and usage_date between date '{R.USAGE_START}' and date '{R.USAGE_END}'""", "usage")
     q["struct_access"] = with_roles("select account_id, warehouse_id, sku_name, usage_quantity from usage", "usage")
     q["price_struct_access"] = with_roles(
         "select sku_name, price_start_time, price as price_per_unit from list_prices", "list_prices")
-    q["version_intervals"] = with_roles(f"""
-        select *, coalesce(lead(change_time) over (partition by warehouse_id order by change_time),
-                           timestamp '{R.OPEN_END}') as next_change_time from warehouse_changes""",
-                                        "warehouse_changes")
-    q["warehouse_events"] = with_roles(f"""
-        select ev.* from warehouse_events ev join cte on ev.warehouse_id = cte.warehouse_id
-           and ev.event_time between cte.change_time and cte.next_change_time
-        where cast(ev.event_time as date) between date '{R.EV_START}' and date '{R.EV_END}'
-        order by ev.event_time desc""", "warehouse_events", "warehouse_changes", extra={
-        "cte": f"""select *, coalesce(lead(change_time) over (partition by warehouse_id order by change_time),
-                                      timestamp '{R.OPEN_END}') as next_change_time from warehouse_changes"""})
-    q["warehouse_events_single"] = with_roles(f"""
-        select ev.* from warehouse_events ev join cte on ev.warehouse_id = cte.warehouse_id
-           and ev.event_time >= cte.change_time and ev.event_time < cte.next_change_time
-        where cast(ev.event_time as date) between date '{R.EV_START}' and date '{R.EV_END}'
-        order by ev.event_time desc""", "warehouse_events", "warehouse_changes", extra={
-        "cte": f"""select *, coalesce(lead(change_time) over (partition by warehouse_id order by change_time),
-                                      timestamp '{R.OPEN_END}') as next_change_time from warehouse_changes"""})
+    q["version_intervals"] = with_roles(_intervals(), "warehouse_changes")
+    q["warehouse_events"] = q["warehouse_events_bucketed"] = _valid_events("<=")
+    q["warehouse_events_single"] = _valid_events("<")
+    q["warehouse_events_order"] = _ordered(q["warehouse_events"])
     q["warehouse_info"] = with_roles("""
         select * exclude (rn) from (
           select *, row_number() over (partition by warehouse_id, workspace_id, account_id, warehouse_name
@@ -371,90 +482,15 @@ def _oracle_sql() -> dict[str, str]:
         from stl_query join stl_querytext using (userid, xid, pid, query)
         where stl_query.starttime >= timestamp '{R.TEXT_START} 00:00:00'
           and stl_query.starttime <= timestamp '{R.TEXT_END} 00:00:00'""", "stl_query", "stl_querytext")
-    q["query_ddl"] = with_roles(f"""
-        select any_value(userid) as userid, any_value(starttime) as starttime, any_value(endtime) as endtime,
-               any_value(trim(label)) as label, xid, pid,
-               string_agg(case when length(rtrim(text)) = 0 then text else rtrim(text) end, ''
-                          order by sequence) as sqltext
-        from ddl_chunks
-        where starttime >= timestamp '{R.DDL_START} 00:00:00' and starttime <= timestamp '{R.DDL_END} 00:00:00'
-        group by xid, pid""", "ddl_chunks")
-    q["query_ddl_raw"] = with_roles(f"""
-        select any_value(userid) as userid, any_value(starttime) as starttime, any_value(endtime) as endtime,
-               any_value(trim(label)) as label, xid, pid, string_agg(text, '' order by sequence) as sqltext
-        from ddl_chunks
-        where starttime >= timestamp '{R.DDL_START} 00:00:00' and starttime <= timestamp '{R.DDL_END} 00:00:00'
-        group by xid, pid""", "ddl_chunks")
+    q["query_ddl"] = _statements("if(trimmed = '', text, trimmed)")
+    q["query_ddl_raw"] = _statements("text")
     q["query_metrics"] = _metric_sql(QUERY_METRICS_COLUMNS, "starttime")
     q["query_queue_info"] = _metric_sql(QUERY_QUEUE_INFO_COLUMNS, "queue_start_time")
     q["query_wlm"] = _metric_sql(QUERY_WLM_COLUMNS, "queue_start_time")
-    types_sql = """
-        select n.nspname as "Schema", t.typname as "Name", d.description as "Description"
-        from pg_type t left join pg_namespace n on n.oid = t.typnamespace
-        left join (select objoid, description from pg_description where catalog_name = 'pg_type') d
-          on d.objoid = t.oid
-        where (t.typrelid = 0 or (select c.relkind = 'c' from pg_class c where c.oid = t.typrelid))
-          and not exists (select 1 from pg_type el where el.oid = t.typelem) {vis}
-        order by 1 nulls last, 2 nulls last"""
-    visible_types = """
-        select oid from (
-          select t.oid, row_number() over (partition by t.typname order by sp.rank_on_path, t.oid) as rn
-          from pg_type t join pg_namespace n on n.oid = t.typnamespace
-          join search_path sp on sp.nspname = n.nspname) where rn = 1"""
-    q["rs_types"] = with_roles(types_sql.format(vis=""), "pg_type", "pg_namespace", "pg_class",
-                               "pg_description")
-    q["rs_types_visible"] = with_roles(types_sql.format(vis=f"and t.oid in ({visible_types})"), "pg_type",
-                                       "pg_namespace", "pg_class", "pg_description", "search_path")
-    q["rs_aggregates"] = with_roles("""
-        select n.nspname as "Schema", p.proname as "Name", rt.typname as "Result_data_type",
-               case when p.pronargs = 0 then '*' else a.args end as "Argument_data_types",
-               d.description as "Description"
-        from pg_proc p left join pg_namespace n on n.oid = p.pronamespace
-        left join pg_type rt on rt.oid = p.prorettype
-        left join (select pa.oid, string_agg(ty.typname, ', ' order by pa.pos) as args
-                   from pg_proc_args pa left join pg_type ty on ty.oid = pa.type_oid group by pa.oid) a
-          on a.oid = p.oid
-        left join (select objoid, description from pg_description where catalog_name = 'pg_proc') d
-          on d.objoid = p.oid
-        where p.proisagg
-        order by 1 nulls last, 2 nulls last, 4 nulls last""",
-                                    "pg_proc", "pg_namespace", "pg_type", "pg_proc_args", "pg_description")
-    q["rs_aggregates_visible"] = with_roles("""
-        select n.nspname as "Schema", p.proname as "Name", rt.typname as "Result_data_type",
-               case when p.pronargs = 0 then '*' else a.args end as "Argument_data_types",
-               d.description as "Description"
-        from pg_proc p left join pg_namespace n on n.oid = p.pronamespace
-        left join pg_type rt on rt.oid = p.prorettype
-        left join (select pa.oid, string_agg(ty.typname, ', ' order by pa.pos) as args
-                   from pg_proc_args pa left join pg_type ty on ty.oid = pa.type_oid group by pa.oid) a
-          on a.oid = p.oid
-        left join (select objoid, description from pg_description where catalog_name = 'pg_proc') d
-          on d.objoid = p.oid
-        where p.proisagg and p.oid in (
-          select oid from (
-            select p2.oid, row_number() over (partition by p2.proname, v.vec order by sp.rank_on_path, p2.oid) as rn
-            from pg_proc p2
-            left join (select oid, list(type_oid order by pos) as vec from pg_proc_args group by oid) v
-              on v.oid = p2.oid
-            join pg_namespace n2 on n2.oid = p2.pronamespace
-            join search_path sp on sp.nspname = n2.nspname) where rn = 1)
-        order by 1 nulls last, 2 nulls last, 4 nulls last""",
-                                            "pg_proc", "pg_namespace", "pg_type", "pg_proc_args", "pg_description",
-                                            "search_path")
-    casts_sql = """
-        select ts.typname as "Source_type", tt.typname as "Target_type",
-               case when c.castfunc = 0 then '(binary coercible)' else p.proname end as "Function",
-               case when c.castcontext = 'e' then 'no' when c.castcontext = 'a' then 'in assignment' else 'yes' end
-                 as "Implicit?"
-        from pg_cast c left join pg_proc p on c.castfunc = p.oid
-        left join pg_type ts on c.castsource = ts.oid
-        left join pg_type tt on c.casttarget = tt.oid
-        {vis}
-        order by 1 nulls last, 2 nulls last"""
-    q["rs_casts"] = with_roles(casts_sql.format(vis=""), "pg_cast", "pg_proc", "pg_type")
-    q["rs_casts_visible"] = with_roles(
-        casts_sql.format(vis=f"where c.castsource in ({visible_types}) or c.casttarget in ({visible_types})"),
-        "pg_cast", "pg_proc", "pg_type", "pg_namespace", "search_path")
+    for visible, suffix in ((False, ""), (True, "_visible")):
+        q["rs_types" + suffix] = _types_sql(visible)
+        q["rs_aggregates" + suffix] = _aggregates_sql(visible)
+        q["rs_casts" + suffix] = _casts_sql(visible)
     q["visible_objects"] = with_roles("""
         select oid, typname, typnamespace, nspname from (
           select t.oid, t.typname, t.typnamespace, n.nspname,
@@ -466,25 +502,11 @@ def _oracle_sql() -> dict[str, str]:
         select t.oid, t.typname, d.description from pg_type t
         left join (select objoid, description from pg_description where catalog_name = 'pg_type') d
           on d.objoid = t.oid""", "pg_type", "pg_description")
-    q["table_schema"] = with_roles("""
-        select col.table_schema, col.table_name, col.column_name, col.data_type, a.rows
-        from (select distinct table_schema, table_name from sys_tables) tbl
-        join sys_columns col on col.table_name = tbl.table_name and col.table_schema = tbl.table_schema
-        join (select t.table_schema as TableSchema, t.table_name as TableName, p.rows
-              from (select distinct object_id, table_schema, table_name from sys_tables) t
-              join (select object_id, index_id, row_count as rows from sys_tables) p on t.object_id = p.object_id
-              where p.index_id in (0, 1)) a
-          on tbl.table_name = a.TableName and tbl.table_schema = a.TableSchema
-        order by a.TableName""", "sys_tables", "sys_columns")
-    q["table_schema_summed"] = with_roles("""
-        select col.table_schema, col.table_name, col.column_name, col.data_type, a.rows
-        from (select distinct table_schema, table_name from sys_tables) tbl
-        join sys_columns col on col.table_name = tbl.table_name and col.table_schema = tbl.table_schema
-        join (select t.table_schema as TableSchema, t.table_name as TableName, cast(sum(p.rows) as bigint) as rows
-              from (select distinct object_id, table_schema, table_name from sys_tables) t
-              join (select object_id, index_id, row_count as rows from sys_tables) p on t.object_id = p.object_id
-              where p.index_id in (0, 1) group by 1, 2) a
-          on tbl.table_name = a.TableName and tbl.table_schema = a.TableSchema""", "sys_tables", "sys_columns")
+    q["table_schema"] = _table_schema_sql("select table_schema, table_name, row_count as rows from parts", "table_schema table_name")
+    q["table_schema_order"] = _ordered(q["table_schema"])
+    q["table_schema_by_name"] = _table_schema_sql("select table_name, row_count as rows from parts", "table_name")
+    q["table_schema_summed"] = _table_schema_sql(
+        "select table_schema, table_name, cast(sum(row_count) as bigint) as rows from parts group by all", "table_schema table_name")
     q["numeric_columns"] = with_roles("""
         select t.table_schema as schema_name, t.table_name, c.column_name, c.data_type as type_name
         from (select distinct object_id, table_schema, table_name from sys_tables) t
@@ -498,9 +520,12 @@ def _oracle_sql() -> dict[str, str]:
     q["column_min_max"] = _min_max_sql(["lineitem"])
     q["column_min_max_all"] = _min_max_sql(R.PROFILE_TABLES)
     q["column_stats_exact"] = _stats_sql(R.PROFILE_TABLES, R.STATS_SCHEMA)
+    q["column_stats"] = f"""
+        select * exclude (distinct_values_count), if(column_name is null, null, true) as distinct_ok
+        from ({q['column_stats_exact']})"""
     q["history_trino_window"] = f"""
         select event_id, ts as created, user_id, event_type, value, props from events
-        where ts >= {EV_S} and ts < {EV_E1} limit 1000000"""
+        where ts >= {EV_S} and ts < {EV_E1}"""
     q["history_text_date"] = f"""
         select event_id, strftime(ts, '%Y-%m-%d') as date,
                to_json(map(['event_type'], [event_type])) as session_properties,
@@ -520,7 +545,7 @@ def _oracle_sql() -> dict[str, str]:
     q["flatten_events"] = with_roles("""
         select pos, submission as "Status.SubmissionDateTime", state as "Status.State", value from executions""",
                                      "executions")
-    q["athena_query_logs"] = with_roles(f"""
+    q["athena_query_logs"] = q["athena_query_logs_zoned"] = with_roles(f"""
         select pos, {_iso('submission')} as "Status.SubmissionDateTime", state as "Status.State", value
         from executions where submission is not null and submission between {EV_S} and {EV_E}""", "executions")
     return q

@@ -158,9 +158,20 @@ def stl_querytext(t: Tables) -> DataFrame:
                                      c("turn").alias("sequence"), "text")
 
 
+# Catalog names of built-in types, by oid.
+BUILTIN_TYPES = {16: "bool", 18: "char", 20: "int8", 21: "int2", 23: "int4", 700: "float4", 701: "float8", 1042: "bpchar",
+                 1043: "varchar", 1083: "time", 1114: "timestamp", 1184: "timestamptz", 1186: "interval",
+                 1266: "timetz", 1560: "bit", 1562: "varbit", 1700: "numeric"}
+
+
 def pg_type(t: Tables) -> DataFrame:
     p = t["part"]
-    return p.select((c("p_partkey") + 1).alias("oid"), c("p_name").alias("typname"),
+    oid = c("p_partkey") + 1
+    name = F.when(c("p_partkey") % 35 == 0, F.concat(F.lit("_"), c("p_name"))).when(
+        c("p_partkey") % 4 == 1, F.replace(c("p_name"), F.lit(" "), F.lit("_"))).otherwise(c("p_name"))
+    for builtin, typname in BUILTIN_TYPES.items():
+        name = F.when(oid == builtin, F.lit(typname)).otherwise(name)
+    return p.select(oid.alias("oid"), name.alias("typname"),
                     (c("p_size") % 6).alias("typnamespace"),
                     F.when(c("p_partkey") % 3 == 0, c("p_partkey") + 1).otherwise(F.lit(0)).alias("typrelid"),
                     F.when(c("p_partkey") % 5 == 0, c("p_partkey")).otherwise(F.lit(0)).alias("typelem"))
@@ -363,3 +374,15 @@ def nested_executions(t: Tables) -> DataFrame:
     x = executions(t)
     return x.select("pos", F.struct(c("submission").alias("SubmissionDateTime"),
                                     c("state").alias("State")).alias("Status"), "value")
+
+
+def zoned_executions(t: Tables) -> DataFrame:
+    """The same executions with times as JSON text has them, in three zones."""
+    x = nested_executions(t)
+    sub = F.col("Status.SubmissionDateTime")
+
+    def text(shift: str, zone: str):
+        return F.concat(F.date_format(sub + F.expr(f"interval '{shift}' hour to minute"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit(zone))
+    zoned = (F.when(c("pos") % 3 == 0, text("00:00", "Z")).when(c("pos") % 3 == 1, text("02:00", "+02:00"))
+             .otherwise(text("-05:30", "-05:30")))
+    return x.select("pos", F.struct(zoned.alias("SubmissionDateTime"), F.col("Status.State").alias("State")).alias("Status"), "value")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from whlens.operators.nested import json_text
 from whlens.operators.stats import schema_stats
 from whlens.operators.windows import in_window
 from whlens.sources.catalog import catalog_columns
@@ -34,7 +35,7 @@ def as_text(df: DataFrame, columns: Sequence[str] = TEXT_COLUMNS) -> DataFrame:
             continue
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.MapType, T.StructType, T.ArrayType)):
-            out[f.name] = F.to_json(c)
+            out[f.name] = json_text(c)
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             out[f.name] = timestamp_text(c)
         else:
@@ -58,10 +59,10 @@ def stats(tables: Mapping[str, DataFrame], schema: str, exact: bool = False) ->
     return schema_stats(tables, schema, exact)
 
 
-def trino_history(history: DataFrame, cap: int = 1_000_000, start=None, end=None,
+def trino_history(history: DataFrame, cap: int | None = None, start=None, end=None,
                   ts: str = "created") -> DataFrame:
-    """Export ``query_history_trino``: the history table with the source's
-    unordered row cap; the window is optional (the source parses the dates
+    """Export ``query_history_trino``: the whole history table (the source's
+    unordered row cap only if ``cap`` is given); the window is optional (the source parses the dates
     but does not apply them)."""
     if start is not None:
         history = in_window(history, ts, start, end, "half_open_days")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job needs: UTC so that timestamp literals and epoch
@@ -48,14 +46,13 @@ def build_session(master: str | None = None, app_name: str = "whlens",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared file system path and is used as
-    is. Only when it is unset (local tests) a scratch folder is made.
+    The setting names a path that all executors share; nothing else would
+    survive a lost one, so its absence is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="whlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(configured)
     return configured
 

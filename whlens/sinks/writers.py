@@ -13,8 +13,9 @@ import os
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from whlens.functions.normalize import hour_label, iso_text_columns, normalize_for_export
+from whlens.functions.normalize import hour_label, iso_text_columns, normalize_for_export, require_utc
 from whlens.operators.nested import nested_to_json
 
 log = logging.getLogger(__name__)
@@ -41,18 +42,24 @@ def _conf(spark, key: str, value: str):
             spark.conf.set(key, old)
 
 
+def _remove(spark, path: str) -> None:
+    """Delete a dataset that holds no rows, wherever the path lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def write_export(df: DataFrame, path: str, normalize: bool = True, json_nested: bool = False,
                  on_empty: str = "schema", mode: str = "overwrite", fmt: str = "parquet",
                  partition_by: list[str] | None = None) -> int | None:
     """K1/K2/K5: write ``df`` as a dataset at ``path`` and return its row count.
 
     * ``normalize``: zoned times to UTC wall time, times rounded half-even to
-      the millisecond and stored as milliseconds (N1, N2, K2);
+      the millisecond (N1, N2); Parquet stores them as UTC instants in
+      milliseconds (K2: it has that unit for zoned times only);
     * ``json_nested``: struct / array / map columns as JSON text (N3);
-    * ``on_empty="skip"`` writes nothing for an empty result (returns None);
-      ``"schema"`` writes a schema-only dataset. The skip check takes one
-      row of ``df``: cheap for filters and joins, a full pass when ``df``
-      ends in a shuffle (sort, aggregate), so such exports use "schema".
+    * ``on_empty="skip"`` leaves nothing at ``path`` for an empty result, nor a
+      dataset of an earlier run (returns None); ``"schema"`` leaves a
+      schema-only dataset. The write's own row count decides; the plan runs once.
     """
     if on_empty not in ON_EMPTY:
         raise ValueError(f"on_empty must be one of {ON_EMPTY}")
@@ -60,9 +67,11 @@ def write_export(df: DataFrame, path: str, normalize: bool = True, json_nested:
         df = nested_to_json(df)
     if normalize:
         df = normalize_for_export(df)
-    if on_empty == "skip" and df.isEmpty():
-        log.info("no rows for %s: nothing written", path)
-        return None
+    if fmt == "parquet":
+        zoneless = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
+        if zoneless:
+            require_utc(df)
+            df = df.withColumns({c: F.col(f"`{c}`").cast("timestamp") for c in zoneless})
     obs = Observation()
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode(mode).format(fmt)
@@ -73,6 +82,11 @@ def write_export(df: DataFrame, path: str, normalize: bool = True, json_nested:
     with _conf(df.sparkSession, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MILLIS"):
         writer.save(path)
     rows = obs.get.get("rows", 0)
+    if not rows and on_empty == "skip":
+        if mode == "overwrite":
+            _remove(df.sparkSession, path)
+        log.info("no rows for %s: nothing written", path)
+        return None
     log.info("wrote %s rows to %s", rows, path)
     return rows
 
@@ -93,14 +107,9 @@ def write_hourly(df: DataFrame, path: str, ts: str, label: str = "hour",
     df = normalize_for_export(nested_to_json(df))
     if label not in df.columns:
         df = df.withColumn(label, hour_label(F.col(ts)))
-    # Emptiness is checked before the shuffle: on the rebalanced plan the
-    # check would have to finish the whole shuffle first.
-    if df.isEmpty():
-        log.info("no rows for %s: nothing written", path)
-        return None
     balanced = df.hint("rebalance", label)
     with _conf(spark, "spark.sql.files.maxRecordsPerFile", str(max_records_per_file)):
-        return write_export(balanced, path, normalize=False, on_empty="schema", partition_by=[label])
+        return write_export(balanced, path, normalize=False, on_empty="skip", partition_by=[label])
 
 
 def write_csv(df: DataFrame, path: str, on_empty: str = "skip") -> int | None:

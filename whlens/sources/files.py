@@ -58,10 +58,14 @@ def scan(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
     return tables[name]
 
 
-def scan_capped(spark: SparkSession, fqn_or_df, n: int = 1_000_000) -> DataFrame:
-    """S4 + L1: a caller-named history table with an unordered row cap.
+def scan_capped(spark: SparkSession, fqn_or_df, n: int | None = None) -> DataFrame:
+    """S4 + L1: a caller-named history table, whole.
 
-    The cap is the source feature (``LIMIT``, no order): rows past it are
-    arbitrary. Spark plans a local limit per task and a global limit."""
+    The source caps it (``LIMIT``, no order: which rows stay is arbitrary). A cap
+    applies here only if the caller gives ``n``; that is logged, as it may drop
+    rows, and sends those kept through one task."""
     df = spark.table(fqn_or_df) if isinstance(fqn_or_df, str) else fqn_or_df
+    if n is None:
+        return df
+    log.warning("history capped at %d rows: rows beyond are not exported", n)
     return df.limit(n)

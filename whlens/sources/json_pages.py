@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from whlens.functions.normalize import require_utc
+
 # Metric fields of a history record and their types.
 HISTORY_METRICS = [
     ("total_time_ms", T.LongType()),
@@ -76,4 +78,28 @@ def read_executions(spark: SparkSession, path: str, schema: T.StructType | None
         reader = reader.schema(schema)
     elif sampling_ratio is not None:
         reader = reader.option("samplingRatio", str(sampling_ratio))
-    return explode_records(reader.json(path), "QueryExecutions")
+    return utc_times(explode_records(reader.json(path), "QueryExecutions"))
+
+
+# The times of an execution's status.
+STATUS_TIMES = ("SubmissionDateTime", "CompletionDateTime")
+
+
+def utc_times(executions: DataFrame) -> DataFrame:
+    """Execution times as UTC wall times, parsed once at the source. JSON text may
+    carry an offset (``2024-01-05T01:00:00+02:00``); without one it is UTC; numbers
+    are epoch seconds. What can't be parsed is null, as if it were missing."""
+    if "Status" not in executions.columns or not isinstance(executions.schema["Status"].dataType, T.StructType):
+        return executions
+    status = F.col("Status")
+    for f in executions.schema["Status"].dataType.fields:
+        if f.name not in STATUS_TIMES or isinstance(f.dataType, T.TimestampNTZType):
+            continue
+        c = F.col("Status").getField(f.name)
+        if isinstance(f.dataType, T.StringType):
+            c = F.try_to_timestamp(c)
+        elif isinstance(f.dataType, T.NumericType):
+            c = F.timestamp_micros((c.cast("decimal(20,6)") * 1_000_000).cast("long"))
+        status = status.withField(f.name, c.cast("timestamp").cast("timestamp_ntz"))
+    require_utc(executions)
+    return executions.withColumn("Status", status)
