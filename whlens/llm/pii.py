@@ -141,9 +141,10 @@ def votes(kind: str, text: str, start: int, end: int) -> tuple[int, int, int, in
         return 1 if 15 <= len(s) <= 34 else -1, 1 if s[:2] in IBAN_COUNTRIES else -1, context, 1 if int(moved) % 97 == 1 else -1
     if kind == "ssn":
         return 1 if s[:3] not in ("000", "666") and s[0] != "9" else -1, 0, context, 0
-    mixed = any(c.isalpha() for c in s)
-    strict = re.fullmatch(r"[0-9a-fA-F]{32,128}|[A-Za-z0-9_-]{20,256}", s) and mixed
-    return 1 if strict else -1, 1 if s.startswith(SECRET_PREFIXES) else 0, context, 1 if mixed and _entropy(s) > 3.2 else -1
+    known = s.startswith(SECRET_PREFIXES)
+    mixed = any(c.isalpha() for c in s) and len(digits) >= 0.15 * len(s)  # unlike words joined by hyphens
+    strict = mixed and (known or re.fullmatch(r"[0-9a-fA-F]{32,128}|[A-Za-z0-9]{20,256}", s))
+    return 1 if strict else -1, 1 if known else 0, context, 1 if mixed and _entropy(s) > 3.2 else -1
 
 
 FEATURES = 2 * LABELERS + 8
