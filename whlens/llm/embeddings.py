@@ -126,7 +126,7 @@ def _build(least: float):
 def _ask(least: float):
     def run(graphs: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(graphs) or not len(queries):
-            return pd.DataFrame({"id": [], "n": [], "near": []})
+            return pd.DataFrame([], columns=["id", "n", "near"])
         g = graphs.iloc[0]
         ids = np.frombuffer(g["ids"], np.int64)
         shard = Shard(ids, np.frombuffer(g["copies"], np.int64), np.frombuffer(g["raw"], np.float64).reshape(len(ids), -1), Graph.from_bytes(g["graph"]), least)
