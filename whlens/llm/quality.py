@@ -25,7 +25,7 @@ COVERED, STEPS, BINS = 0.75, 5, 32
 CUTOFF = 40.0
 #: Least standard deviation of each transformed statistic: most documents have no
 #: symbols or repeats at all, which says nothing against a few.
-FLOORS = {"size": 0.5, "word": 0.08, "symbols": 0.08, "lines": 0.12, "repeats": 0.12}
+FLOORS = {"size": 0.5, "word": 0.08, "symbols": 0.08, "lines": 0.2, "repeats": 0.2}
 X = list(FLOORS)
 #: Median of chi-squared with five degrees of freedom.
 CHI_MEDIAN = 4.351
