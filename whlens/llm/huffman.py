@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from whlens.llm.common import arrow_schema, drop, partitions, scratch, table
+from whlens.llm.common import arrow_schema, drop, partitions, scratch, slices, table
 from whlens.llm.tokens import default_tokenizer, token_table
 
 MAX_BITS = 16
@@ -125,9 +125,8 @@ def id_counts(tokens: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
-        for batch in batches:
-            for ids in batch.column(0):
-                total += np.bincount(np.frombuffer(ids.as_buffer(), "<u2"), minlength=1 << 16)
+        for batch in slices(batches):
+            total += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u2"), minlength=1 << 16)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], schema=schema)
 

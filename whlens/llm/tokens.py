@@ -16,7 +16,7 @@ from whlens.llm.common import arrow_schema, slices
 END_ID = 2
 #: Words whose ids a process remembers, the longest of them, and the length up to
 #: which they stay when there are too many; the ids of all of them.
-KNOWN_WORDS, KNOWN_LENGTH, KEPT_LENGTH, FLAT_IDS = 600_000, 48, 8, 1 << 23
+KNOWN_WORDS, KNOWN_LENGTH, KEPT_LENGTH, FLAT_IDS = 900_000, 48, 8, 1 << 23
 #: A word of plain Latin letters (composed ones of Latin-1 too), with marks after it.
 PLAIN = re.compile("([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-/:-@\\[-`{-~]*)")
 
@@ -60,35 +60,39 @@ class WordEncoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _learn(self, words: list[str]) -> None:
-        ids, sizes, cores = [], [], {}
-        at = len(self.sizes)
+        """Remember these words, and what is left of them without case and marks."""
+        ids, sizes, known = [], [], self.known
+        start, at = len(self.flat), len(self.sizes)
+        mine: dict[str, list[int]] = {}
         for word in words:
+            if word in mine:
+                continue
             plain = PLAIN.fullmatch(word)
             if plain:
                 core, marks = plain.groups()
                 core = core.lower()
-                own = cores.get(core)
+                own = mine.get(core)
                 if own is None:
-                    if core in self.known:
-                        k = self.known[core]
-                        own = self.flat[self.starts[k]:self.starts[k] + self.sizes[k]].tolist() if k < len(self.sizes) else None  # else it is new too
-                    if own is None:
-                        own = [t.id for t in self.model.tokenize(core.translate(self.bytes))]
-                    cores[core] = own
+                    k = known.get(core)
+                    if k is None:
+                        own = mine[core] = [t.id for t in self.model.tokenize(core.translate(self.bytes))]
+                    else:
+                        own = self.flat[self.starts[k]:self.starts[k] + self.sizes[k]].tolist()
                 if marks:
                     if marks not in self.marks:
                         if len(self.marks) > 10_000:
                             self.marks = {"": []}
                         self.marks[marks] = self._whole(marks)
                     own = own + self.marks[marks]
+                mine[word] = own
             else:
-                own = self._whole(word)
-            self.known[word] = at
-            at += 1
+                mine[word] = self._whole(word)
+        known.update(zip(mine, range(at, at + len(mine))))
+        for own in mine.values():
             ids += own
             sizes.append(len(own))
         sizes = np.array(sizes, np.int64)
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.starts = np.concatenate([self.starts, start + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
         self.flat = np.concatenate([self.flat, np.array(ids, np.uint32)])
 
