@@ -8,6 +8,8 @@ the paths that are kept.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -64,18 +66,21 @@ def jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     known = nodes.select("conv_id", F.col("node").alias("parent"))
     start = (nodes.where("parent is not null").select("conv_id", "node", "parent", "score").join(known, ["conv_id", "parent"], "left_semi")
              .select("conv_id", "node", F.col("parent").alias("anc")))
-    state = table(nodes.select("conv_id", "node", "score").join(start, ["conv_id", "node"], "left")
-                  .select("conv_id", "node", "anc", F.lit(1).cast("long").alias("depth"), F.col("score").alias("total")), "paths")
-    n, levels = state.count(), []
-    while not (live := state.where("anc is not null").select("conv_id", "node", "anc")).isEmpty():
-        if 1 << len(levels) > n:
-            break  # what still has an ancestor so far away hangs on a cycle
-        levels.append(live)
-        above = state.select("conv_id", F.col("node").alias("anc"), F.col("anc").alias("next"), F.col("depth").alias("d"), F.col("total").alias("t"))
-        state = table(state.join(above, ["conv_id", "anc"], "left").select(
+    now = table(nodes.select("conv_id", "node", "score").join(start, ["conv_id", "node"], "left")
+                .select("conv_id", "node", "anc", F.lit(1).cast("long").alias("depth"), F.col("score").alias("total")), "paths")
+    n, levels, done = now.count(), [], []
+    while True:
+        done.append(now.where("anc is null"))
+        live = now.where("anc is not null")
+        # What still has an ancestor so far away as there are nodes hangs on a cycle.
+        if live.isEmpty() or 1 << len(levels) > n:
+            return levels, reduce(DataFrame.union, done).select("conv_id", "node", "depth", "total")
+        levels.append(live.select("conv_id", "node", "anc"))
+        above = reduce(DataFrame.union, [*done, live]).select("conv_id", F.col("node").alias("anc"), F.col("anc").alias("next"),
+                                                              F.col("depth").alias("d"), F.col("total").alias("t"))
+        now = table(live.join(above, ["conv_id", "anc"], "left").select(  # only those that haven't reached their root
             "conv_id", "node", F.col("next").alias("anc"), (F.col("depth") + F.coalesce("d", F.lit(0))).alias("depth"),
             (F.col("total") + F.coalesce("t", F.lit(0.0))).alias("total")), "paths")
-    return levels, state.where("anc is null").select("conv_id", "node", "depth", "total")
 
 
 def paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
