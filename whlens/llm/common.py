@@ -64,6 +64,18 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+#: Rows of a batch between the JVM and Python where rows hold whole texts.
+TEXT_ROWS = 1000
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Lower the session's rows per Arrow batch to ``TEXT_ROWS``: its default of 10,000
+    is meant for narrow rows, and both sides hold a batch and its copies."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= TEXT_ROWS:
+        spark.conf.set(key, str(TEXT_ROWS))
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Cut incoming batches so that few texts are Python objects at a time."""
     for batch in batches:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from whlens.llm.common import arrow_schema, drop, slices, table
+from whlens.llm.common import arrow_schema, drop, slices, table, text_batches
 
 BUCKET_BITS = 12
 #: Fit on about this many documents of each language (chosen by a hash of doc_id).
@@ -24,7 +24,7 @@ UNKNOWN = "und"
 #: sample's least similar half percent has; that is less for a text of fewer than
 #: FULL_GRAMS n-gram buckets, as the square root of their number.
 REJECT_SHARE, REJECT_QUANTILE, FULL_GRAMS = 0.5, 0.005, 400
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 @cache
@@ -134,6 +134,7 @@ def train(docs: DataFrame, fit_rows: int = FIT_ROWS, clusters: int = CLUSTERS) -
     which the centroids are clustered. Rows with a null lang or without a letter
     are left out; without any row the model knows no language.
     """
+    text_batches(docs.sparkSession)
     known = docs.where("lang is not null").select("doc_id", F.col("text").cast("string"), F.col("lang").cast("string"))
     sizes = {r[0]: r[1] for r in known.groupBy("lang").count().collect()}
     rates = {lang: min(1.0, 1.5 * fit_rows / n) for lang, n in sizes.items()}

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from whlens.llm.common import arrow_schema, slices, table
+from whlens.llm.common import arrow_schema, slices, table, text_batches
 from whlens.llm.tokens import default_tokenizer, encoder
 
 LENGTH = 4096
@@ -83,6 +83,7 @@ def _crc(ids: np.ndarray) -> int:
 
 
 def _pieces(docs: DataFrame, tokenizer: str, length: int, open_windows: int) -> DataFrame:
+    text_batches(docs.sparkSession)
     schema = arrow_schema(PIECES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,6 +109,7 @@ def _pieces(docs: DataFrame, tokenizer: str, length: int, open_windows: int) ->
             if packer.closed:
                 yield rows(packer.closed, False)
                 packer.closed = []
+        coder.forget()  # the process may go on with other operators
         rest = packer.finish()
         if packer.closed:
             yield rows(packer.closed, False)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from whlens.llm.common import arrow_schema, drop, slices, table
+from whlens.llm.common import arrow_schema, drop, slices, table, text_batches
 
 # Kinds, patterns and word lists.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -222,6 +222,7 @@ FOUND = ("doc_id long, n_email long, n_ip long, n_card long, n_phone long, base
 def span_table(docs: DataFrame) -> DataFrame:
     """One pass over all whole texts: base spans, other candidates (kind, start, end in
     ``more``), their votes and features, a row per document."""
+    text_batches(docs.sparkSession)
     schema = arrow_schema(FOUND)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

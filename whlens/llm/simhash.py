@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from whlens.llm.common import arrow_schema, components, partitions, slices, table
+from whlens.llm.common import arrow_schema, components, partitions, slices, table, text_batches
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -47,6 +47,7 @@ def _fingerprint(text: str | None, shingle: int) -> int:
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, text_hash, fp): the SimHash of each whole text's word shingles as a
     signed long, and Spark's xxhash64 of the text. A null text has no words."""
+    text_batches(docs.sparkSession)
     ddl = "doc_id long, text_hash long, fp long"
     schema = arrow_schema(ddl)
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from whlens.llm.common import arrow_schema, slices
+from whlens.llm.common import arrow_schema, slices, text_batches
 
 END_ID = 2
 #: Words whose ids a process remembers, the longest of them, and the length up to
@@ -42,8 +42,7 @@ class WordEncoder:
         self.model = self.tokenizer.model
         to_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
         self.bytes = {c: to_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
-        self.marks: dict[str, list[int]] = {"": []}
-        self._keep({})
+        self.forget()
 
     def _keep(self, words: dict[str, int]) -> None:
         """Remember only these words (each with its place so far)."""
@@ -56,6 +55,11 @@ class WordEncoder:
             sizes, self.flat, self.known = np.zeros(1, np.int64), np.zeros(0, np.uint32), {"": 0}
         self.sizes, self.starts = sizes, np.cumsum(sizes) - sizes
 
+    def forget(self) -> None:
+        """Give back the memory of all remembered words."""
+        self.marks = {"": []}
+        self._keep({})
+
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
@@ -150,6 +154,7 @@ def token_table(docs: DataFrame, path: str, text: str = "text", key: str = "doc_
     """(doc_id long, n_tokens long, ids binary): ids of each whole text (null:
     empty) and the end id, as little-endian unsigned 16-bit integers (the
     vocabulary has fewer than 65,536 ids)."""
+    text_batches(docs.sparkSession)
     ddl = "doc_id long, n_tokens long, ids binary"
     schema = arrow_schema(ddl)
 
