@@ -87,3 +87,17 @@ def test_ties_nulls_and_more_columns(spark):
     conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, node string").select("conv_id", "turn", "role", "text", "node")
     found = {r.conv_id: [t.text for t in r.turns] for r in chat.format_paths(chat.chains(conv)).withColumn("turns", chat.parse(F.col("formatted"))).collect()}
     assert found[1] == ["n", "a", "a", "b"]
+
+
+def test_turns_without_a_conversation_are_one_conversation(spark, tmp_path):
+    rows = [(None, t, "user" if t % 2 == 0 else "assistant", f"n{t} <s>") for t in range(9)] + [(1, 0, "user", "a"), (1, 1, "assistant", "b")]
+    schema = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").select("conv_id", "turn", "role", "text").schema
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "conversations.parquet"))
+    got = list(map(tuple, chat.op5_chat(spark, str(tmp_path)).collect()))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    assert sorted(got, key=str) == sorted(con.execute(chat.OP5_SQL).fetchall(), key=str)
+    assert {r[0]: r[1] for r in got} == {None: 9, 1: 2, -7: 2}
+    nodes = [(None, 1, None, "user", "a", 0.0), (None, 2, 1, "user", "b", 1.0), (None, 3, 1, "user", "c", 2.0), (4, 1, None, "user", "d", 0.0)]
+    found = chat.paths(spark.createDataFrame(nodes, NODES).select("conv_id", "node", "parent", "score"), 2).select("conv_id", "path", "pos", "node").collect()
+    assert sorted(map(tuple, found), key=str) == sorted([(None, 1, 0, 1), (None, 1, 1, 3), (None, 2, 0, 1), (None, 2, 1, 2), (4, 1, 0, 1)], key=str)

@@ -83,10 +83,23 @@ def jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
             (F.col("total") + F.coalesce("t", F.lit(0.0))).alias("total")), "paths")
 
 
+def _keyed(rows: DataFrame) -> DataFrame:
+    """conv_id in a struct: that is never null, so joins match null conversations too."""
+    return rows.withColumn("conv_id", F.struct("conv_id"))
+
+
+def _unkeyed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("conv_id", F.col("conv_id")["conv_id"])
+
+
 def paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
     """(conv_id, path, pos, node): the nodes of each conversation's ``keep`` best
     root-to-leaf paths, numbered from 1 by mean score (ties: the longer path, then the
-    smaller leaf); pos counts from 0 at the root."""
+    smaller leaf); pos counts from 0 at the root. Null conv_ids are one conversation."""
+    return _unkeyed(_paths(_keyed(nodes), keep))
+
+
+def _paths(nodes: DataFrame, keep: int) -> DataFrame:
     levels, reached = jumps(nodes)
     parents = nodes.where("parent is not null").select("conv_id", F.col("parent").alias("node"))
     leaves = reached.join(parents, ["conv_id", "node"], "left_anti")
@@ -104,19 +117,21 @@ def format_paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
 
     Returns (conv_id, path, n_turns, formatted, loss) for each chosen path; loss has
     the (start, end) of the assistant's texts in ``formatted``, in code points.
-    Null roles and texts are empty, null scores 0. (conv_id, node) must be unique.
+    Null roles and texts are empty, null scores 0. Null conv_ids are one conversation.
+    (conv_id, node) must be unique.
     Nodes on a cycle belong to no path. No rows, no result. A path's texts meet in
     one row, as they do in its output.
     """
+    nodes = _keyed(nodes)
     ids = nodes.select("conv_id", "node", "parent", F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
     texts = nodes.select("conv_id", "node", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    turns = paths(ids, keep).join(texts, ["conv_id", "node"])
+    turns = _paths(ids, keep).join(texts, ["conv_id", "node"])
     turns = turns.select("conv_id", "path", "pos", "role", _turn(F.col("role"), F.col("text")).alias("turn"), F.length(_turn(F.col("role"), F.lit(""))).alias("bare"))
     end = F.sum(F.length("turn")).over(Window.partitionBy("conv_id", "path").orderBy("pos"))
     turns = turns.withColumn("end", (end - len(END) - 1).cast("int"))
     span = F.struct((F.col("end") - (F.length("turn") - F.col("bare"))).cast("int").alias("start"), "end")
     rows = F.sort_array(F.collect_list(F.struct("pos", "turn", F.when(F.col("role") == LOSS_ROLE, span).alias("span"))))
-    out = turns.groupBy("conv_id", "path").agg(rows.alias("rows"))
+    out = _unkeyed(turns.groupBy("conv_id", "path").agg(rows.alias("rows")))
     return out.select("conv_id", "path", F.size("rows").cast("long").alias("n_turns"),
                       F.array_join(F.transform("rows", lambda r: r["turn"]), "").alias("formatted"),
                       F.filter(F.transform("rows", lambda r: r["span"]), lambda s: s.isNotNull()).alias("loss"))
@@ -124,7 +139,7 @@ def format_paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
 
 def chains(conversations: DataFrame) -> DataFrame:
     """Reply trees of (conv_id, turn, role, text): each row answers the one before it,
-    by turn (ties by role, then text)."""
+    by turn (ties by role, then text). Rows without a conv_id are one conversation."""
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     rows = conversations.select("conv_id", "role", "text", F.row_number().over(order).cast("long").alias("node"))
     return rows.select("conv_id", "node", F.when(F.col("node") > 1, F.col("node") - 1).alias("parent"), "role", "text", F.lit(0.0).alias("score"))
