@@ -215,6 +215,31 @@ def test_outliers_are_those_planted(spark, cloud):
     assert far == {r.doc_id: r.odd for r in cloud.collect()}
 
 
+def test_repeated_lines_or_words_alone_reject(spark):
+    """Documents of equal size and word length: menu lines or repeated passages between
+    unique text go, one passage given twice stays."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    text = lambda n, per: [" ".join(word() for _ in range(per)) for _ in range(n // per)]
+    rows = ["\n".join(text(240, 8)) for _ in range(400)]
+    menus = ["\n".join(x for line in text(216, 9) for x in (line, "Reply")) for _ in range(5)]
+    logs = ["\n".join([*["Share"] * 215, *text(25, 5)]) for _ in range(5)]
+    passages = []
+    for _ in range(5):
+        twice = " ".join(text(35, 35))
+        passages.append("\n".join(["one " + twice, *text(170, 10), "two " + twice + " end"]))
+    clean = []
+    for _ in range(5):
+        line = " ".join(text(24, 24))
+        clean.append("\n".join([line, *text(192, 8), line]))
+    texts = rows + menus + logs + passages + clean
+    docs = spark.createDataFrame([(i, t, "en", "x") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    found = {r.doc_id: r for r in quality.judge(docs).collect()}
+    assert all(found[i].kept for i in range(400)) and all(found[i].kept for i in range(415, 420))
+    assert all(not found[i].kept and not found[i].base_failed for i in [*range(400, 405), *range(410, 415)])
+    assert not any(found[i].kept for i in range(405, 410))
+
+
 def test_estimates_are_those_of_the_nearest(spark, cloud):
     """One concentration step against numpy."""
     rows = quality.grouped(quality.transformed(cloud.withColumn("base_failed", quality.base_failed())), 200).where("lang = 'en'")

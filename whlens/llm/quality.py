@@ -20,12 +20,16 @@ MIN_ROWS = 200
 #: Share of the rows that the estimate covers, concentration steps, bins for each
 #: doubling of the squared distance.
 COVERED, STEPS, BINS = 0.75, 5, 32
-#: Squared robust distance beyond which a document is rejected. Of five normal
-#: statistics about one in ten millions lies beyond.
-CUTOFF = 40.0
+#: Squared robust distance beyond which a document is rejected: the 0.9999 quantile of
+#: chi-squared with five degrees of freedom.
+CUTOFF = 25.745
 #: Least standard deviation of each transformed statistic: most documents have no
-#: symbols or repeats at all, which says nothing against a few.
-FLOORS = {"size": 0.5, "word": 0.08, "symbols": 0.08, "lines": 0.2, "repeats": 0.2}
+#: symbols or repeats at all, which says nothing against a few. Each statistic can
+#: reject alone: the square roots of 17 % of the lines or of the words are beyond the cutoff.
+FLOORS = {"size": 0.5, "word": 0.08, "symbols": 0.08, "lines": 0.08, "repeats": 0.08}
+#: So many duplicate lines and repeated words count as none: one passage that a clean
+#: document gives twice.
+PASSAGE_LINES, PASSAGE_WORDS = 2, 48
 X = list(FLOORS)
 #: Median of chi-squared with five degrees of freedom.
 CHI_MEDIAN = 4.351
@@ -77,8 +81,8 @@ def transformed(stats: DataFrame) -> DataFrame:
         "size": F.log1p("n_words"),
         "word": F.log((F.col("word_chars") + 1) / (F.col("n_words") + 1)),
         "symbols": F.sqrt(F.col("n_symbols") / (F.col("word_chars") + 1)),
-        "lines": F.sqrt(F.col("n_dup_lines") / (F.col("n_lines") + 1)),
-        "repeats": F.sqrt(F.col("n_repeat_words") / (F.col("n_words") + 1)),
+        "lines": F.when(F.col("n_dup_lines") > PASSAGE_LINES, F.sqrt(F.col("n_dup_lines") / (F.col("n_lines") + 1))).otherwise(0.0),
+        "repeats": F.when(F.col("n_repeat_words") > PASSAGE_WORDS, F.sqrt(F.col("n_repeat_words") / (F.col("n_words") + 1))).otherwise(0.0),
     })
 
 
