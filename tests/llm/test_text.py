@@ -80,6 +80,20 @@ def test_alignments_against_all_starts(spark):
         assert set(filter(None, found[i].labels.split(","))) == want, text
 
 
+def test_every_licence_of_a_long_file(spark):
+    """With production parameters: all templates beside each other, and among chance uses of all their words."""
+    pieces = [t for _, t, _ in licenses.TEMPLATES]
+    chance = sorted({w for t in pieces for w in t.split()})
+    texts = [" x1 ".join(pieces[at:] + pieces[:at]) for at in range(len(pieces))]
+    texts += [" x1 ".join(chance) + " x1 " + t + " x1 " + " x1 ".join(chance) for t in pieces]
+    texts += [pieces[0]] * 40 + ["nothing of it"] * 20  # a hot source: its notice's words are common
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: set(r.labels.split(",")) for r in licenses.scan(docs).collect()}
+    every, n = {label for label, _, _ in licenses.TEMPLATES}, len(pieces)
+    assert all(found[i] == every for i in range(n))
+    assert all(licenses.TEMPLATES[i][0] in found[n + i] for i in range(n)) and found[2 * n] == {"mit"}
+
+
 def test_licences_of_nothing(spark):
     assert licenses.scan(no_docs(spark)).count() == 0
     assert licenses.scan(edge_docs(spark, clash=True)).count() == 12

@@ -2,9 +2,10 @@
 
 One pass over the texts keeps, of each document, the places of words that licence
 templates use. Document frequencies of those words, over all documents, give their
-IDF. Each document's highest-IDF words are looked up in the templates' postings
-(word -> template, position); words that agree on where a template would start vote
-for that start. A template counts if its mandatory phrases stand there word by word.
+IDF. The highest-IDF words of each template's mandatory phrases are its postings
+(word -> template, position); a document's words that agree on where a template would
+start vote for that start. A template counts if its mandatory phrases stand there word
+by word, and then all its postings vote for it, whatever else the document holds.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ TEMPLATES = [
     ("unlicense", "this is free and unencumbered software released into the public domain", ["unencumbered software released", "public domain"]),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ["distribute this software", "without fee", "hereby granted"]),
 ]
-#: A document's words that are looked up, and the votes that a start needs.
+#: A template's words that are looked up, and the votes that a start needs.
 RARE_WORDS, MIN_VOTES = 8, 3
 #: Shorter template words are indexed only if a mandatory phrase has them.
 MIN_LETTERS = 4
@@ -95,17 +96,24 @@ def _phrase_places(index: Index, phrase: str) -> Column:
     return F.transform(at, lambda j: hit(j)["pos"])
 
 
-def _alignments(index: Index, idf: list[float], rare_words: int, min_votes: int) -> Column:
-    """Distinct (template, start) that ``min_votes`` of the document's rarest licence
-    words agree on."""
-    weight = F.array(*[F.lit(x) for x in idf])
-    ranked = F.sort_array(F.transform(F.array_distinct(F.transform("hits", lambda h: h["id"])),
-                                      lambda i: F.struct((-F.get(weight, i)).alias("w"), i.alias("id"))))
-    rare = F.transform(F.slice(ranked, 1, rare_words), lambda r: r["id"])
+def _voters(index: Index, idf: list[float], rare_words: int, min_votes: int) -> list[list[tuple[int, int]]]:
+    """Postings (template, position) by word: each template's rarest places of its
+    mandatory phrases, or all its places if those are too few to agree."""
+    out = [[] for _ in index.words]
+    for t, need in enumerate(index.phrases):
+        places = sorted(set(need), key=lambda q: (-idf[q[1]], q))[:max(rare_words, min_votes)]
+        for at, i in places if len(places) >= min_votes else index.places[t]:
+            out[i].append((t, at))
+    return out
+
+
+def _votes(index: Index, idf: list[float], rare_words: int, min_votes: int) -> Column:
+    """(template, start) of each vote, in order."""
+    voters = _voters(index, idf, rare_words, min_votes)
     postings = F.array(*[F.array(*[F.struct(F.lit(t).alias("t"), F.lit(at).alias("at")) for t, at in p]) if p
-                         else F.array().cast("array<struct<t:int,at:int>>") for p in index.postings])
-    return rare, lambda chosen: F.sort_array(F.flatten(F.transform(
-        F.filter("hits", lambda h: F.array_contains(chosen, h["id"])),
+                         else F.array().cast("array<struct<t:int,at:int>>") for p in voters])
+    return F.sort_array(F.flatten(F.transform(
+        F.filter("hits", lambda h: h["id"].isin([i for i, p in enumerate(voters) if p])),
         lambda h: F.transform(F.get(postings, h["id"]), lambda p: F.struct(p["t"].alias("t"), (h["pos"] - p["at"]).alias("start"))))))
 
 
@@ -128,9 +136,7 @@ def scan(docs: DataFrame, index: Index | None = None, rare_words: int = RARE_WOR
     out = found.select("*", *[_phrase_places(index, p).alias(f"base_{k}") for k, p in enumerate(index.base.values())])
     places = F.concat(*[f"base_{k}" for k in range(len(index.base))])
     base = F.filter(F.array(*[F.when(F.size(f"base_{k}") > 0, F.lit(label)) for k, label in enumerate(index.base)]), lambda x: x.isNotNull())
-    rare, votes = _alignments(index, idf, rare_words, min_votes)
-    out = out.select("doc_id", "n_words", "hits", places.alias("places"), base.alias("base"), rare.alias("rare"))
-    out = out.withColumn("votes", votes(F.col("rare")))
+    out = out.select("doc_id", "n_words", "hits", places.alias("places"), base.alias("base"), _votes(index, idf, rare_words, min_votes).alias("votes"))
     m = min_votes - 1
     agreed = F.filter(F.when(F.size("votes") > m, F.sequence(F.lit(0), F.size("votes") - 1 - m)).otherwise(F.array().cast("array<int>")),
                       lambda j: F.get("votes", j) == F.get("votes", j + m))
