@@ -78,6 +78,23 @@ def test_a_narrow_beam_is_widened_until_the_audit_passes():
     assert own.sum() >= 0.9 * want.sum()
 
 
+def test_the_audit_is_not_passed_by_a_hot_group_or_without_links():
+    rng = np.random.default_rng(7)
+    for hot in (0, 700):
+        x = rng.normal(size=(2400, 24))
+        x[:hot] = x[0] + rng.normal(scale=0.01, size=(hot, 24))
+        for i in range(1000, 1060, 2):  # thirty pairs
+            x[i + 1] = x[i] + 0.05 * rng.normal(size=24)
+        order, graph = hnsw.build((x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32))
+        graph.links[0][:, 2:] = -1  # a poor graph
+        shard = embeddings.Shard(np.arange(len(x))[order], np.ones(len(x), int), x[order], graph, 0.98)
+        pairs = np.arange(1000, 1060)
+        assert [n for n, _ in shard.links(pairs, x[pairs])] == [1] * 60
+        others = x[1500:1900] + 0.02 * rng.normal(size=(400, 24))  # another shard's
+        shard.audit(np.arange(5000, 5400), others)
+        assert np.mean([n >= 1 for n, _ in shard.links(np.arange(5000, 5400), others)]) >= 0.97
+
+
 def test_edges(spark):
     a, b = [1.0, 0.0, 0.0], [0.0, 2.0, 0.0]
     rows = [(10, a, 1), (11, a, 1), (12, [3.0, 0.0, -0.0], 1), (13, a, 2), (14, a, None), (15, None, 1), (16, [0.0, 0.0, 0.0], 1), (17, [1.0, None, 0.0], 1),

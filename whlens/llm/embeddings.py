@@ -15,9 +15,11 @@ LEAST_COSINE = 0.98
 #: Vectors of a graph, and of a block of queries: what a task holds.
 SHARD_ROWS, QUERY_ROWS = 20_000, 20_000
 MIN_SHARDS = 2
-#: Beams start with this width and are doubled until an audit of AUDIT of the shard's own
-#: vectors against all of them finds the share RECALL of the links.
-BEAM, AUDIT, RECALL = 24, 96, 0.99
+#: Beams start with this width and are doubled until an audit finds all links of the share
+#: RECALL of the vectors that have any. It compares vectors with the whole shard until AUDIT
+#: clusters have been met or none is left; each cluster counts once, by GROUP_ROWS at most.
+#: Beams that a SCAN-th of the shard would fill give way to comparing with all of it.
+BEAM, AUDIT, RECALL, GROUP_ROWS, SCAN, SCAN_ROWS = 24, 96, 0.99, 8, 16, 64
 BLOCK = 512
 
 
@@ -31,9 +33,9 @@ class Shard:
 
     def __init__(self, ids: np.ndarray, copies: np.ndarray, raw: np.ndarray, graph: Graph, least: float):
         self.ids, self.copies, self.raw, self.graph, self.least = ids, copies, raw, graph, least
-        self.beam = BEAM
+        self.beam, self.exact = BEAM, False
         self._cluster()
-        self._audit()
+        self.audit(ids, raw)
 
     def _cluster(self) -> None:
         """Clusters of rows that verified links along the graph's edges join; the smallest id names each."""
@@ -60,18 +62,34 @@ class Shard:
         mine = self.raw[at]
         return np.einsum("ij,ij->i", mine, other) / (np.linalg.norm(mine, axis=1) * np.linalg.norm(other, axis=1))
 
-    def _audit(self) -> None:
-        """Widen the beams until a sample's links are found."""
-        if not len(self.ids):
-            return
-        at = np.arange(0, len(self.ids), max(1, len(self.ids) // AUDIT))
-        near = [cosines(self.raw[at[i:i + BLOCK]], self.raw) >= self.least for i in range(0, len(at), BLOCK)]
-        true = sum(int((n & (at[i:i + BLOCK, None] != np.arange(len(self.ids)))).sum()) for i, n in zip(range(0, len(at), BLOCK), near))
-        while self.beam < len(self.ids):
-            got = sum(n for n, _ in self.links(self.ids[at], self.raw[at], counted=False))
-            if got >= RECALL * true:
+    def audit(self, own: np.ndarray, raw: np.ndarray) -> None:
+        """Widen the beams until the links of these queries are found."""
+        order, at, want, groups = np.random.default_rng(len(own)).permutation(len(own)), [], [], {}
+        for i in range(0, len(order), AUDIT):
+            part = order[i:i + AUDIT]
+            near = (cosines(raw[part], self.raw) >= self.least) & (own[part][:, None] != self.ids)
+            for q in np.flatnonzero(near.any(axis=1)):
+                rows = groups.setdefault(int(self.cluster[near[q]].min()), [])
+                if len(rows) < GROUP_ROWS:
+                    rows.append(len(at))
+                    at.append(part[q])
+                    want.append(int(near[q].sum()))
+            if len(groups) >= AUDIT:
+                break
+        while at and not self.exact:
+            whole = np.array([n for n, _ in self.links(own[at], raw[at], counted=False)]) >= want
+            if np.mean([whole[rows].mean() for rows in groups.values()]) >= RECALL:
                 break
             self.beam *= 2
+            self.exact = self.beam * SCAN >= len(self.ids)
+
+    def _scan(self, own: np.ndarray, raw: np.ndarray, weight: np.ndarray) -> list[tuple[int, list[int]]]:
+        """``links`` by comparing with the whole shard."""
+        out = []
+        for at in range(0, len(raw), SCAN_ROWS):
+            near = (cosines(raw[at:at + SCAN_ROWS], self.raw) >= self.least) & (own[at:at + SCAN_ROWS][:, None] != self.ids)
+            out += [(int(weight[n].sum()), sorted(self.ids[np.unique(self.cluster[n])].tolist())) for n in near]
+        return out
 
     def links(self, own: np.ndarray, raw: np.ndarray, counted: bool = True) -> list[tuple[int, list[int]]]:
         """For each query (its id in ``own``) how many other vectors it is linked with
@@ -79,6 +97,8 @@ class Shard:
         that meets a cluster is widened to all of it."""
         unit = (raw / np.linalg.norm(raw, axis=1, keepdims=True)).astype(np.float32)
         weight = self.copies if counted else np.ones(len(self.ids), np.int64)
+        if self.exact:
+            return self._scan(own, raw, weight)
         total, joined = np.zeros(len(raw), np.int64), [[] for _ in raw]
         for at in range(0, len(raw), BLOCK):
             ids, sims = self.graph.search(unit[at:at + BLOCK], self.beam)
@@ -130,7 +150,9 @@ def _ask(least: float):
         g = graphs.iloc[0]
         ids = np.frombuffer(g["ids"], np.int64)
         shard = Shard(ids, np.frombuffer(g["copies"], np.int64), np.frombuffer(g["raw"], np.float64).reshape(len(ids), -1), Graph.from_bytes(g["graph"]), least)
-        found = shard.links(queries["id"].to_numpy(np.int64), np.array(queries["raw"].tolist(), np.float64))
+        own, raw = queries["id"].to_numpy(np.int64), np.array(queries["raw"].tolist(), np.float64)
+        shard.audit(own, raw)  # those of other shards too
+        found = shard.links(own, raw)
         rows = [(i, n, near) for i, (n, near) in zip(queries["id"], found) if n]
         return pd.DataFrame(rows, columns=["id", "n", "near"])
     return run
