@@ -88,7 +88,7 @@ def arrow_schema(ddl: str) -> pa.Schema:
     kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "float": pa.float32(),
              "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_(),
              "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
-             "array<float>": pa.list_(pa.float32()), "array<double>": pa.list_(pa.float64())}
+             "array<string>": pa.list_(pa.string()), "array<float>": pa.list_(pa.float32()), "array<double>": pa.list_(pa.float64())}
     return pa.schema([(f.rpartition(" ")[0].strip(), kinds[f.rpartition(" ")[2]]) for f in ddl.split(", ")])
 
 

@@ -15,6 +15,7 @@ from whlens.llm.mixing import op3_mixing
 from whlens.llm.packing import op10_packing
 from whlens.llm.pii import op6_personal_data
 from whlens.llm.quality import op7_quality
+from whlens.llm.repair import OP12_SQL, op12_repair
 from whlens.llm.search import OP13_SQL, op13_search
 from whlens.llm.simhash import op8_simhash
 
@@ -31,9 +32,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash": op8_simhash,
         "op9_embeddings": op9_embeddings,
         "op10_packing": op10_packing,
+        "op12_repair": op12_repair,
         "op13_search": op13_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat": OP5_SQL, "op13_search": OP13_SQL}
+    return {"op5_chat": OP5_SQL, "op12_repair": OP12_SQL, "op13_search": OP13_SQL}
