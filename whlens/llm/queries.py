@@ -17,6 +17,7 @@ from whlens.llm.pii import op6_personal_data
 from whlens.llm.quality import op7_quality
 from whlens.llm.repair import OP12_SQL, op12_repair
 from whlens.llm.search import OP13_SQL, op13_search
+from whlens.llm.toxicity import op11_toxicity
 from whlens.llm.simhash import op8_simhash
 
 
@@ -32,6 +33,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash": op8_simhash,
         "op9_embeddings": op9_embeddings,
         "op10_packing": op10_packing,
+        "op11_toxicity": op11_toxicity,
         "op12_repair": op12_repair,
         "op13_search": op13_search,
     }
