@@ -31,8 +31,8 @@ from whlens.llm.common import drop, slices, table, text_batches
 FIT_DOCS = 10_000
 #: Terms and window words a model holds at most.
 MAX_TERMS, MAX_CONTEXT = 5000, 2000
-#: A term's odds between the classes, and its G-squared against chance (1 in 50,000).
-MIN_ODDS, MIN_G2 = math.log(20), 18.0
+#: A term's odds between the classes (quotations lower them), and its G-squared against chance (1 in 50,000).
+MIN_ODDS, MIN_G2 = math.log(3), 18.0
 MIN_STEM, MAX_STEM, MAX_WORD = 3, 12, 40
 #: Words to either side that tell abuse from quotation.
 WINDOW = 6
