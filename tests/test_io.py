@@ -12,7 +12,7 @@ from conftest import SF001
 from whlens.plans import athena, databricks as dbx, roles
 from whlens.plans.exports import Params, run_exports
 from whlens.plans.registry import EV_END, EV_START
-from whlens.sinks.writers import export_path, write_csv, write_export, write_hourly
+from whlens.sinks.writers import export_path, hourly_ledger, write_csv, write_export, write_hourly
 from whlens.sources.catalog import first_readable, list_tables, live_catalog_columns
 from whlens.sources.files import TableSet
 from whlens.sources.jdbc import hour_slices, slice_predicates
@@ -92,6 +92,64 @@ def test_write_hourly(spark, tmp_out):
     assert back.schema["props"].dataType.simpleString() == "string"
 
 
+def _hours(path):
+    return {os.path.basename(p)[5:] for p in glob.glob(f"{path}/hour=*")}
+
+
+def test_hours_of_other_runs_stay(spark, tmp_out):
+    """Two windows, one rerun with fewer hours, one empty window under one path."""
+    path = os.path.join(tmp_out, "query_history")
+    h = roles.query_history(TableSet(spark, SF001))
+
+    def export(day, rows=None):
+        w = dbx.hourly_history(h if rows is None else rows, day, day)
+        return write_hourly(w, path, "start_time", window=(day, day))
+
+    def expected(*days):
+        cond = F.date_format("start_time", "yyyy-MM-dd").isin(*days)
+        return sorted(r.statement_id for r in h.where(cond).select("statement_id").collect())
+
+    def there():
+        return sorted(r.statement_id for r in spark.read.parquet(path).select("statement_id").collect())
+
+    first = export("2024-01-05")
+    second = export("2024-01-06")
+    assert first and second and there() == expected("2024-01-05", "2024-01-06")
+    assert export("2024-01-05") == first and there() == expected("2024-01-05", "2024-01-06")
+    # the rerun no longer finds rows at three in the morning: only that hour goes
+    gone = F.date_format("start_time", "yyyyMMdd_HH") == "20240105_03"
+    fewer = export("2024-01-05", h.where(~gone))
+    lost = h.where(gone).count()
+    assert lost and fewer == first - lost and "20240105_03" not in _hours(path) and len(_hours(path)) == 47
+    assert len(there()) == first + second - lost
+    # a window without any row changes nothing else
+    assert export("2030-01-01") is None and len(there()) == first + second - lost
+    assert export("2024-01-05", h.where("false")) is None and there() == expected("2024-01-06")
+    ledger = hourly_ledger(spark, path)
+    assert ledger.select("run").distinct().count() == 6 and ledger.count() == 6 * 24
+    last = ledger.groupBy("hour").agg(F.max_by(F.struct("rows", "action"), "started").alias("x")).select("hour", "x.*").collect()
+    assert {r.hour for r in last if r.rows} == _hours(path) and sum(r.rows for r in last) == second
+    assert {r.action for r in last if r.hour.startswith("20240105")} <= {"emptied", "none"}
+
+
+def test_hourly_without_a_window_and_without_times(spark, tmp_out):
+    path = os.path.join(tmp_out, "q")
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 10)), (2, dt.datetime(2024, 1, 1, 10, 59)), (3, None)], "i int, t timestamp_ntz")
+    assert write_hourly(df, path, "t") == 3
+    assert sorted((r.hour or "", r.rows) for r in hourly_ledger(spark, path).collect()) == [("", 1), ("20240101_10", 2)]
+    assert write_hourly(df.where("i = 2"), path, "t") == 1
+    assert sorted(r.i for r in spark.read.parquet(path).collect()) == [2, 3]
+
+
+def test_hourly_export_twice(spark, tmp_out):
+    land, out = os.path.join(tmp_out, "landed"), os.path.join(tmp_out, "out")
+    landed = _land(spark, land, {"query.history": roles.query_history(TableSet(spark, SF001))})
+    for day in ("2024-01-05", "2024-01-06", "2030-01-01"):
+        status = run_exports(spark, "databricks", landed, out, Params(start=day, end=day), ["query_history"], ("query_logs",)).collect()
+        assert [r.status for r in status] == ["empty" if day > "2029" else "written"]
+    assert len(_hours(os.path.join(out, "databricks-logs", "query_history"))) == 48
+
+
 def test_write_csv(spark, tmp_out):
     df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 10, 0, 0)), (2, None)], "i int, t timestamp")
     path = os.path.join(tmp_out, "csv")

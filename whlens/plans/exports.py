@@ -51,6 +51,7 @@ class Params:
     stats_source: str = "scan"               # scan: one-pass profile | analyze: catalog statistics
     rest_pages: str | None = None            # folder of landed REST history pages
     executions_path: str | None = None       # folder of landed execution batches
+    on_unreadable: str = "fail"              # landed JSON that is no page: fail | quarantine
     listing_pos: str | None = None           # Athena listing position column (early stop)
     athena_csv: bool = False                 # also write the CSV form
     # decisions on the source's quirks (README "Decisions and deviations")
@@ -173,7 +174,7 @@ SPECS: list[ExportSpec] = [
                writer="hourly", hourly_ts="start_time", on_empty="skip", kind="query_logs"),
     ExportSpec("databricks", "query_history_output",
                lambda t, p: None if _landed(t, "query.history") else dbx.rest_history(
-                   read_history_pages(_spark(t), p.rest_pages),
+                   read_history_pages(_spark(t), p.rest_pages, on_unreadable=p.on_unreadable),
                    p.start, p.end),
                on_empty="skip", enabled=lambda p: p.rest_pages is not None, kind="query_logs"),
     # --- Snowflake ----------------------------------------------------------------
@@ -227,10 +228,10 @@ SPECS: list[ExportSpec] = [
         t["query_history"], p.start, p.end), on_empty="skip", kind="query_logs"),
     # --- Athena -------------------------------------------------------------------
     ExportSpec("athena", "athena_query_logs", lambda t, p: athena.query_logs(
-        read_executions(_spark(t), p.executions_path) if p.executions_path else t["executions"],
+        read_executions(_spark(t), p.executions_path, on_unreadable=p.on_unreadable) if p.executions_path else t["executions"],
         p.start, p.end, p.listing_pos), on_empty="skip", kind="query_logs"),
     ExportSpec("athena", "athena_query_logs.csv", lambda t, p: athena.query_logs(
-        read_executions(_spark(t), p.executions_path) if p.executions_path else t["executions"],
+        read_executions(_spark(t), p.executions_path, on_unreadable=p.on_unreadable) if p.executions_path else t["executions"],
         p.start, p.end, p.listing_pos), writer="csv", on_empty="skip", enabled=lambda p: p.athena_csv,
         kind="query_logs"),
 ]
@@ -274,7 +275,7 @@ def run_exports(spark: SparkSession, engine: str, tables: Mapping[str, DataFrame
                 status.append((name, path, "not_applicable", None, None))
                 continue
             if spec.writer == "hourly":
-                rows = write_hourly(df, path, spec.hourly_ts)
+                rows = write_hourly(df, path, spec.hourly_ts, window=(params.start, params.end) if params.start and params.end else None)
             elif spec.writer == "csv":
                 rows = write_csv(df, path, spec.on_empty)
             else:

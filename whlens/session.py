@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings every job needs: UTC so that timestamp literals and epoch
@@ -57,6 +59,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for tables between jobs: ``spark.checkpoint.dir``. Only a local session
+    without that setting gets a temporary folder; on a cluster that is an error."""
+    local = spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master
+    if local and not spark.conf.get("spark.checkpoint.dir", None):
+        if not hasattr(shared_dir, "_local"):
+            shared_dir._local = "file://" + tempfile.mkdtemp(prefix="whlens-")
+        return shared_dir._local
+    return ensure_checkpoint_dir(spark).rstrip("/")
+
+
 def sizing_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024,
                 max_shuffle_partitions: int = 100_000) -> dict[str, str]:
     """Session settings sized for ``input_bytes`` of landed data.

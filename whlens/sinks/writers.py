@@ -8,15 +8,18 @@ rows pass through the driver. Row counts come from ``DataFrame.observe``
 from __future__ import annotations
 
 import contextlib
+import datetime as dt
 import logging
 import os
+import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from whlens.functions.normalize import hour_label, iso_text_columns, normalize_for_export, require_utc
 from whlens.operators.nested import nested_to_json
+from whlens.operators.windows import parse_day
 
 log = logging.getLogger(__name__)
 
@@ -48,6 +51,14 @@ def _remove(spark, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def _partitions(spark, path: str, label: str) -> list[str]:
+    """Values of ``label`` that have a folder under ``path``."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+    return [n.removeprefix(f"{label}=") for n in names if n.startswith(f"{label}=")]
+
+
 def write_export(df: DataFrame, path: str, normalize: bool = True, json_nested: bool = False,
                  on_empty: str = "schema", mode: str = "overwrite", fmt: str = "parquet",
                  partition_by: list[str] | None = None) -> int | None:
@@ -59,7 +70,9 @@ def write_export(df: DataFrame, path: str, normalize: bool = True, json_nested:
     * ``json_nested``: struct / array / map columns as JSON text (N3);
     * ``on_empty="skip"`` leaves nothing at ``path`` for an empty result, nor a
       dataset of an earlier run (returns None); ``"schema"`` leaves a
-      schema-only dataset. The write's own row count decides; the plan runs once.
+      schema-only dataset. The write's own row count decides; the plan runs once;
+    * ``partition_by``: folders by these columns; only those of ``df``'s own values are
+      replaced, and ``on_empty`` has no meaning: without rows nothing changes.
     """
     if on_empty not in ON_EMPTY:
         raise ValueError(f"on_empty must be one of {ON_EMPTY}")
@@ -76,13 +89,13 @@ def write_export(df: DataFrame, path: str, normalize: bool = True, json_nested:
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode(mode).format(fmt)
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         writer = writer.option("header", "true")
     with _conf(df.sparkSession, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MILLIS"):
         writer.save(path)
     rows = obs.get.get("rows", 0)
-    if not rows and on_empty == "skip":
+    if not rows and on_empty == "skip" and not partition_by:
         if mode == "overwrite":
             _remove(df.sparkSession, path)
         log.info("no rows for %s: nothing written", path)
@@ -91,10 +104,26 @@ def write_export(df: DataFrame, path: str, normalize: bool = True, json_nested:
     return rows
 
 
+HOURS = "_hours"    # a hidden folder: readers of the export don't see it
+
+
+def hours_of(start, end) -> list[str]:
+    """The hour labels of a window of whole days, both included."""
+    first, last = parse_day(start), parse_day(end)
+    at = dt.datetime(first.year, first.month, first.day)
+    n = ((last - first).days + 1) * 24
+    return [(at + dt.timedelta(hours=i)).strftime("%Y%m%d_%H") for i in range(max(0, n))]
+
+
 def write_hourly(df: DataFrame, path: str, ts: str, label: str = "hour",
-                 max_records_per_file: int = 5_000_000) -> int | None:
-    """K3: one folder per hour (``hour=YYYYMMDD_HH``); hours without rows
-    produce none.
+                 max_records_per_file: int = 5_000_000, window: tuple | None = None) -> int | None:
+    """K3: one folder per hour (``hour=YYYYMMDD_HH``); hours without rows have none.
+
+    A run replaces its own hours only: those of its rows, and of its ``window`` (first and
+    last day) if given, where an hour that has no rows any more loses its folder. Hours of
+    other runs stay. Every run adds the hours it is for to the ledger (``hourly_ledger``).
+    Each hour is replaced as the write's job commits, so a run that fails before has
+    changed nothing, and one that fails after can be run again.
 
     The rows are shuffled once with the ``REBALANCE(hour)`` hint: each hour
     goes to one task (one file per hour, as the source writes), small hours
@@ -102,14 +131,38 @@ def write_hourly(df: DataFrame, path: str, ts: str, label: str = "hour",
     advisory partition size into several tasks / files, so a hot hour does
     not become one giant task. No sampling pass is needed (unlike a range
     partitioning). Timestamps are normalised as in K2 and nested columns
-    written as JSON text."""
+    written as JSON text. Returns the rows written, None without any."""
     spark = df.sparkSession
     df = normalize_for_export(nested_to_json(df))
     if label not in df.columns:
         df = df.withColumn(label, hour_label(F.col(ts)))
     balanced = df.hint("rebalance", label)
+    run, started = uuid.uuid4().hex, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    hours = Observation()
     with _conf(spark, "spark.sql.files.maxRecordsPerFile", str(max_records_per_file)):
-        return write_export(balanced, path, normalize=False, on_empty="skip", partition_by=[label])
+        rows = write_export(balanced.observe(hours, F.collect_set(label).alias("hours")), path, normalize=False, partition_by=[label])
+    # Rows of each hour as its files have them: footers only.
+    seen = {h: 0 for h in hours.get.get("hours") or []}
+    if seen:
+        written = spark.read.option("basePath", path).parquet(*[f"{path}/{label}={h}" for h in seen])
+        seen = {r[label]: r["count"] for r in written.groupBy(label).count().collect()}
+    mine = set(hours_of(*window)) if window else set()
+    emptied = sorted(h for h in _partitions(spark, path, label) if h in mine and h not in seen)
+    for hour in emptied:
+        _remove(spark, f"{path}/{label}={hour}")
+    ledger = [(run, started, h, seen.get(h, 0), "written" if h in seen else "emptied" if h in emptied else "none") for h in sorted(mine | set(seen))]
+    if rows > sum(seen.values()):    # rows without a time
+        ledger.append((run, started, None, rows - sum(seen.values()), "written"))
+    if ledger:
+        (spark.createDataFrame(ledger, "run string, started timestamp_ntz, hour string, rows long, action string").coalesce(1)
+         .write.mode("append").parquet(f"{path}/{HOURS}"))
+    return rows or None
+
+
+def hourly_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """(run, started, hour, rows, action) of every run that wrote to ``path``: written, emptied
+    (the hour's folder went) or none (there was none). An hour's last run tells its rows."""
+    return spark.read.parquet(f"{path}/{HOURS}")
 
 
 def write_csv(df: DataFrame, path: str, on_empty: str = "skip") -> int | None:

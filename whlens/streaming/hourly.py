@@ -85,10 +85,12 @@ def start_file_export(spark: SparkSession, source: DataFrame, source_dir: str, o
 def run_rest_history_export(spark: SparkSession, pages_dir: str, out_dir: str,
                             name: str = "query_history_output") -> None:
     """The REST history export (pages -> records -> status, generated statements
-    dropped, 29 columns) over pages landed since the last run."""
+    dropped, 29 columns) over pages landed since the last run, one on each line. A line
+    that is no page fails the run before its files count as done; the batch export reads
+    pages of any layout and lists what it can't read."""
     from whlens.plans.databricks import rest_history
     from whlens.sources.json_pages import HISTORY_PAGE, explode_records
-    pages = spark.readStream.schema(HISTORY_PAGE).json(pages_dir)
+    pages = spark.readStream.schema(HISTORY_PAGE).option("mode", "FAILFAST").json(pages_dir)
     rows = normalize_for_export(rest_history(explode_records(pages, "res")))
     start_file_export(spark, rows, pages_dir, out_dir, name).awaitTermination()
 
@@ -96,10 +98,10 @@ def run_rest_history_export(spark: SparkSession, pages_dir: str, out_dir: str,
 def run_execution_export(spark: SparkSession, batches_dir: str, schema: T.StructType, out_dir: str,
                          name: str = "athena_query_logs") -> None:
     """The execution-log export (records with a submission time, flattened, ISO
-    text times) over batches landed since the last run. A streaming source needs the batch schema up front. The listing-order
+    text times) over batches landed since the last run, one on each line (others fail the run). A streaming source needs the batch schema up front. The listing-order
     early stop (F15) needs the whole listing and stays a batch rule."""
     from whlens.plans.athena import query_logs
     from whlens.sources.json_pages import explode_records
-    batches = spark.readStream.schema(schema).json(batches_dir)
+    batches = spark.readStream.schema(schema).option("mode", "FAILFAST").json(batches_dir)
     start_file_export(spark, query_logs(explode_records(batches, "QueryExecutions")),
                       batches_dir, out_dir, name).awaitTermination()
