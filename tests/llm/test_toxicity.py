@@ -126,7 +126,7 @@ def test_edge_rows(spark, planted):
 
 def test_without_classes_or_terms(spark):
     docs = edge_docs(spark)
-    for labels, prior in (([], 0.0), ([(1, 1), (2, 1)], 1.0), ([(1, 0), (None, 1), (2, None)], 0.0), ([(1, 1), (2, 0), (1, 0)], 2 / 3)):
+    for labels, prior in (([], 0.0), ([(1, 1), (2, 1)], 1.0), ([(1, 0), (None, 1), (2, None)], 0.0), ([(1, 1), (2, 0), (1, 0)], 1 / 2)):
         model = T.train(docs, spark.createDataFrame(labels, LABELS))
         out = T.assess(docs, model).collect()
         assert len(out) == docs.count() and {round(r.score, 9) for r in out} == {round(prior, 9)}

@@ -12,8 +12,10 @@ words and the final logistic model are learned from the labelled documents.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
+import zlib
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
@@ -31,7 +33,8 @@ from whlens.llm.common import drop, slices, table, text_batches
 FIT_DOCS = 10_000
 #: Terms and window words a model holds at most.
 MAX_TERMS, MAX_CONTEXT = 5000, 2000
-#: A term's odds between the classes (quotations lower them), and its G-squared against chance (1 in 50,000).
+#: A term's odds between the classes (quotations lower them), and its G-squared against chance
+#: (more, the more words and beginnings are tried).
 MIN_ODDS, MIN_G2 = math.log(3), 18.0
 MIN_STEM, MAX_STEM, MAX_WORD = 3, 12, 40
 #: Words to either side that tell abuse from quotation.
@@ -44,6 +47,7 @@ WORD = re.compile(r"[^\W_](?:[\w@$!*'’]*[^\W_])?")
 #: Characters written for letters in disguised words.
 DISGUISE = str.maketrans("013457@$!", "oieastasi")
 RUN = re.compile(r"(.)\1{2,}")
+ODD = re.compile(r"[013457@$!]|(.)\1\1")
 QUOTES = {'"': '"', "“": "”", "«": "»", "„": "“", "‘": "’", "`": "`"}
 #: Words that report what others say, in the languages of the corpus.
 REPORTING = frozenset("said says saying called calling quote quoted quotes wrote writes word words term so-called"
@@ -86,8 +90,9 @@ class Automaton:
     def _clear(self) -> None:
         self.number: dict[frozenset, int] = {}
         self.states: list[frozenset] = []
-        self.found: list[tuple[dict[int, int], dict[int, int]]] = []  # stems, words
-        self.go: dict[tuple[int, str], int] = {}
+        self.found: list[tuple[dict[int, int] | None, dict[int, int] | None]] = []  # stems, words
+        self.go: list[dict[str, int]] = []  # a state's transitions, as far as known
+        self.moves = 0
         self.words: dict[str, tuple] = {}
         self._state({})
         self.start = self._state(self._closed({0: 0}))
@@ -99,7 +104,8 @@ class Automaton:
             if e > self.most[node] or out.get(node, e + 1) <= e:
                 continue
             out[node] = e
-            waiting += [(c, e + 1) for c in self.child[node].values()]
+            if e < self.most[node]:
+                waiting += [(c, e + 1) for c in self.child[node].values()]
         return out
 
     def _state(self, items: dict[int, int]) -> int:
@@ -107,54 +113,63 @@ class Automaton:
         if key not in self.number:
             self.number[key] = len(self.states)
             self.states.append(key)
-            found: tuple[dict[int, int], dict[int, int]] = ({}, {})
+            self.go.append({})
+            stems: dict[int, int] = {}
+            words: dict[int, int] = {}
             for node, e in key:
                 for t in self.ends[node]:
                     text, stem = self.terms[t]
                     if e <= allowed(text, stem):
-                        kind = found[0 if stem else 1]
+                        kind = stems if stem else words
                         kind[t] = min(e, kind.get(t, e))
-            self.found.append(found)
+            self.found.append((stems or None, words or None))
         return self.number[key]
 
     def _next(self, state: int, letter: str) -> int:
         items: dict[int, int] = {}
         for node, e in self.states[state]:
-            for c, to in self.child[node].items():
-                cost = e + (c != letter)
-                items[to] = min(cost, items.get(to, cost))
-            items[node] = min(e + 1, items.get(node, e + 1))
-        self.go[state, letter] = to = self._state(self._closed(items))
+            child = self.child[node]
+            if e < self.most[node]:
+                for to in child.values():
+                    items[to] = min(e + 1, items.get(to, e + 1))
+                items[node] = min(e + 1, items.get(node, e + 1))
+            if letter in child:
+                to = child[letter]
+                items[to] = min(e, items.get(to, e))
+        self.go[state][letter] = to = self._state(self._closed(items))
+        self.moves += 1
         return to
 
     def _run(self, word: str) -> dict[int, int]:
-        state, out = self.start, {}
+        state, out, go, found = self.start, {}, self.go, self.found
         for letter in word:
-            to = self.go.get((state, letter))
+            to = go[state].get(letter)
             state = self._next(state, letter) if to is None else to
-            for t, e in self.found[state][0].items():
-                out[t] = min(e, out.get(t, e))
             if not state:
                 return out
-        for t, e in self.found[state][1].items():
+            if found[state][0]:
+                for t, e in found[state][0].items():
+                    out[t] = min(e, out.get(t, e))
+        for t, e in (found[state][1] or {}).items():
             out[t] = min(e, out.get(t, e))
         return out
 
     def match(self, word: str) -> tuple[tuple[int, int], ...]:
         """(term, edits) of the terms nearest to ``word``. Letters written as other
         characters or three times and more are one edit."""
-        if word not in self.words:
-            if len(self.words) >= MEMO or len(self.go) >= MEMO:
-                self._clear()
-            plain = word.lower()
-            found = self._run(plain)
-            bare = RUN.sub(r"\1", plain if plain.isdigit() else plain.translate(DISGUISE))
-            if bare != plain:
-                for t, e in self._run(bare).items():
-                    found[t] = min(e + 1, found.get(t, e + 1))
-            least = min(found.values(), default=0)
-            self.words[word] = tuple(sorted((t, e) for t, e in found.items() if e == least))
-        return self.words[word]
+        known = self.words.get(word)
+        if known is not None:
+            return known
+        if len(self.words) >= MEMO or self.moves >= MEMO:
+            self._clear()
+        plain = word.lower()
+        found = self._run(plain)
+        if ODD.search(plain) and not plain.isdigit():
+            for t, e in self._run(RUN.sub(r"\1", plain.translate(DISGUISE))).items():
+                found[t] = min(e + 1, found.get(t, e + 1))
+        least = min(found.values()) if found else 0
+        self.words[word] = known = tuple(sorted((t, e) for t, e in found.items() if e == least)) if found else ()
+        return known
 
 
 @dataclass
@@ -179,7 +194,14 @@ def _quotations(text: str) -> tuple[list[int], list[int]]:
 
 def places(text: str, automaton: Automaton) -> list[tuple[int, int, tuple, list[str], list[str]]]:
     """(start, end, matches, cues, window) for each word of ``text`` near a term."""
-    hit = {w: m for w in set(WORD.findall(text)) if (m := automaton.match(w))}
+    known, hit = automaton.words.get, {}
+    for w in set(WORD.findall(text)):
+        found = known(w)
+        if found is None:
+            found = automaton.match(w)
+            known = automaton.words.get
+        if found:
+            hit[w] = found
     if not hit:
         return []
     words = list(WORD.finditer(text))
@@ -293,6 +315,18 @@ def _features(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column(1).cast(pa.int32())], names=["x", "toxic"])
 
 
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """With a signature that near copies mostly share: the two least hashes of runs of five
+    words. Copies would make terms of the words that only they have."""
+    for batch in slices(batches):
+        signatures = []
+        for text in batch.column(0).to_pylist():
+            words = text.split()
+            least = heapq.nsmallest(2, {zlib.crc32(" ".join(words[i:i + 5]).encode()) for i in range(max(1, len(words) - 4))})
+            signatures.append(least[0] << 31 ^ least[-1])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.int32()), pa.array(signatures, pa.int64())], names=["text", "toxic", "signature"])
+
+
 def _sums(df: DataFrame) -> DataFrame:
     return df.groupBy("key").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
@@ -300,11 +334,12 @@ def _sums(df: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Model:
     """Learn from the texts of ``docs`` (doc_id long, text) whose ids ``labels`` (doc_id,
     toxic 0/1) marks; null labels and ids count for nothing. Of each class the documents of
-    at most ``fit_docs`` ids are read, whole. Without both classes, or without a term that
-    tells them apart, the model knows the share of toxic ids alone (0 without any)."""
+    at most ``fit_docs`` ids are read, whole; of near copies one counts. Without both classes, or without a term that
+    tells them apart, the model knows the share of toxic ids alone (0 without any; near copies once)."""
     spark = docs.sparkSession
     text_batches(spark)
-    rows = table(_sample(docs, labels, fit_docs).repartition(spark.sparkContext.defaultParallelism), "labelled")
+    rows = _sample(docs, labels, fit_docs).mapInArrow(_signed, "text string, toxic int, signature long")
+    rows = table(rows.dropDuplicates(["signature", "toxic"]).drop("signature").repartition(spark.sparkContext.defaultParallelism), "labelled")
     n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n_pos, n_neg = n.get(1, 0), n.get(0, 0)
     model = Model(prior=n_pos / (n_pos + n_neg) if n else 0.0)
@@ -320,8 +355,11 @@ def _fit(rows: DataFrame, n_pos: int, n_neg: int, model: Model) -> None:
     share = n_pos / (n_pos + n_neg)
     g2 = 2 * (xlogx(pos, all_ * share) + xlogx(neg, all_ * (1 - share)))
     odds = F.log((pos + 0.5) / (n_pos + 1)) - F.log((neg + 0.5) / (n_neg + 1))
-    found = (_sums(rows.mapInArrow(_stems, COUNTS)).where((odds >= MIN_ODDS) & (g2 >= MIN_G2))
+    stems = table(_sums(rows.mapInArrow(_stems, COUNTS)), "stems")
+    least = max(MIN_G2, 2 * math.log(max(1, stems.count())) - 4)    # less than one by chance is expected
+    found = (stems.where((odds >= MIN_ODDS) & (g2 >= least))
              .orderBy(g2.desc(), F.length("key").desc(), "key").limit(20 * MAX_TERMS).collect())
+    drop(stems)
     terms = choose({r["key"]: (r["pos"], r["neg"]) for r in found}, n_pos, n_neg)
     strength = {r["key"]: r["pos"] for r in found}
     model.terms = terms = sorted(sorted(terms, key=lambda t: (-strength[t[0] + " " * (not t[1])], t))[:MAX_TERMS])
