@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from whlens.operators.batches import BATCH, in_batches
+from whlens.operators.nested import tag
+
 log = logging.getLogger(__name__)
 
 # Spark types that stand for SQL Server's int, bigint, smallint, decimal,
@@ -62,14 +64,17 @@ def column_min_max(df: DataFrame, table_name: str, value_type: str | None = None
 
 
 def column_min_max_all(tables: Mapping[str, DataFrame] | Sequence[tuple[str, DataFrame]],
-                       value_type: str | None = None) -> DataFrame:
+                       value_type: str | None = None, batch: int = BATCH) -> DataFrame:
     """``column_min_max`` of several tables (names may repeat in different
-    schemas), ``UNION ALL``-ed by name, in the common type of all columns."""
+    schemas), ``UNION ALL``-ed by name, in the common type of all columns; the scans of
+    more than ``batch`` tables run ``batch`` at a time."""
     named = list(tables.items()) if isinstance(tables, Mapping) else list(tables)
+    if not named:
+        raise ValueError("no tables")
     fields = [f for _, df in named for f in df.schema.fields if isinstance(f.dataType, MIN_MAX_TYPES)]
-    value_type = value_type or _common_type(fields)
-    parts = [column_min_max(df, name, value_type) for name, df in named]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    value_type = value_type or (_common_type(fields) if fields else "double")
+    frames = ((lambda n=name, d=df: column_min_max(d, n, value_type)) for name, df in named)
+    return in_batches(named[0][1].sparkSession, frames, f"TableName string, ColumnName string, MinValue {value_type}, MaxValue {value_type}", batch)
 
 
 STATS_SCHEMA = ("column_name string, data_size double, distinct_values_count double, "
@@ -160,18 +165,51 @@ def column_stats(df: DataFrame, schema_name: str | None = None, table_name: str
     return out.withColumns(tags) if tags else out
 
 
-def schema_stats(tables: Mapping[str, DataFrame], schema_name: str, exact: bool = False) -> DataFrame:
+_TAGS = ", schema_name string, table_name string"
+
+
+def schema_stats(tables: Mapping[str, DataFrame], schema_name: str, exact: bool = False, batch: int = BATCH) -> DataFrame | None:
     """Export ``stats_{schema}``: ``column_stats`` of every table of a schema,
-    tagged and unioned by name (U2). One scan per table."""
-    parts = [column_stats(df, schema_name, name, exact) for name, df in tables.items()]
-    if not parts:
+    tagged and unioned by name (U2). One scan per table, ``batch`` tables at a time."""
+    if not tables:
         return None
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    frames = ((lambda n=name: column_stats(tables[n], schema_name, n, exact)) for name in tables)
+    return in_batches(next(iter(tables.values())).sparkSession, frames, STATS_SCHEMA + _TAGS, batch)
+
+
+def _option(value):
+    """What a Scala option holds, or None."""
+    return value.get() if value.isDefined() else None
+
+
+def catalog_statistics(spark: SparkSession, fqn: str) -> tuple[float | None, dict[str, dict[str, float | None]]]:
+    """Row count, and by column the statistics that the catalog has of a table, from one
+    look-up of its entry (``avg_len``, ``distinct``, ``nulls``, ``min``, ``max``)."""
+    state = spark._jsparkSession.sessionState()
+    found = _option(state.catalog().getTableMetadata(state.sqlParser().parseTableIdentifier(fqn)).stats())
+    if found is None:
+        return None, {}
+
+    def number(option) -> float | None:
+        value = _option(option)
+        try:
+            return None if value is None else float(str(value.toString() if hasattr(value, "toString") else value))
+        except ValueError:
+            return None
+    columns = {}
+    entries = found.colStats().iterator()
+    while entries.hasNext():
+        entry = entries.next()
+        c = entry._2()
+        columns[entry._1()] = {"avg_len": number(c.avgLen()), "distinct": number(c.distinctCount()), "nulls": number(c.nullCount()),
+                               "min": number(c.min()), "max": number(c.max())}
+    return number(found.rowCount()), columns
 
 
 def analyze_table(spark: SparkSession, fqn: str) -> DataFrame:
     """``ANALYZE TABLE ... FOR ALL COLUMNS`` on a catalog table, then read
-    the collected statistics back in the ``SHOW STATS`` layout.
+    the collected statistics back in the ``SHOW STATS`` layout: one statement and one
+    look-up, however many columns there are.
 
     A failed ANALYZE is logged and the stats that exist are still read. The
     result has one row per column (catalog metadata, not data)."""
@@ -179,30 +217,27 @@ def analyze_table(spark: SparkSession, fqn: str) -> DataFrame:
         spark.sql(f"ANALYZE TABLE {fqn} COMPUTE STATISTICS FOR ALL COLUMNS")
     except Exception as exc:  # noqa: BLE001 - source behaviour: log and go on
         log.error("ANALYZE %s failed: %s", fqn, exc)
-    table = spark.table(fqn)
+    n_rows, columns = catalog_statistics(spark, fqn)
     rows = []
-    n_rows = None
-    for line in spark.sql(f"DESCRIBE TABLE EXTENDED {fqn}").collect():
-        if line[0] == "Statistics" and line[1] and "rows" in line[1]:
-            n_rows = float(line[1].split(",")[1].strip().split(" ")[0])
-    for f in table.schema.fields:
-        info = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {fqn} {_q(f.name)}").collect()}
-
-        def num(key):
-            v = info.get(key)
-            try:
-                return float(v) if v not in (None, "NULL") else None
-            except ValueError:
-                return None
+    for f in spark.table(fqn).schema.fields:
+        c = columns.get(f.name, {})
         is_text = isinstance(f.dataType, (T.StringType, T.BinaryType))
         is_num = isinstance(f.dataType, NUMERIC_TYPES)
-        nulls = num("num_nulls")
+        nulls = c.get("nulls")
         rows.append((f.name,
-                     (num("avg_col_len") or 0.0) * ((n_rows or 0.0) - (nulls or 0.0)) if is_text else None,
-                     num("distinct_count"),
+                     (c.get("avg_len") or 0.0) * ((n_rows or 0.0) - (nulls or 0.0)) if is_text else None,
+                     c.get("distinct"),
                      (nulls / n_rows) if (nulls is not None and n_rows) else None,
                      None,
-                     num("min") if is_num else None,
-                     num("max") if is_num else None))
+                     c.get("min") if is_num else None,
+                     c.get("max") if is_num else None))
     rows.append((None, None, None, None, n_rows, None, None))
     return spark.createDataFrame(rows, STATS_SCHEMA)
+
+
+def analyze_schema(spark: SparkSession, schema_name: str, tables: Sequence[str], batch: int = BATCH) -> DataFrame | None:
+    """``analyze_table`` of all ``tables`` of a schema, tagged (P8), ``batch`` at a time."""
+    if not tables:
+        return None
+    frames = ((lambda n=name: tag(analyze_table(spark, f"{_q(schema_name)}.{_q(n)}"), schema_name=schema_name, table_name=n)) for name in tables)
+    return in_batches(spark, frames, STATS_SCHEMA + _TAGS, batch)

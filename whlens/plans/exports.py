@@ -25,8 +25,9 @@ from whlens.operators import catalog as cat
 from whlens.operators import text as txt
 from whlens.plans import athena, databricks as dbx, mssql, redshift, snowflake, starburst
 from whlens.sinks.writers import export_path, write_csv, write_export, write_hourly
-from whlens.operators.nested import concat_frames, tag
-from whlens.operators.stats import analyze_table
+from whlens.operators.nested import tag
+from whlens.operators.sizes import database_size, table_sizes
+from whlens.operators.stats import analyze_schema
 from whlens.sources.catalog import list_tables
 from whlens.sources.json_pages import read_executions, read_history_pages
 
@@ -42,6 +43,7 @@ class Params:
     open_end: str | None = None              # default current_timestamp()
     export_metadata: bool = False            # Databricks information_schema exports
     column_stats: bool = False               # Trino / Starburst stats export
+    table_sizes: bool = False                # Trino / Starburst table and database sizes
     catalog: str | None = None
     schema: str | None = None
     stats_tables: Mapping[str, DataFrame] | None = None   # tables of ``schema``
@@ -125,9 +127,7 @@ def _schema_stats(tables: Mapping[str, DataFrame], p: Params) -> DataFrame | Non
     spark = _spark(tables)
     names = list(p.stats_tables) if p.stats_tables else list_tables(spark, p.schema)
     if p.stats_source == "analyze":
-        parts = [tag(analyze_table(spark, f"{p.schema}.{n}"), schema_name=p.schema, table_name=n)
-                 for n in names]
-        return concat_frames(parts) if parts else None
+        return analyze_schema(spark, p.schema, names)
     frames = p.stats_tables or {n: spark.table(f"{p.schema}.{n}") for n in names}
     return starburst.stats(frames, p.schema)
 
@@ -143,16 +143,24 @@ def _user_table_min_max(t: Mapping[str, DataFrame], p: Params) -> DataFrame:
     if p.minmax_tables:
         return mssql.column_min_max(p.minmax_tables)
     listed = cat.numeric_columns(t["sys.tables"], t["sys.schemas"], t["sys.columns"], t["sys.types"])
-    columns: dict[tuple[str, str], list[str]] = {}
-    for r in listed.orderBy("schema_name", "table_name", "column_name").collect():   # catalog metadata
-        columns.setdefault((r["schema_name"], r["table_name"]), []).append(r["column_name"])
-    if not columns:
+    of_table = (listed.groupBy("schema_name", "table_name").agg(F.array_sort(F.collect_set("column_name")).alias("columns"))
+                .orderBy("schema_name", "table_name"))
+    frames = [(r["table_name"], t[f"{r['schema_name']}.{r['table_name']}"].select(*[F.col(f"`{c}`") for c in r["columns"]]))
+              for r in of_table.toLocalIterator()]      # a scan per table; they run in batches
+    if not frames:
         raise ValueError("the catalog lists no numeric column")
-    frames = [(table, t[f"{schema}.{table}"].select(*[F.col(f"`{c}`") for c in names]))
-              for (schema, table), names in columns.items()]
     return mssql.column_min_max(frames)
 
 
+def _sizes(tables: Mapping[str, DataFrame], p: Params) -> DataFrame:
+    """Files, bytes and rows of the schema's tables, and of all of them together (table_name null)."""
+    spark = _spark(tables)
+    frames = p.stats_tables or {n: spark.table(f"{p.schema}.{n}") for n in list_tables(spark, p.schema)}
+    each = table_sizes(spark, frames)
+    whole = database_size(each).select(F.lit(None).cast("string").alias("table_name"), "files", "bytes", "row_count")
+    return tag(each.unionByName(whole), schema_name=p.schema)
+
+
 SPECS: list[ExportSpec] = [
     # --- Databricks -------------------------------------------------------------
     ExportSpec("databricks", "tables", lambda t, p: _tables_as_text(t["information_schema.tables"]),
@@ -219,11 +227,13 @@ SPECS: list[ExportSpec] = [
     ExportSpec("trino", "schema_info_{catalog}", lambda t, p: starburst.schema_info(
         t["information_schema.columns"], p.catalog)),
     ExportSpec("trino", "stats_{schema}", _schema_stats, enabled=lambda p: p.column_stats),
+    ExportSpec("trino", "sizes_{schema}", _sizes, enabled=lambda p: p.table_sizes),
     ExportSpec("trino", "query_history_trino", _trino_history, on_empty="skip", kind="query_logs"),
     # --- Starburst ----------------------------------------------------------------
     ExportSpec("starburst", "schema_info_{catalog}", lambda t, p: starburst.schema_info(
         t["information_schema.columns"], p.catalog)),
     ExportSpec("starburst", "stats_{schema}", _schema_stats, enabled=lambda p: p.column_stats),
+    ExportSpec("starburst", "sizes_{schema}", _sizes, enabled=lambda p: p.table_sizes),
     ExportSpec("starburst", "query_history_starburst", lambda t, p: starburst.query_history(
         t["query_history"], p.start, p.end), on_empty="skip", kind="query_logs"),
     # --- Athena -------------------------------------------------------------------

@@ -38,11 +38,11 @@ ROLE_SQL: dict[str, str] = {
                price
         from (select o_orderpriority as sku_name, cast(date_trunc('quarter', o_orderdate) as timestamp) as price_start_time,
                      round(avg(o_totalprice) / 1000, 4) as price
-              from orders where o_orderpriority <> '5-LOW' and o_orderdate >= cast('1996-01-01' as date)
+              from orders where o_orderpriority <> '5-LOW'
               group by 1, 2) p
         union all
         select '9-UNUSED', 'DBU', 'USD', cast('1996-01-01 00:00:00' as timestamp), null, 1.0""",
-    "warehouse_changes": "select user_id as warehouse_id, ts as change_time from events where event_type = 'purchase'",
+    "warehouse_changes": "select user_id as warehouse_id, ts as change_time from events",
     "warehouse_events": "select user_id as warehouse_id, ts as event_time, event_id, event_type, value from events",
     "query_history": """
         select event_id as statement_id, ts as start_time, user_id, event_type as statement_type, value, props
@@ -58,8 +58,9 @@ ROLE_SQL: dict[str, str] = {
     "stl_query": """
         select conv_id % 5 as userid, conv_id * 2 as xid, conv_id % 11 as pid, conv_id as query,
                min(length(text)) as aborted, min(turn) as concurrency_scaling_status,
-               min(e.ts) as starttime, max(e.ts) as endtime
-        from conversations join events e on e.event_id = conv_id * 50 group by 1, 2, 3, 4""",
+               timestamp '2024-01-01 00:00:00' + to_days(cast(conv_id % 30 as integer)) + to_seconds(min(length(text))) as starttime,
+               timestamp '2024-01-01 00:00:00' + to_days(cast(conv_id % 30 as integer)) + to_seconds(min(length(text))) + to_minutes(max(turn)) as endtime
+        from conversations group by conv_id""",
     "stl_querytext": """
         select conv_id % 5 as userid, conv_id * 2 as xid, conv_id % 11 as pid, conv_id as query,
                turn as sequence, text from conversations""",
@@ -276,7 +277,7 @@ def _statements(piece: str) -> str:
                min(trim(label)) as label, array_to_string(list({piece} order by sequence), '') as sqltext
         from (select *, regexp_replace(text, ' +$', '') as trimmed from ddl_chunks)
         where starttime between timestamp '{R.DDL_START} 00:00:00' and timestamp '{R.DDL_END} 00:00:00'
-        group by all""".replace("group by all", "group by xid, pid"), "ddl_chunks")
+        group by xid, pid""", "ddl_chunks")
 
 
 # Catalog of types. Built-in display names are fixed values, by oid.
@@ -532,6 +533,35 @@ def _oracle_sql() -> dict[str, str]:
                {_iso('ts', ' ', 'NaT')} as create_time, {_iso('ts', ' ', 'NaT')} as execution_start_time,
                {_iso('ts', ' ', 'NaT')} as end_time, value
         from events where strftime(ts, '%Y-%m-%d') between '{R.EV_START}' and '{R.EV_END}'"""
+    q["landed_history"] = q["rest_history"]
+    q["landed_ledger"] = """
+        select case when page % 5 >= 3 then 'document' else 'lines' end as form, case page % 5 when 4 then 'unreadable' else 'read' end as status,
+               cast(count(*) filter (page % 5 <> 4) as bigint) as pages,
+               cast(coalesce(sum(n) filter (page % 5 <> 4), 0) as bigint) as records, count(*) filter (page % 5 = 4) as unreadable
+        from (select event_id // 100 as page, count(*) as n from events group by 1) p group by 1, 2"""
+    q["hourly_reexport"] = with_roles(f"""
+        select strftime(start_time, '%Y%m%d_%H') as hour, count(*) filter (kept) as n, count(*) filter (kept) as ledger_n,
+               cast(case when cast(min(start_time) as date) = date '{R.EV_START}' then 2 else 1 end as bigint) as runs
+        from (select start_time, cast(start_time as date) = date '{R.EV_END}' or coalesce(statement_type, '') <> 'error' as kept from query_history
+              where cast(start_time as date) in (date '{R.EV_START}', date '{R.EV_END}')) h
+        group by 1 having count(*) filter (kept) > 0""", "query_history")
+    q["export_parquet"] = f"""
+        select e.event_id, r.ts, e.value, to_json({{'event_type': e.event_type, 'user_id': e.user_id}})::varchar as detail
+        from events e join ({q['round_ms']}) r on r.event_id = e.event_id"""
+    late = "case when event_id % 3 > 0 then ts end"
+    q["export_csv"] = f"""
+        select cast(event_id as varchar) as event_id, {_iso('ts')} as ts, {_iso(f'({late})')} as ended, event_type from events"""
+    counted = [f"select '{n}' as table_name, count(*) as row_count from {n}" for n in R.PROFILE_TABLES]
+    q["table_sizes"] = f"""
+        with sizes as ({' union all '.join(counted)})
+        select *, true as has_files, true as has_bytes from
+          (select * from sizes union all select null, cast(sum(row_count) as bigint) from sizes) s"""
+    q["concat_conflicts"] = """
+        select cast(c_custkey as varchar) as id, cast(c_nationkey as double) as amount, to_json({'name': c_name, 'kind': c_mktsegment})::varchar as detail,
+               cast(c_custkey as varchar) as info_a, c_acctbal as info_v, c_name as info_w,
+               concat(c_custkey, '|', c_nationkey) as xs, timestamp '2024-01-05 00:00:00' as at from customer
+        union all
+        select s_name, s_acctbal, s_name, s_name, cast(s_suppkey as double), null, s_name, timestamp '2024-01-05 01:02:03' from supplier"""
     q["concat_missing"] = """
         select c_name, c_acctbal, c_mktsegment from customer
         union all by name select s_name, s_acctbal from supplier"""

@@ -7,6 +7,7 @@ deterministic and comparable with the DuckDB texts in ``oracle.py``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,16 +20,21 @@ from whlens.operators import nested as nst
 from whlens.operators import stats as st
 from whlens.operators import text as txt
 from whlens.operators.filters import exclude_text, live_rows, visible_objects
+from whlens.operators.sizes import database_size, table_sizes
 from whlens.operators.temporal import version_intervals
 from whlens.operators.windows import between_dates, in_window, range_or_skip, take_until
 from whlens.plans import athena, databricks as dbx, mssql, redshift, roles, snowflake, starburst
+from whlens.session import shared_dir
+from whlens.sinks.writers import hourly_ledger, write_csv, write_export, write_hourly
 from whlens.sources.catalog import catalog_columns
 from whlens.sources.files import TableSet, scan, scan_capped
+from whlens.sources.json_pages import ingest, read_history_pages
 
 # Fixed check parameters.
 USAGE_START, USAGE_END, TODAY = "1996-01-01", "1999-12-31", "2029-12-31"
 EV_START, EV_END = "2024-01-05", "2024-01-10"
 OPEN_END = "2030-01-01 00:00:00"
+EMPTY_DAY = "2031-01-01"
 STATS_START, STATS_END = "1996-01-01", "1996-12-31"
 TEXT_START, TEXT_END = "2024-01-05", "2024-01-25"
 DDL_START, DDL_END = "2024-01-03", "2024-01-20"
@@ -210,6 +216,66 @@ def q_rest_history(spark, d):
     return dbx.rest_history(roles.rest_records(_t(spark, d)), EV_START, EV_END)
 
 
+@query("landed_history")
+def q_landed_history(spark, d):
+    """``rest_history`` from landed JSON: pages on a line, and pages printed over many."""
+    path = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}"
+    roles.land_history_pages(_t(spark, d), path)
+    return dbx.rest_history(read_history_pages(spark, path), EV_START, EV_END)
+
+
+@query("landed_ledger")
+def q_landed_ledger(spark, d):
+    """What the ledger says of a landing in which every fifth page is cut off."""
+    path = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}"
+    roles.land_history_pages(_t(spark, d), path, cut=True)
+    ledger = ingest(spark, path, "res", on_unreadable="quarantine").ledger
+    return (ledger.where("form <> 'empty'").groupBy("form", "status")
+            .agg(*[F.sum(c).cast("long").alias(c) for c in ("pages", "records", "unreadable")]))
+
+
+@query("hourly_reexport")
+def q_hourly_reexport(spark, d):
+    """Hours on disk, and as the ledger has them, after two windows, the first of them again
+    without its error events, and an empty one."""
+    h = roles.query_history(_t(spark, d))
+    path = f"{shared_dir(spark)}/query_history-{uuid.uuid4().hex}"
+    for day, rows in ((EV_START, h), (EV_END, h), (EV_START, h.where("statement_type <> 'error'")), (EMPTY_DAY, h)):
+        write_hourly(dbx.hourly_history(rows, day, day), path, "start_time", window=(day, day))
+    files = spark.read.parquet(path).groupBy("hour").agg(F.count(F.lit(1)).alias("n"))
+    ledger = (hourly_ledger(spark, path).groupBy("hour").agg(F.max_by("rows", "started").alias("ledger_n"), F.count(F.lit(1)).alias("runs"))
+              .where("ledger_n > 0"))
+    return files.join(ledger, "hour", "full")
+
+
+@query("export_parquet")
+def q_export_parquet(spark, d):
+    """The events written as an export (times in milliseconds, nested columns as JSON) and read back."""
+    path = f"{shared_dir(spark)}/export-{uuid.uuid4().hex}"
+    write_export(_t(spark, d)["events"].select("event_id", "ts", "value", F.struct("event_type", "user_id").alias("detail")), path, json_nested=True)
+    return spark.read.parquet(path)
+
+
+@query("export_csv")
+def q_export_csv(spark, d):
+    """The events written as CSV (ISO times, null as empty) and read back as text."""
+    path = f"{shared_dir(spark)}/export-{uuid.uuid4().hex}"
+    e = _t(spark, d)["events"]
+    late = F.when(F.col("event_id") % 3 > 0, F.col("ts"))
+    write_csv(e.select(F.col("event_id").cast("string").alias("event_id"), "ts", late.alias("ended"), "event_type"), path)
+    back = spark.read.option("header", "true").csv(path)
+    return back.select("event_id", "ts", F.coalesce("ended", F.lit("")).alias("ended"), "event_type")
+
+
+@query("table_sizes")
+def q_table_sizes(spark, d):
+    """Rows of each table by its files' footers; the database in the row without a name."""
+    t = _t(spark, d)
+    each = table_sizes(spark, {n: t[n] for n in PROFILE_TABLES})
+    whole = database_size(each).select(F.lit(None).cast("string").alias("table_name"), "files", "bytes", "row_count")
+    return each.unionByName(whole).select("table_name", "row_count", (F.col("files") >= 1).alias("has_files"), (F.col("bytes") > F.col("files")).alias("has_bytes"))
+
+
 @query("history_epoch_ms")
 def q_history_epoch_ms(spark, d):
     e = _t(spark, d)["events"].select("event_id", F.unix_millis(F.col("ts").cast("timestamp"))
@@ -469,6 +535,23 @@ def q_concat_missing(spark, d):
                               t["supplier"].select("s_name", "s_acctbal")])
 
 
+@query("concat_conflicts")
+def q_concat_conflicts(spark, d):
+    """Frames whose columns differ in type: numbers and texts, structs and texts, struct
+    fields, array elements, long and fractional numbers, dates and timestamps."""
+    t, x = _t(spark, d), F.expr
+    a = t["customer"].select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("amount"),
+                             x("struct(c_name as name, c_mktsegment as kind)").alias("detail"),
+                             x("struct(c_custkey as a, struct(c_acctbal as v, c_name as w) as b)").alias("info"), x("array(c_custkey, c_nationkey)").alias("xs"),
+                             F.lit("2024-01-05").cast("date").alias("at"))
+    b = t["supplier"].select(F.col("s_name").alias("id"), F.col("s_acctbal").alias("amount"), F.col("s_name").alias("detail"),
+                             x("struct(s_name as a, struct(s_suppkey as v) as b)").alias("info"), x("array(s_name)").alias("xs"),
+                             F.lit("2024-01-05 01:02:03").cast("timestamp_ntz").alias("at"))
+    both = nst.concat_frames([a, b])
+    return both.select("id", F.col("amount"), "detail", F.col("info.a").alias("info_a"), F.col("info.b.v").alias("info_v"), F.col("info.b.w").alias("info_w"),
+                       F.array_join("xs", "|").alias("xs"), "at")
+
+
 # --- Athena ----------------------------------------------------------------------
 
 @query("exec_window")

@@ -64,8 +64,7 @@ def usage(t: Tables, nested: bool = True) -> DataFrame:
 def list_prices(t: Tables, nested: bool = True) -> DataFrame:
     """Quarterly list prices per sku: open last version, one EUR sku, one sku
     without prices (5-LOW), one price that matches nothing (9-UNUSED)."""
-    o = t["orders"].where((c("o_orderpriority") != "5-LOW")
-                          & (c("o_orderdate") >= F.lit("1996-01-01").cast("date")))
+    o = t["orders"].where(c("o_orderpriority") != "5-LOW")
     p = (o.groupBy(c("o_orderpriority").alias("sku_name"),
                    F.date_trunc("quarter", c("o_orderdate")).cast("timestamp_ntz").alias("price_start_time"))
          .agg(F.round(F.avg("o_totalprice") / 1000, 4).alias("price")))
@@ -85,8 +84,8 @@ def list_prices(t: Tables, nested: bool = True) -> DataFrame:
 
 
 def warehouse_changes(t: Tables) -> DataFrame:
-    return t["events"].where(c("event_type") == "purchase").select(
-        c("user_id").alias("warehouse_id"), c("ts").alias("change_time"))
+    """Every event is a change of its warehouse."""
+    return t["events"].select(c("user_id").alias("warehouse_id"), c("ts").alias("change_time"))
 
 
 def warehouse_events(t: Tables) -> DataFrame:
@@ -126,6 +125,26 @@ def rest_records(t: Tables) -> DataFrame:
         metrics.alias("metrics"))
 
 
+#: Events of a landed page, and of every five pages: three on a line each, one printed
+#: over many lines, one cut off if pages are to be broken.
+PAGE_ROWS = 100
+
+
+def land_history_pages(t: Tables, path: str, cut: bool = False) -> None:
+    """Write the REST history as JSON responses under ``path``, as a client lands them:
+    files of a response on each line, and files of one printed response."""
+    records = rest_records(t)
+    page = F.floor(c("query_id").cast("long") / PAGE_ROWS)
+    pages = records.groupBy(page.alias("page")).agg(F.collect_list(F.struct(*records.columns)).alias("res"))
+    body = F.struct("res", F.lit(False).alias("has_more"))
+    text = F.when(c("page") % 5 == 3, F.to_json(body, {"pretty": "true"})).otherwise(F.to_json(body))
+    own_file = (c("page") % 5 == 3) | ((c("page") % 5 == 4) & F.lit(cut))
+    whole = F.when((c("page") % 5 == 4) & F.lit(cut), F.expr("left(text, cast(length(text) * 2 / 3 as int))")).otherwise(c("text"))
+    pages = pages.select("page", text.alias("text"), own_file.alias("own")).select("page", whole.alias("text"), "own")
+    pages.where(~c("own")).select("text").write.text(f"{path}/lines")
+    pages.where("own").select("page", "text").repartition("page").write.partitionBy("page").text(f"{path}/documents")
+
+
 # --- Redshift ------------------------------------------------------------------
 
 def ddl_chunks(t: Tables) -> DataFrame:
@@ -143,13 +162,13 @@ def ddl_chunks(t: Tables) -> DataFrame:
 
 
 def stl_query(t: Tables) -> DataFrame:
-    cv, e = t["conversations"], t["events"]
-    j = cv.join(e, e["event_id"] == cv["conv_id"] * 50)
-    return (j.groupBy((c("conv_id") % 5).alias("userid"), (c("conv_id") * 2).alias("xid"),
-                      (c("conv_id") % 11).alias("pid"), c("conv_id").alias("query"))
+    """Every conversation is a query, started on a day and second of its own."""
+    start = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, cast(conv_id % 30 as int), 0, 0, min(length(text)))")
+    return (t["conversations"].groupBy((c("conv_id") % 5).alias("userid"), (c("conv_id") * 2).alias("xid"),
+                                       (c("conv_id") % 11).alias("pid"), c("conv_id").alias("query"))
             .agg(F.min(F.length("text").cast("long")).alias("aborted"),
-                 F.min("turn").alias("concurrency_scaling_status"),
-                 F.min("ts").alias("starttime"), F.max("ts").alias("endtime")))
+                 F.min("turn").alias("concurrency_scaling_status"), start.alias("starttime"),
+                 (start + F.expr("make_interval(0, 0, 0, 0, 0, cast(max(turn) as int), 0)")).alias("endtime")))
 
 
 def stl_querytext(t: Tables) -> DataFrame:
