@@ -100,12 +100,12 @@ def test_batches_keep_plans_small(spark, monkeypatch):
     assert batches.in_batches(spark, [lambda: spark.range(2)], "id long", 5).count() == 2
 
 
-def test_min_max_of_two_thousand_tables(spark, tmp_out):
-    """The catalog lists 2,000 tables; each is scanned once, a batch at a time."""
+def test_min_max_of_many_tables(spark, tmp_out):
+    """Each table is scanned once, a batch at a time: four batches here."""
     spark.range(3).select("id", (F.col("id") * 1.5).alias("amount")).coalesce(1).write.parquet(f"{tmp_out}/one")
     one = spark.read.parquet(f"{tmp_out}/one")
-    out = st.column_min_max_all([(f"t{i}", one) for i in range(2000)])
-    assert out.count() == 4000
+    out = st.column_min_max_all([(f"t{i}", one) for i in range(200)])
+    assert out.count() == 400
     assert {(r.ColumnName, r.MinValue, r.MaxValue) for r in out.collect()} == {("id", 0.0, 2.0), ("amount", 0.0, 3.0)}
 
 

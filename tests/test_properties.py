@@ -29,7 +29,7 @@ def test_reassemble_inverts_split(spark, text, size, block):
 @SETTINGS
 @given(changes=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 400)), min_size=1, max_size=12),
        events=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 500)), min_size=1, max_size=25),
-       closed=st.sampled_from(["left", "both"]), bucket=st.sampled_from(["day", "month"]))
+       closed=st.sampled_from(["left", "both"]), bucket=st.sampled_from([None, "day", "month"]))
 def test_temporal_forms_agree(spark, changes, events, closed, bucket):
     ch = spark.createDataFrame([(w, BASE + dt.timedelta(hours=h)) for w, h in set(changes)],
                                "w int, t timestamp").withColumn("t", F.col("t").cast("timestamp_ntz"))

@@ -11,8 +11,9 @@
 
   - small version side: broadcast hash join on the equi keys with the range
     as join condition (no shuffle of the fact side at all);
-  - large version side: both sides get a time bucket (a day by default).
-    Versions are exploded over the buckets they cover (clipped to the
+  - large version side: one sorted stream of facts and versions
+    (``whlens.operators.intervals``), or, with a ``bucket`` given, a join on
+    time buckets: both sides get a bucket. Versions are exploded over the buckets they cover (clipped to the
     buckets the facts span), facts get their own bucket; the equi-join runs
     on ``keys + bucket`` with the range re-checked. A hot key is spread over
     its days instead of landing in one task, and a key with many versions
@@ -30,6 +31,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from whlens.operators.intervals import sorted_interval_join
 from whlens.operators.joins import DEFAULT_BROADCAST_BYTES, fits_broadcast
 
 KeyPairs = Sequence[tuple[str, str]]
@@ -112,7 +114,7 @@ def _range_condition(at: Column, start: Column, end: Column, closed: str) -> Col
 
 def temporal_join(facts: DataFrame, versions: DataFrame, on, at: str, start: str,
                   end: str, how: str = "inner", closed: str = "left",
-                  broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES, bucket: str = "day",
+                  broadcast_max_bytes: int | None = DEFAULT_BROADCAST_BYTES, bucket: str | None = None,
                   facts_alias: str = "f", versions_alias: str = "v", small: bool | None = None,
                   within=None) -> DataFrame:
     """Join every fact to the version(s) valid at ``facts[at]``.
@@ -120,8 +122,8 @@ def temporal_join(facts: DataFrame, versions: DataFrame, on, at: str, start: str
     ``on`` lists equi keys as names (same on both sides) or ``(fact, version)``
     pairs. ``how`` is ``inner`` or ``facts_left`` (facts without a valid
     version kept with nulls). The result keeps both aliases, so callers select
-    ``f.*`` / ``v.col``. ``bucket`` is the time bucket of the large-version
-    form: ``day`` spreads hot keys most; ``month`` / ``year`` keep the
+    ``f.*`` / ``v.col``. A large version side is joined as a sorted stream, or by
+    time buckets if ``bucket`` names them: ``day`` spreads hot keys most; ``month`` / ``year`` keep the
     exploded version side small when versions live for years. ``small``
     gives the size verdict of ``versions`` when the caller already has it.
     ``within``: the (first, last) day of all ``at``, or a frame that has every
@@ -130,7 +132,7 @@ def temporal_join(facts: DataFrame, versions: DataFrame, on, at: str, start: str
     """
     if how not in ("inner", "facts_left"):
         raise ValueError("how must be 'inner' or 'facts_left'")
-    if bucket not in BUCKETS:
+    if bucket is not None and bucket not in BUCKETS:
         raise ValueError(f"bucket must be one of {BUCKETS}")
     join_type = "inner" if how == "inner" else "left"
     pairs = _pairs(on)
@@ -146,6 +148,9 @@ def temporal_join(facts: DataFrame, versions: DataFrame, on, at: str, start: str
             cond = cond & (fc(a) == vc(b))
         return f.join(F.broadcast(v), cond, join_type)
 
+    if bucket is None:
+        return sorted_interval_join(facts, versions, pairs, at, start, end, how, closed, facts_alias, versions_alias)
+
     # Large version side: time buckets, clipped to those that the facts span.
     # Without facts the bounds are null and nothing is exploded.
     if isinstance(within, tuple):

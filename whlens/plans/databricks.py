@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from whlens.functions.normalize import hour_label
 from whlens.operators.filters import exclude_text
-from whlens.operators.joins import fits_broadcast, spread_order
+from whlens.operators.joins import fits_broadcast, quantile_order
 from whlens.operators.nested import field, field_or_null
 from whlens.operators.temporal import latest_per_key, temporal_join, version_intervals
 from whlens.operators.windows import between_dates, in_window, parse_day
@@ -46,7 +46,7 @@ def usage_with_warehouse(usage: DataFrame, warehouses: DataFrame,
 def usage_cost(usage: DataFrame, warehouses: DataFrame, list_prices: DataFrame,
                start, end, today=None, product: str = "SQL", currency: str = "USD",
                keep_unpriced: bool = False, latest_name: bool = False, ordered: bool = True,
-               bucket: str = "day", broadcast_max_bytes: int | None = None) -> DataFrame:
+               bucket: str | None = None, broadcast_max_bytes: int | None = None) -> DataFrame:
     """Export ``usage``: SQL-warehouse usage priced at the list price valid
     when the usage ended.
 
@@ -60,9 +60,9 @@ def usage_cost(usage: DataFrame, warehouses: DataFrame, list_prices: DataFrame,
     * the source writes ``prices LEFT JOIN usage ... WHERE account_id IS NOT
       NULL``: an inner join (J6), so usage without a price is dropped;
       ``keep_unpriced=True`` keeps it with a zero cost;
-    * ordered by ``usage_start_time`` (O1). A global order costs one extra
-      pass over the joined rows (the range partitioner samples its input);
-      ``ordered=False`` returns the same rows without it.
+    * ordered by ``usage_start_time`` (O1), partitioned at quantiles of the usage
+      rows' own times, so the join runs once; ``ordered=False`` returns the same
+      rows without the order.
 
     ``bucket`` and ``broadcast_max_bytes`` are those of ``temporal_join``: prices
     that are valid for years make fewer rows per ``month`` or ``year``.
@@ -85,11 +85,11 @@ def usage_cost(usage: DataFrame, warehouses: DataFrame, list_prices: DataFrame,
         *[F.col(f"f.`{c}`") for c in cte.columns],
         F.coalesce(F.col("f.usage_quantity") * price, F.lit(0)).alias("usage_usd"))
     out = out.where(F.col("account_id").isNotNull())
-    return spread_order(out, F.col("usage_start_time").asc_nulls_first()) if ordered else out
+    return quantile_order(out, "usage_start_time", u.select("usage_start_time")) if ordered else out
 
 
 def warehouse_events(events: DataFrame, warehouses: DataFrame, start, end,
-                     open_end=None, closed: str = "both", ordered: bool = True, bucket: str = "day",
+                     open_end=None, closed: str = "both", ordered: bool = True, bucket: str | None = None,
                      broadcast_max_bytes: int | None = None) -> DataFrame:
     """Export ``event``: warehouse events inside a version interval of their
     warehouse, events of the window days, newest first.
@@ -103,12 +103,12 @@ def warehouse_events(events: DataFrame, warehouses: DataFrame, start, end,
     ev = in_window(events, "event_time", start, end, "date_between")
     versions = warehouses.select("warehouse_id", "change_time")
     small = fits_broadcast(versions, broadcast_max_bytes)   # the intervals have exactly these rows
-    iv = version_intervals(versions, ["warehouse_id"], "change_time", open_end, small=small, bucket=bucket)
+    iv = version_intervals(versions, ["warehouse_id"], "change_time", open_end, small=small, bucket=bucket or "day")
     j = temporal_join(ev, iv, ["warehouse_id"], "event_time", "change_time", "next_change_time",
                       how="inner", closed=closed, small=small, bucket=bucket,
                       within=(parse_day(start), parse_day(end)))
     out = j.select(*[F.col(f"f.`{c}`") for c in events.columns])
-    return spread_order(out, F.col("event_time").desc_nulls_last()) if ordered else out
+    return quantile_order(out, "event_time", ev.select("event_time"), descending=True) if ordered else out
 
 
 def warehouse_info(warehouses: DataFrame, tie_breakers: Sequence[str] = ()) -> DataFrame:

@@ -393,7 +393,7 @@ def _rest_sql() -> str:
 # Date columns of the checked outputs, compared as midnight timestamps.
 DATE_OUTPUTS = {"usage_with_warehouse": ["usage_date"], "usage_cost": ["usage_date"],
                 "usage_cost_unpriced": ["usage_date"], "usage_latest_name": ["usage_date"],
-                "usage_window": ["usage_date"], "usage_cost_bucketed": ["usage_date"]}
+                "usage_window": ["usage_date"], "usage_cost_bucketed": ["usage_date"], "usage_cost_sorted": ["usage_date"]}
 
 
 def _dates_as_timestamps(sql: str, cols) -> str:
@@ -415,7 +415,7 @@ def _oracle_sql() -> dict[str, str]:
     q["catalog_columns"] = with_roles(f"select * from info_columns where table_catalog = '{R.CATALOG}'",
                                       "info_columns")
     q["usage_with_warehouse"] = with_roles(_named_usage(), "usage", "warehouses")
-    q["usage_cost"] = q["usage_cost_bucketed"] = _priced_usage("join")
+    q["usage_cost"] = q["usage_cost_bucketed"] = q["usage_cost_sorted"] = _priced_usage("join")
     q["usage_cost_unpriced"] = _priced_usage("left join")
     q["usage_cost_order"] = _ordered(q["usage_cost"])
     newest = """select account_id, workspace_id, warehouse_id,
@@ -429,7 +429,7 @@ def _oracle_sql() -> dict[str, str]:
     q["price_struct_access"] = with_roles(
         "select sku_name, price_start_time, price as price_per_unit from list_prices", "list_prices")
     q["version_intervals"] = with_roles(_intervals(), "warehouse_changes")
-    q["warehouse_events"] = q["warehouse_events_bucketed"] = _valid_events("<=")
+    q["warehouse_events"] = q["warehouse_events_bucketed"] = q["warehouse_events_sorted"] = _valid_events("<=")
     q["warehouse_events_single"] = _valid_events("<")
     q["warehouse_events_order"] = _ordered(q["warehouse_events"])
     q["warehouse_info"] = with_roles("""

@@ -98,12 +98,20 @@ def q_usage_cost(spark, d):
 
 @query("usage_cost_bucketed")
 def q_usage_cost_bucketed(spark, d):
-    """``usage_cost`` by the form for large price lists."""
+    """``usage_cost`` by time buckets."""
     t = _t(spark, d)
     return _drop_nested(dbx.usage_cost(roles.usage(t), roles.warehouses(t), roles.list_prices(t), USAGE_START, USAGE_END,
                                        today=TODAY, bucket="month", broadcast_max_bytes=0))
 
 
+@query("usage_cost_sorted")
+def q_usage_cost_sorted(spark, d):
+    """``usage_cost`` by the sorted stream for large price lists."""
+    t = _t(spark, d)
+    return _drop_nested(dbx.usage_cost(roles.usage(t), roles.warehouses(t), roles.list_prices(t), USAGE_START, USAGE_END,
+                                       today=TODAY, broadcast_max_bytes=0))
+
+
 def _order_check(df: DataFrame, key: str, descending: bool = False) -> DataFrame:
     """Rows, and pairs of neighbours out of order: within each partition of the
     result, and between the last and first rows of partitions that follow."""
@@ -182,7 +190,15 @@ def q_warehouse_events(spark, d):
 
 @query("warehouse_events_bucketed")
 def q_warehouse_events_bucketed(spark, d):
-    """``warehouse_events`` by the form for large version tables."""
+    """``warehouse_events`` by time buckets."""
+    t = _t(spark, d)
+    return dbx.warehouse_events(roles.warehouse_events(t), roles.warehouse_changes(t), EV_START, EV_END,
+                                open_end=OPEN_END, broadcast_max_bytes=0, bucket="day")
+
+
+@query("warehouse_events_sorted")
+def q_warehouse_events_sorted(spark, d):
+    """``warehouse_events`` by the sorted stream for large version tables."""
     t = _t(spark, d)
     return dbx.warehouse_events(roles.warehouse_events(t), roles.warehouse_changes(t), EV_START, EV_END,
                                 open_end=OPEN_END, broadcast_max_bytes=0)
