@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from whlens.operators import batches, nested as nst, stats as st
+from whlens.operators import batches, nested as nst, profiles as pr, stats as st
 from whlens.operators.sizes import database_size, file_sizes, table_sizes
 from whlens.plans.exports import Params, run_exports
 from whlens.sources.files import TableSet
@@ -133,3 +133,40 @@ def test_sizes_export(spark, tmp_out):
     assert (status.status, status.rows) == ("written", 3)
     got = {r.table_name: r for r in spark.read.parquet(f"{tmp_out}/trino-logs/sizes_s").collect()}
     assert got["region"].row_count == 5 and got[None].row_count == 30 and got[None].bytes == got["region"].bytes + got["nation"].bytes
+
+
+def test_profiles_read_new_files_only(spark, tmp_out):
+    """The profile of two days is the merge of two days' profiles; the old day is not read again."""
+    path, store = f"{tmp_out}/landed", f"{tmp_out}/store"
+    day = lambda a, b: spark.range(a, b).select("id", (F.col("id") % 100).alias("few"), F.concat(F.lit("n"), F.col("id") % 5000).alias("name"),
+                                                F.when(F.col("id") % 4 == 0, F.col("id") / 2).alias("half"), F.expr("named_struct('x', id % 7)").alias("s")).coalesce(2)
+    day(0, 6000).write.parquet(path)
+    scan = spark.read.parquet(path)
+    assert pr.update_profiles(spark, store, "t", scan) == 2
+    first = {r.column_name: r for r in pr.merged_stats(spark, store, "t", "sch").collect()}
+    assert pr.update_profiles(spark, store, "t", scan) == 0
+    for f in _listing(path):    # the old day can't be read any more
+        with open(f, "wb") as out:
+            out.write(b"PAR1")
+    day(4000, 10_000).write.mode("append").parquet(path)
+    old = {"id", "few", "name", "half", "s"}
+    scan = spark.read.schema(day(0, 1).schema).parquet(path)
+    assert pr.update_profiles(spark, store, "t", scan) == 2
+    both = {r.column_name: r for r in pr.merged_stats(spark, store, "t", "sch").collect()}
+    assert first[None].row_count == 6000 and both[None].row_count == 12_000 and set(both) == old | {None}
+    want = {r.column_name: r for r in st.column_stats(day(0, 6000).unionByName(day(4000, 10_000)), "sch", "t", exact=True).collect()}
+    for name, w in want.items():
+        r = both[name]
+        assert (r.data_size, r.nulls_fraction, r.row_count, r.low_value, r.high_value, r.schema_name, r.table_name) == (w.data_size, w.nulls_fraction, w.row_count, w.low_value, w.high_value, "sch", "t")
+        if name:
+            assert abs(r.distinct_values_count - w.distinct_values_count) <= 0.05 * w.distinct_values_count + 1, name
+    # files that have gone drop out
+    kept = pr._files(scan)[:1]
+    assert 0 < {r.column_name: r for r in pr.merged_stats(spark, store, "t", files=kept).collect()}[None].row_count < 12_000
+
+
+def test_profiles_of_nothing(spark, tmp_out):
+    assert [tuple(r) for r in pr.merged_stats(spark, f"{tmp_out}/none", "t").collect()] == [(None, None, None, None, 0.0, None, None)]
+    spark.range(0).write.parquet(f"{tmp_out}/empty")
+    pr.update_profiles(spark, f"{tmp_out}/store", "t", spark.read.parquet(f"{tmp_out}/empty"))
+    assert pr.merged_stats(spark, f"{tmp_out}/store", "t").where("column_name is null").first().row_count == 0

@@ -224,3 +224,29 @@ def test_sorted_export_with_a_map_inside_a_struct(spark, tmp_out):
     from whlens.operators.joins import spread_order
     df = spark.sql("select id, named_struct('m', map('k', id), 'n', id) as s, array(map('a', 1)) as l, map(1, 'x') as m from range(20)")
     assert [r.id for r in spread_order(df, F.col("id").desc()).collect()] == list(range(19, -1, -1))
+
+
+def test_exports_run_side_by_side(spark, tmp_out, monkeypatch):
+    """Four exports, two of which fail, are under way together; each has its own pool."""
+    import threading
+
+    from whlens.plans import exports as X
+    together = threading.Barrier(4, timeout=60)
+    pools = []
+
+    def build(fail):
+        def make(t, p):
+            together.wait()     # none goes on before all have begun
+            pools.append(spark.sparkContext.getLocalProperty("spark.scheduler.pool"))
+            if fail:
+                raise ValueError("no such table")
+            return spark.range(5)
+        return make
+    specs = [X.ExportSpec("redshift", f"e{i}", build(i in (1, 2))) for i in range(4)]
+    monkeypatch.setattr(X, "SPECS", specs)
+    before = spark.conf.get("spark.sql.parquet.outputTimestampType")
+    status = run_exports(spark, "redshift", {}, tmp_out, Params()).collect()
+    assert [(r.export, r.status, r.rows) for r in status] == [("e0", "written", 5), ("e1", "failed", None), ("e2", "failed", None), ("e3", "written", 5)]
+    assert sorted(pools) == [f"redshift-{i}" for i in range(4)]
+    assert spark.conf.get("spark.sql.parquet.outputTimestampType") == before
+    assert {r.error for r in status if r.status == "failed"} == {"no such table"}

@@ -2,8 +2,8 @@
 
 An ``ExportSpec`` builds one lazy DataFrame from the landed system tables
 (a name -> DataFrame mapping, see ``whlens.sources.files.TableSet``) and
-says how it is written. ``run_exports`` writes the exports of one warehouse
-one after the other; a failing export is recorded and the others go on.
+says how it is written. ``run_exports`` writes the exports of one warehouse,
+a few at a time; a failing export is recorded and the others go on.
 
 Landed table names follow the warehouse's own names (``billing.usage``,
 ``compute.warehouses``, ``TABLES``, ``stl_query``, ``sys.partitions``, ...);
@@ -15,8 +15,10 @@ from __future__ import annotations
 import dataclasses
 import logging
 import os
+import threading
 from collections.abc import Callable, Mapping
 
+from pyspark import InheritableThread
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -260,38 +262,60 @@ STATUS_SCHEMA = "export string, path string, status string, rows long, error str
 
 
 KINDS = ("metadata", "query_logs")
+#: Exports that run side by side.
+PARALLEL = 4
+
+
+def _run_export(spec: ExportSpec, tables: Mapping[str, DataFrame], out_dir: str, params: Params) -> tuple:
+    """One export's status row; whatever goes wrong is in it."""
+    name = spec.name.format(catalog=params.catalog, schema=params.schema)
+    path = export_path(out_dir, spec.engine, name)
+    if not spec.enabled(params):
+        return name, path, "disabled", None, None
+    try:
+        df = spec.build(tables, params)
+        if df is None:
+            return name, path, "not_applicable", None, None
+        if spec.writer == "hourly":
+            rows = write_hourly(df, path, spec.hourly_ts, window=(params.start, params.end) if params.start and params.end else None)
+        elif spec.writer == "csv":
+            rows = write_csv(df, path, spec.on_empty)
+        else:
+            rows = write_export(df, path, json_nested=True, on_empty=spec.on_empty)
+        return name, path, "written" if rows is not None else "empty", rows, None
+    except Exception as exc:  # noqa: BLE001 - isolation: record and continue
+        log.error("export %s failed: %s", name, exc)
+        return name, path, "failed", None, str(exc)[:2000]
 
 
 def run_exports(spark: SparkSession, engine: str, tables: Mapping[str, DataFrame], out_dir: str,
                 params: Params, only: list[str] | None = None,
-                kinds: tuple[str, ...] = KINDS) -> DataFrame:
+                kinds: tuple[str, ...] = KINDS, parallel: int = PARALLEL) -> DataFrame:
     """K6: write every enabled export of ``engine`` of the given ``kinds``
     (metadata, query logs); one failure does not stop the others. Returns one
     status row per export (written / empty / disabled / not applicable /
-    failed, rows, error text). Each export is one Spark job."""
-    status = []
-    for spec in specs_for(engine):
-        if (only and spec.name not in only) or spec.kind not in kinds:
-            continue
-        fmt_params = {"catalog": params.catalog, "schema": params.schema}
-        name = spec.name.format(**fmt_params)
-        path = export_path(out_dir, engine, name)
-        if not spec.enabled(params):
-            status.append((name, path, "disabled", None, None))
-            continue
-        try:
-            df = spec.build(tables, params)
-            if df is None:
-                status.append((name, path, "not_applicable", None, None))
-                continue
-            if spec.writer == "hourly":
-                rows = write_hourly(df, path, spec.hourly_ts, window=(params.start, params.end) if params.start and params.end else None)
-            elif spec.writer == "csv":
-                rows = write_csv(df, path, spec.on_empty)
-            else:
-                rows = write_export(df, path, json_nested=True, on_empty=spec.on_empty)
-            status.append((name, path, "written" if rows is not None else "empty", rows, None))
-        except Exception as exc:  # noqa: BLE001 - isolation: record and continue
-            log.error("export %s failed: %s", name, exc)
-            status.append((name, path, "failed", None, str(exc)[:2000]))
-    return spark.createDataFrame(status, STATUS_SCHEMA)
+    failed, rows, error text), in the order of the specs.
+
+    Up to ``parallel`` exports run side by side, each in a pool of its own: under the FAIR
+    scheduler (``build_session`` asks for it) the many short catalog exports don't wait
+    for the tasks of a long history export."""
+    specs = [s for s in specs_for(engine) if (not only or s.name in only) and s.kind in kinds]
+    status: dict[int, tuple] = {}
+    waiting = iter(enumerate(specs))
+    lock = threading.Lock()
+
+    def work() -> None:
+        while True:
+            with lock:
+                i, spec = next(waiting, (None, None))
+            if spec is None:
+                return
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"{engine}-{i}")
+            status[i] = _run_export(spec, tables, out_dir, params)
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+    threads = [InheritableThread(target=work, session=spark) for _ in range(max(1, min(parallel, len(specs))))]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    return spark.createDataFrame([status[i] for i in sorted(status)], STATUS_SCHEMA)

@@ -533,6 +533,7 @@ def _oracle_sql() -> dict[str, str]:
                {_iso('ts', ' ', 'NaT')} as create_time, {_iso('ts', ' ', 'NaT')} as execution_start_time,
                {_iso('ts', ' ', 'NaT')} as end_time, value
         from events where strftime(ts, '%Y-%m-%d') between '{R.EV_START}' and '{R.EV_END}'"""
+    q["stats_incremental"] = f"select * from ({q['column_stats']}) s where table_name = 'events'"
     q["landed_history"] = q["rest_history"]
     q["landed_ledger"] = """
         select case when page % 5 >= 3 then 'document' else 'lines' end as form, case page % 5 when 4 then 'unreadable' else 'read' end as status,

@@ -20,6 +20,7 @@ from whlens.operators import nested as nst
 from whlens.operators import stats as st
 from whlens.operators import text as txt
 from whlens.operators.filters import exclude_text, live_rows, visible_objects
+from whlens.operators.profiles import merged_stats, update_profiles
 from whlens.operators.sizes import database_size, table_sizes
 from whlens.operators.temporal import version_intervals
 from whlens.operators.windows import between_dates, in_window, range_or_skip, take_until
@@ -530,6 +531,25 @@ def q_column_stats(spark, d):
                        "high_value", "schema_name", "table_name")
 
 
+@query("stats_incremental")
+def q_stats_incremental(spark, d):
+    """The events' statistics from a store of sketches, to which each of three landings adds
+    its files. Distinct counts are checked as in ``column_stats``."""
+    path = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}"
+    e = _t(spark, d)["events"]
+    for part in range(3):
+        e.where(F.col("event_id") % 3 == part).write.mode("append").parquet(f"{path}/events")
+        update_profiles(spark, f"{path}/profiles", "events", spark.read.parquet(f"{path}/events"))
+    est = merged_stats(spark, f"{path}/profiles", "events", STATS_SCHEMA)
+    names = spark.createDataFrame([(i, f.name) for i, f in enumerate(e.schema.fields)], "_i int, _nc string")
+    exact = st.exact_distinct_counts(e).join(names, "_i")
+    both = est.join(exact, F.col("column_name") == F.col("_nc"), "left")
+    nd = F.coalesce("_nd", F.lit(0))
+    near = F.when(F.col("column_name").isNotNull(), F.abs(F.col("distinct_values_count") - nd) <= 0.08 * nd + 1)
+    return both.select("column_name", "data_size", near.alias("distinct_ok"), "nulls_fraction", "row_count", "low_value",
+                       "high_value", "schema_name", "table_name")
+
+
 @query("history_trino_window")
 def q_history_trino_window(spark, d):
     h = _t(spark, d)["events"].withColumnRenamed("ts", "created")

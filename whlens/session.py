@@ -16,6 +16,7 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.scheduler.mode": "FAIR",     # exports side by side share the executors
 }
 
 

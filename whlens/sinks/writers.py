@@ -11,6 +11,7 @@ import contextlib
 import datetime as dt
 import logging
 import os
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -32,17 +33,29 @@ def export_path(out_dir: str, engine: str, name: str, **params) -> str:
     return os.path.join(out_dir, f"{engine}-logs", name.format(**params))
 
 
+_HELD: dict[tuple[str, str], list] = {}     # (key, value): writers inside, the value before
+_LOCK = threading.Lock()
+
+
 @contextlib.contextmanager
 def _conf(spark, key: str, value: str):
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+    """A session setting for the time of a write. Writers side by side share it: the first
+    sets it, the last puts back what was there."""
+    with _LOCK:
+        held = _HELD.setdefault((key, value), [0, spark.conf.get(key, None)])
+        held[0] += 1
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+        with _LOCK:
+            held[0] -= 1
+            if not held[0]:
+                del _HELD[key, value]
+                if held[1] is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, held[1])
 
 
 def _remove(spark, path: str) -> None:
@@ -61,7 +74,7 @@ def _partitions(spark, path: str, label: str) -> list[str]:
 
 def write_export(df: DataFrame, path: str, normalize: bool = True, json_nested: bool = False,
                  on_empty: str = "schema", mode: str = "overwrite", fmt: str = "parquet",
-                 partition_by: list[str] | None = None) -> int | None:
+                 partition_by: list[str] | None = None, max_records_per_file: int = 0) -> int | None:
     """K1/K2/K5: write ``df`` as a dataset at ``path`` and return its row count.
 
     * ``normalize``: zoned times to UTC wall time, times rounded half-even to
@@ -92,6 +105,8 @@ def write_export(df: DataFrame, path: str, normalize: bool = True, json_nested:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         writer = writer.option("header", "true")
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
     with _conf(df.sparkSession, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MILLIS"):
         writer.save(path)
     rows = obs.get.get("rows", 0)
@@ -139,8 +154,8 @@ def write_hourly(df: DataFrame, path: str, ts: str, label: str = "hour",
     balanced = df.hint("rebalance", label)
     run, started = uuid.uuid4().hex, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     hours = Observation()
-    with _conf(spark, "spark.sql.files.maxRecordsPerFile", str(max_records_per_file)):
-        rows = write_export(balanced.observe(hours, F.collect_set(label).alias("hours")), path, normalize=False, partition_by=[label])
+    rows = write_export(balanced.observe(hours, F.collect_set(label).alias("hours")), path, normalize=False, partition_by=[label],
+                        max_records_per_file=max_records_per_file)
     # Rows of each hour as its files have them: footers only.
     seen = {h: 0 for h in hours.get.get("hours") or []}
     if seen:
