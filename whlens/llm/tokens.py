@@ -57,48 +57,59 @@ class WordEncoder:
 
     def forget(self) -> None:
         """Give back the memory of all remembered words."""
-        self.marks = {"": []}
         self._keep({})
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _add(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Remember words by the sizes of their ids, which follow each other."""
+        self.known.update(zip(words, range(len(self.sizes), len(self.sizes) + len(words))))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.flat = np.concatenate([self.flat, ids.astype(np.uint32)])
+
+    def _add_stems(self, stems: list[str]) -> None:
+        """Words of small letters only, by the library's model alone."""
+        tokenize, to_bytes = self.model.tokenize, self.bytes
+        ids: list[int] = []
+        ends = []
+        for stem in stems:
+            ids += [t.id for t in tokenize(stem if stem.isascii() else stem.translate(to_bytes))]
+            ends.append(len(ids))
+        self._add(stems, np.diff(np.array(ends, np.int64), prepend=0), np.array(ids, np.uint32))
+
+    def _add_whole(self, words: list[str]) -> None:
+        coded = [self._whole(w) for w in words]
+        self._add(words, np.array([len(c) for c in coded], np.int64), np.array(list(chain.from_iterable(coded)), np.uint32))
+
     def _learn(self, words: list[str]) -> None:
-        """Remember these words, and what is left of them without case and marks."""
-        ids, sizes, known = [], [], self.known
-        start, at = len(self.flat), len(self.sizes)
-        mine: dict[str, list[int]] = {}
+        """Remember these words: the letters of plain ones without case and marks, the
+        marks, and the words put together from both."""
+        known, stems, others, composed = self.known, set(), set(), []
         for word in words:
-            if word in mine:
-                continue
             plain = PLAIN.fullmatch(word)
-            if plain:
-                core, marks = plain.groups()
-                core = core.lower()
-                own = mine.get(core)
-                if own is None:
-                    k = known.get(core)
-                    if k is None:
-                        own = mine[core] = [t.id for t in self.model.tokenize(core.translate(self.bytes))]
-                    else:
-                        own = self.flat[self.starts[k]:self.starts[k] + self.sizes[k]].tolist()
-                if marks:
-                    if marks not in self.marks:
-                        if len(self.marks) > 10_000:
-                            self.marks = {"": []}
-                        self.marks[marks] = self._whole(marks)
-                    own = own + self.marks[marks]
-                mine[word] = own
-            else:
-                mine[word] = self._whole(word)
-        known.update(zip(mine, range(at, at + len(mine))))
-        for own in mine.values():
-            ids += own
-            sizes.append(len(own))
-        sizes = np.array(sizes, np.int64)
-        self.starts = np.concatenate([self.starts, start + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.flat = np.concatenate([self.flat, np.array(ids, np.uint32)])
+            if plain is None:
+                others.add(word)
+                continue
+            stem, marks = plain.groups()
+            stem = stem.lower()
+            if stem not in known:
+                stems.add(stem)
+            if marks not in known:
+                others.add(marks)
+            composed.append((word, stem, marks))
+        if stems:
+            self._add_stems(list(stems))
+        if others:
+            self._add_whole(list(others))
+        composed = [c for c in composed if c[0] not in known]
+        if composed:
+            parts = np.fromiter(chain.from_iterable((known[s], known[m]) for _, s, m in composed), np.int64, 2 * len(composed))
+            self._add([w for w, _, _ in composed], self.sizes[parts].reshape(-1, 2).sum(1), self._gather(parts))
+        for w in (stems | others).difference(words):
+            if len(w) > KNOWN_LENGTH:  # not worth remembering
+                del known[w]
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of the whole text (null: empty) with the end id."""
