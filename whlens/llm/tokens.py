@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Iterator
 from itertools import chain, repeat
@@ -88,17 +89,21 @@ class WordEncoder:
         marks, and the words put together from both."""
         known, stems, others, composed = self.known, set(), set(), []
         for word in words:
-            plain = PLAIN.fullmatch(word)
-            if plain is None:
-                others.add(word)
-                continue
-            stem, marks = plain.groups()
-            stem = stem.lower()
+            if word.isascii() and word.isalpha():
+                stem, marks = word.lower(), ""
+            else:
+                plain = PLAIN.fullmatch(word)
+                if plain is None:
+                    others.add(word)
+                    continue
+                stem, marks = plain.groups()
+                stem = stem.lower()
+                if marks not in known:
+                    others.add(marks)
             if stem not in known:
                 stems.add(stem)
-            if marks not in known:
-                others.add(marks)
-            composed.append((word, stem, marks))
+            if stem != word:
+                composed.append((word, stem, marks))
         if stems:
             self._add_stems(list(stems))
         if others:
@@ -126,7 +131,9 @@ class WordEncoder:
             at = self._places(words)
             new = {words[i] for i in np.flatnonzero(at < 0).tolist()}
         if new:
+            gc.disable()    # many objects, no cycles: looking for some takes a tenth of the time
             self._learn(list(new))
+            gc.enable()
             missing = np.flatnonzero(at < 0)
             at[missing] = [self.known[words[i]] for i in missing.tolist()]
             for w in new:
