@@ -1,10 +1,12 @@
 """Language ID on held-out documents, and mixing against a raking in numpy."""
 
 import zlib
+from functools import reduce
 
 import numpy as np
 import pytest
 from helpers import LONG, documents, edge_docs, no_docs
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from whlens.llm import langid, mixing
@@ -123,3 +125,23 @@ def test_mixing_of_edges(spark):
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in found if r.kept)
     assert mixing.mix(no_docs(spark)).count() == 0 and mixing.mixed(no_docs(spark)).count() == 0
+
+
+def test_topics_are_fitted_on_every_document(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{t}_{w}" for w in rng.integers(0, 40, 12)) for t in rng.integers(0, 8, 4000)]
+    docs = spark.createDataFrame([(i, t, "s", "l") for i, t in enumerate(texts)], "doc_id long, text string, source string, lang string").repartition(5)
+    counts = mixing.word_counts(texts)[0]
+    idf = np.log((1 + len(texts)) / (1 + (counts > 0).sum(axis=0))) + 0.1
+    x = langid.unit(langid.damped(counts) * idf)
+    want = (x @ langid.kmeans(x, mixing.TOPICS).T).argmax(axis=1)
+    found = {r.doc_id: r.topic for r in mixing.mix(docs).collect()}
+    assert [found[i] for i in range(len(texts))] == want.tolist()
+
+
+def test_few_cells_are_raked_without_a_shuffle(spark):
+    cells = spark.createDataFrame([(f"s{i % 5}", f"l{i % 3}", i % 4, 1 + i * 7 % 50) for i in range(60)], "source string, lang string, topic int, tokens long")
+    cells = mixing.together(cells.groupBy(*mixing.MARGINS).agg(F.sum("tokens").alias("tokens")))
+    summed = reduce(lambda df, m: df.withColumn(f"by_{m}", F.sum("tokens").over(Window.partitionBy(m))), mixing.MARGINS, cells)
+    plan = summed._jdf.queryExecution().executedPlan().toString()
+    assert summed.count() and plan.count("Exchange hashpartitioning") == 1  # that of the groupBy
