@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from whlens.operators.joins import spread_order
 from whlens.operators.temporal import temporal_join
+from whlens.plans import roles
 from whlens.sinks.writers import write_hourly
 
 
@@ -112,3 +113,21 @@ def test_shuffled_text_join_splits_hot_handle(spark, monkeypatch):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_ddl_chunks_are_cut_after_the_join(spark):
+    docs = spark.createDataFrame([(i, f"{i}é" * 300, "s") for i in range(20)] + [(20, None, None), (None, "x" * 200, "s"), (21, "", "s")], "doc_id long, text string, source string")
+    events = spark.range(0, 30, 2).selectExpr("id as event_id", "timestamp_ntz'2024-01-05 00:00:00' as ts")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        chunks = roles.ddl_chunks({"documents": docs, "events": events})
+        plan = chunks._jdf.queryExecution().executedPlan().toString()
+        rows = chunks.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.index("Generate") < plan.index("Join")  # no row of the join holds its text once per chunk
+    for d in docs.collect():
+        mine = sorted((r for r in rows if r.xid == d.doc_id), key=lambda r: r.sequence)
+        n = max(1, -(-len(d.text or "") // 200))
+        assert [(r.sequence, r.text) for r in mine] == [(i, None if d.text is None else d.text[200 * i:200 * i + 200]) for i in range(n)]

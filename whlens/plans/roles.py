@@ -152,13 +152,13 @@ def ddl_chunks(t: Tables) -> DataFrame:
     the statement time from the event of the same id and a padded label."""
     d, e = t["documents"], t["events"]
     n = F.greatest(F.ceil(F.length(c("text")) / 200), F.lit(1)).cast("long")
-    chunks = d.select("doc_id", "text", "source",
-                      F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("sequence"))
-    j = chunks.join(e.select(c("event_id"), c("ts")), c("event_id") == c("doc_id"), "left")
+    # Documents are joined whole and then cut, so that no row holds more than its own chunk.
+    j = (d.select("doc_id", "text", "source").join(e.select("event_id", "ts"), c("event_id") == c("doc_id"), "left"))
+    chunks = F.transform(F.sequence(F.lit(0).cast("long"), n - 1),
+                         lambda i: F.struct(i.alias("sequence"), F.substr(c("text"), i.cast("int") * 200 + 1, F.lit(200)).alias("text")))
     return j.select(c("doc_id").alias("xid"), (c("doc_id") % 11).alias("pid"), (c("doc_id") % 5).alias("userid"),
                     c("ts").alias("starttime"), c("ts").alias("endtime"),
-                    F.concat(F.lit("  "), c("source"), F.lit(" ")).alias("label"), "sequence",
-                    F.expr("substr(text, cast(sequence as int) * 200 + 1, 200)").alias("text"))
+                    F.concat(F.lit("  "), c("source"), F.lit(" ")).alias("label"), F.inline(chunks))
 
 
 def stl_query(t: Tables) -> DataFrame:
