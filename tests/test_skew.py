@@ -131,3 +131,15 @@ def test_ddl_chunks_are_cut_after_the_join(spark):
         mine = sorted((r for r in rows if r.xid == d.doc_id), key=lambda r: r.sequence)
         n = max(1, -(-len(d.text or "") // 200))
         assert [(r.sequence, r.text) for r in mine] == [(i, None if d.text is None else d.text[200 * i:200 * i + 200]) for i in range(n)]
+
+
+def test_table_schema_broadcasts_no_tables_columns_or_partitions(spark):
+    from whlens.operators.catalog import table_schema
+    part = spark.createDataFrame([(i, f"p{i % 3}", f"b{i % 2}", i) for i in range(12)], "p_partkey long, p_name string, p_brand string, p_size long")
+    t = {"part": part}
+    sides = (roles.is_tables(t), roles.sys_columns(t), roles.ms_tables(t), roles.ms_partitions(t))
+    for schemas, by_schema in ((roles.ms_schemas(t), True), (None, False)):
+        out = table_schema(*sides, schemas, by_schema=by_schema)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 3 and plan.count("BroadcastExchange") == (1 if by_schema else 0)
+        assert out.count() == 4 * (6 * 1 + 6 * 2)

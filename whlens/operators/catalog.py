@@ -2,9 +2,11 @@
 J10-J15, C11, C14, A7).
 
 Both sides of these joins are catalog metadata (no fact table is involved),
-so they are plain joins: Spark's planner broadcasts a side whose estimated
+so most are plain joins: Spark's planner broadcasts a side whose estimated
 size is under ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-plans from
-the measured shuffle sizes; larger catalogs stay sort-merge joins. Vendor functions without a Spark twin (``format_type``,
+the measured shuffle sizes; larger catalogs stay sort-merge joins. Tables,
+partitions and columns of a whole server (``table_schema``) are never
+broadcast: they have many rows in few compressed bytes. Vendor functions without a Spark twin (``format_type``,
 ``obj_description``, ``oidvectortypes``, ``pg_*_is_visible``) are modelled as
 lookups into landed catalog tables and a window ranking.
 """
@@ -220,9 +222,10 @@ def table_partitions(sys_tables: DataFrame, sys_partitions: DataFrame,
     keys = ["TableName"]
     if sys_schemas is not None:
         s = sys_schemas.select(F.col("schema_id").alias("_s_sid"), F.col("name").alias("TableSchema"))
-        t = t.join(s, F.col("_t_sid") == F.col("_s_sid"))
+        t = t.join(F.broadcast(s), F.col("_t_sid") == F.col("_s_sid"))  # schemas are few
         keys = ["TableSchema", "TableName"]
-    a = t.join(p.select(F.col("object_id").alias("_p_oid"), "rows"), F.col("_t_oid") == F.col("_p_oid"))
+    p = p.select(F.col("object_id").alias("_p_oid"), "rows")
+    a = t.join(p.hint("merge"), F.col("_t_oid") == F.col("_p_oid"))
     a = a.select(*keys, "rows")
     if sum_partitions:
         a = a.groupBy(*keys).agg(F.sum("rows").alias("rows"))
@@ -242,16 +245,16 @@ def table_schema(is_tables: DataFrame, is_columns: DataFrame, sys_tables: DataFr
     which is both wrong and quadratic in a hot name."""
     tbl = is_tables.select(F.col("table_schema").alias("_ts"), F.col("table_name").alias("_tn"))
     col = is_columns.select("table_schema", "table_name", "column_name", "data_type")
-    tc = col.join(tbl, (F.col("table_name") == F.col("_tn")) & (F.col("table_schema") == F.col("_ts")))
+    tc = col.hint("merge").join(tbl, (F.col("table_name") == F.col("_tn")) & (F.col("table_schema") == F.col("_ts")))
     if by_schema:
         if sys_schemas is None:
             raise ValueError("by_schema=True needs sys_schemas")
         a = table_partitions(sys_tables, sys_partitions, sys_schemas, sum_partitions)
-        j = tc.join(a, (F.col("table_name") == F.col("TableName"))
+        j = tc.hint("merge").join(a, (F.col("table_name") == F.col("TableName"))
                     & (F.col("table_schema") == F.col("TableSchema")))
     else:
         a = table_partitions(sys_tables, sys_partitions, None, sum_partitions)
-        j = tc.join(a, F.col("table_name") == F.col("TableName"))
+        j = tc.hint("merge").join(a, F.col("table_name") == F.col("TableName"))
     return spread_order(j, F.col("TableName").asc_nulls_first()).select(
         "table_schema", "table_name", "column_name", "data_type", "rows")
 
