@@ -176,3 +176,30 @@ def test_export_fails_on_lost_pages(spark, tmp_out):
     assert failed.status == "failed" and "unreadable" in failed.error
     kept = run(on_unreadable="quarantine")
     assert (kept.status, kept.rows) == ("written", 1)
+
+
+def test_records_are_stored_flat_and_not_moved(spark, tmp_out):
+    """A stored row is a record, not a page, and no file's records are brought together in a shuffle."""
+    d = land(tmp_out, lines=dumped(page(1, 2), page(), page(3)), printed=dumped(page(4, 5), indent=2))
+    got = J.ingest(spark, d, "res")
+    assert rows(got) == [1, 2, 3, 4, 5]
+    kinds = {f.dataType.simpleString().partition("<")[0] for t in ("lines", "documents") for f in spark.read.parquet(f"{got.path}/{t}").schema}
+    assert "array" not in kinds
+    assert "Exchange" not in got.records._jdf.queryExecution().executedPlan().toString()
+
+
+def test_mixed_file_is_read_once(spark, tmp_out):
+    """Lines of a file that is read again as a whole don't count twice, nor do blank lines."""
+    d = land(tmp_out, mixed=dumped(page(1)) + "\n\n" + dumped(page(2), indent=2), blank="\n \n", good=dumped(page(3)))
+    got = J.ingest(spark, d, "res")
+    assert rows(got) == [1, 2, 3]
+    assert ledger(got) == {"mixed": ("document", 2, 2, 0, "read"), "blank": ("empty", 0, 0, 0, "empty"), "good": ("lines", 1, 1, 0, "read")}
+    assert {os.path.basename(r.file): r.bytes for r in got.ledger.collect()}["blank"] == 3
+
+
+def test_filter_reads_a_record_once(spark):
+    """A filter on the columns of a record doesn't take the record apart for each of them."""
+    records = spark.range(3).select(F.parse_json(F.format_string('{"query_id": "%d", "user_id": 1}', "id")).alias("record"))
+    df = J.shaped(records, J.HISTORY_RECORD).where("user_id >= 0 and user_id < 5 and query_id <> 'x'").select("query_id", "user_id")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("variant_get(") == 1 and df.count() == 3

@@ -7,6 +7,7 @@ records, what is no page is listed. An explicit schema makes an absent key read
 
 from __future__ import annotations
 
+import contextlib
 import dataclasses
 import json
 import re
@@ -74,9 +75,15 @@ def explode_records(pages: DataFrame, array_col: str = "res") -> DataFrame:
 #: Largest file that is read as a whole when its lines aren't pages.
 MAX_DOCUMENT_BYTES = 64 * 1024 * 1024
 
+#: So many paths are sent to every executor at most.
+BROADCAST_PATHS = 100_000
+
 _DOCUMENTS = "file string, at long, state string, reason string, raw string, records array<string>"
 
 
+_dumped = json.JSONEncoder(ensure_ascii=False, allow_nan=False).encode
+
+
 class UnreadablePages(ValueError):
     """Landed JSON that is no page. ``path`` holds the ledger and the quarantine."""
 
@@ -115,7 +122,7 @@ def _split(text: str, array: str) -> Iterator[tuple]:
                 if isinstance(page, dict) and array not in page and broken is None:
                     found.append((at, "bare", None, None, []))
                 elif isinstance(records, list) and all(isinstance(r, dict) for r in records):
-                    found.append((at, "page", None, None, [json.dumps(r, ensure_ascii=False, allow_nan=False) for r in records]))
+                    found.append((at, "page", None, None, [_dumped(r) for r in records]))
                 else:
                     raise ValueError(f"no object with an array {array} of objects")
         except (ValueError, RecursionError) as exc:
@@ -142,6 +149,17 @@ def _documents(batches: Iterator[pa.RecordBatch], array: str) -> Iterator[pa.Rec
                                              names=["file", "at", "state", "reason", "raw", "records"])
 
 
+@contextlib.contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for a while."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _plain_path(file: str) -> str:
     """A path of ``_metadata.file_path`` as a reader takes it: decoded, nothing in it a pattern."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(file))
@@ -170,65 +188,88 @@ def ingest(spark: SparkSession, path, array: str, work_dir: str | None = None, o
     work = (work_dir or f"{shared_dir(spark)}/landed-json-{uuid.uuid4().hex}").rstrip("/")
 
     def stored(df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{work}/{name}")
+        # Records as they are: to infer columns for their fields takes longer than to parse them.
+        with _setting(spark, "spark.sql.variant.inferShreddingSchema", "false"):
+            df.write.mode("overwrite").parquet(f"{work}/{name}")
         return spark.read.schema(df.schema).parquet(f"{work}/{name}")
 
     def listed(fmt: str, at, **options) -> DataFrame:
-        return spark.read.options(recursiveFileLookup="true", **options).format(fmt).load(at)
-
-    text = F.regexp_replace(F.trim(F.col("value"), F.lit(" \t\r\n")), "^\ufeff", "")
-    lines = listed("text", path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), text.alias("raw")).where("raw <> ''")
+        # Few tasks list many paths each: a task for every file costs more than its look.
+        with _setting(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", str(4 * spark.sparkContext.defaultParallelism)):
+            return spark.read.options(recursiveFileLookup="true", **options).format(fmt).load(at)
+
+    def paths(files: list[str]) -> DataFrame:
+        return spark.createDataFrame(pa.table({"file": pa.array(files, pa.string())}))
+
+    landed = listed("text", path)       # the one listing of all files
+    trimmed = F.trim(F.col("value"), F.lit(" \t\r\n"))
+    text = F.when(trimmed.startswith("\ufeff"), F.substr(trimmed, F.lit(2))).otherwise(trimmed)
+    lines = landed.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"),
+                          F.col("_metadata.file_block_start").alias("at"), text.alias("raw"))
     # A line is parsed up to the end of its first value only, so what follows is looked for apart.
-    keys = F.regexp_count(F.col("raw"), F.lit(r'(?<!\\)"' + re.escape(array) + r'"\s*:'))
-    whole_line = F.col("raw").startswith("{") & F.col("raw").endswith("}") & (keys <= 1)
+    lines = lines.withColumn("keys", F.regexp_count(F.col("raw"), F.lit(r'"(?<!\\")' + re.escape(array) + r'"\s*:')))
+    whole_line = F.col("raw").startswith("{") & F.col("raw").endswith("}") & (F.col("keys") <= 1)
     page = F.when(whole_line, F.try_parse_json("raw"))
     records = F.try_variant_get(F.col("page"), f"$.{array}" if array.isidentifier() else f"$['{array}']", "array<variant>")
-    lines = lines.withColumn("page", page).withColumn("records", records).withColumn("keys", keys)
-    objects = F.forall("records", lambda r: F.try_variant_get(r, "$", "map<string,variant>").isNotNull())
-    state = (F.when(F.col("records").isNotNull() & objects, "page").when((F.col("keys") == 0) & F.col("page").isNotNull(), "bare").otherwise("odd"))
+    lines = lines.withColumn("page", page).withColumn("records", records)
+    # As an object without a field to build: that of every field as a variant costs more than the parsing.
+    objects = F.forall("records", lambda r: F.try_variant_get(r, "$", "struct<>").isNotNull())
+    state = (F.when(F.col("raw") == "", "blank").when(F.col("records").isNotNull() & objects, "page")
+             .when((F.col("keys") == 0) & F.col("page").isNotNull(), "bare").otherwise("odd"))
     lines = lines.withColumn("state", state)
-    lines = stored(lines.select("file", "at", "state", F.when(F.col("state") == "odd", F.col("raw")).alias("raw"),
-                                F.when(F.col("state") == "page", F.col("records")).alias("records")), "lines")
+    # A row per record, at least one per line: a reader's batch has rows of bounded size, and counts don't read the records.
+    # The text of odd lines is needed only where the file isn't read again.
+    raw = F.when((F.col("state") == "odd") & (F.col("bytes") > max_document_bytes), F.col("raw")).alias("raw")
+    lines = stored(lines.select("file", "bytes", "at", "state", raw,
+                                F.posexplode_outer(F.when(F.col("state") == "page", F.col("records"))).alias("pos", "record")), "lines")
 
     # Scans skip files of no bytes, the listing has them.
-    sizes = listed("binaryFile", path).select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"))
-    names = [(re.sub("^file:/+", "file:/", f),) for f in listed("text", path).inputFiles()]
-    files = spark.createDataFrame(names, "file string").join(sizes, "file", "left").select("file", F.coalesce("bytes", F.lit(0).cast("long")).alias("bytes"))
-    counted = lines.groupBy("file").agg(*[F.count(F.when(F.col("state") == s, 1)).alias(s) for s in ("page", "bare", "odd")],
-                                        F.sum(F.coalesce(F.size("records"), F.lit(0)) * (F.col("state") == "page").cast("int")).alias("n"))
+    files = paths([re.sub("^file:/+", "file:/", f) for f in landed.inputFiles()])
+    first = F.coalesce("pos", F.lit(0)) == 0
+    counted = lines.groupBy("file").agg(F.max("bytes").alias("bytes"), F.count("pos").alias("n"),
+                                        *[F.count(F.when((F.col("state") == s) & first, 1)).alias(s) for s in ("page", "bare", "odd")])
     counted = stored(files.join(counted, "file", "left"), "files")
+    silent = [r["file"] for r in counted.where("bytes is null").select("file").collect()]
+    sizes = spark.range(0).selectExpr("cast(id as string) as file", "id as length")
+    if silent:      # of no bytes, or compressed
+        sizes = listed("binaryFile", [_plain_path(f) for f in silent]).select(F.col("_metadata.file_path").alias("file"), "length")
     # Paths on the driver: no more than its listing of the folder holds anyway.
     odd = counted.where((F.col("odd") > 0) | ((F.col("page") == 0) & (F.col("bare") > 0))).where(F.col("bytes") <= max_document_bytes)
-    odd = [r["file"] for r in odd.select("file").collect()]
-    again = spark.createDataFrame([(f,) for f in odd], "file string")
+    odd = {r["file"]: r["n"] for r in odd.select("file", "n").collect()}
+    mixed = [f for f, n in odd.items() if n]
     if odd:
         whole = listed("text", [_plain_path(f) for f in odd], wholetext="true")
         documents = whole.select(F.col("_metadata.file_path").alias("file"), "value").mapInArrow(lambda b: _documents(b, array), _DOCUMENTS)
-        documents = documents.withColumn("records", F.transform("records", F.parse_json))
     else:
-        documents = spark.createDataFrame([], _DOCUMENTS).withColumn("records", F.transform("records", F.parse_json))
-    documents = stored(documents, "documents")
-
-    kept = lines.join(again, "file", "left_anti")
-    found = kept.select("file", "state", "records").unionByName(documents.select("file", "state", "records")).where("state = 'page'")
-    split = documents.groupBy("file").agg(*[F.count(F.when(F.col("state") == s, 1)).alias(f"d_{s}") for s in ("page", "bare", "unreadable")],
-                                          F.sum(F.size("records")).alias("d_n"))
+        documents = spark.createDataFrame([], _DOCUMENTS)
+    documents = documents.select("file", "at", "state", "reason", "raw", F.posexplode_outer("records").alias("pos", "record"))
+    documents = stored(documents.withColumn("record", F.parse_json("record")), "documents")
+
+    # Records of the lines of a file that is read again are dropped; few files have both.
+    kept = lines.where("pos is not null")
+    if mixed:
+        again = paths(mixed)
+        kept = kept.join(F.broadcast(again) if len(mixed) <= BROADCAST_PATHS else again, "file", "left_anti")
+    found = kept.select("file", "pos", "record").unionByName(documents.select("file", "pos", "record")).where("pos is not null")
+    split = documents.groupBy("file").agg(*[F.count(F.when((F.col("state") == s) & first, 1)).alias(f"d_{s}") for s in ("page", "bare", "unreadable")],
+                                          F.count("pos").alias("d_n"))
     as_document = F.col("d_page").isNotNull()
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    form = F.when(as_document, "document").when(F.col("page").isNotNull(), "lines").otherwise("empty")
+    form = F.when(as_document, "document").when(F.col("page") + F.col("bare") + F.col("odd") > 0, "lines").otherwise("empty")
     pages = F.when(as_document, zero("d_page") + zero("d_bare")).otherwise(zero("page") + zero("bare"))
     unreadable = F.when(as_document, zero("d_unreadable")).otherwise(zero("odd"))
     status = (F.when(F.col("form") == "empty", "empty").when(F.col("unreadable") == 0, "read")
               .when(F.col("pages") > 0, "partly").otherwise("unreadable"))
-    ledger = counted.join(split, "file", "left").select("file", "bytes", form.alias("form"), pages.alias("pages"),
+    size = F.coalesce("bytes", "length", F.lit(0).cast("long")).alias("bytes")
+    ledger = counted.join(split, "file", "left").join(sizes, "file", "left").select("file", size, form.alias("form"), pages.alias("pages"),
                                                         F.when(as_document, zero("d_n")).otherwise(zero("n")).cast("long").alias("records"), unreadable.alias("unreadable"))
     ledger = stored(ledger.withColumn("status", status), "ledger")
-    quarantine = stored(kept.where("state = 'odd'").select("file", "at", F.lit("line of a large file").alias("reason"), "raw")
+    quarantine = stored(lines.where("raw is not null").select("file", "at", F.lit("line of a large file").alias("reason"), "raw")
                         .unionByName(documents.where("state = 'unreadable'").select("file", "at", "reason", "raw")), "quarantine")
     lost = ledger.where("unreadable > 0").agg(F.count(F.lit(1)).alias("files"), F.sum("unreadable").alias("pages"), F.min("file").alias("first")).first()
     if lost["files"] and on_unreadable == "fail":
         raise UnreadablePages(f"{lost['pages']} unreadable pages in {lost['files']} files, such as {lost['first']}: see {work}/quarantine", work)
-    return Landed(found.select("file", F.explode("records").alias("record")), ledger, quarantine, work)
+    return Landed(found.select("file", "record"), ledger, quarantine, work)
 
 
 def _type_text(dtype: T.DataType) -> str:
@@ -265,7 +306,8 @@ def shaped(records: DataFrame, schema: T.StructType | None = None, column: str =
     schema = merged_schema(records, column) if schema is None else schema
     if not schema.fields:
         return records.select(F.lit(None).alias("none")).drop("none")
-    return records.select(F.try_variant_get(F.col(column), "$", _type_text(schema)).alias("_r")).select("_r.*")
+    # A generator's rows: a filter on them isn't pushed below it, where it would read the record again for each field it names.
+    return records.select(F.inline(F.array(F.try_variant_get(F.col(column), "$", _type_text(schema)))))
 
 
 def read_history_pages(spark: SparkSession, path: str, schema: T.StructType = HISTORY_PAGE, **options) -> DataFrame:
