@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from whlens.plans import roles
 from whlens.plans.exports import Params, run_exports
 from whlens.sources import json_pages as J
 from whlens.sources.files import TableSet
@@ -203,3 +204,15 @@ def test_filter_reads_a_record_once(spark):
     df = J.shaped(records, J.HISTORY_RECORD).where("user_id >= 0 and user_id < 5 and query_id <> 'x'").select("query_id", "user_id")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("variant_get(") == 1 and df.count() == 3
+
+
+def test_printed_pages_lie_in_one_folder(spark, tmp_out):
+    """A file for each printed page, and none of them in a folder of its own."""
+    events = spark.range(1000).selectExpr("id as event_id", "timestamp_ntz'2024-01-01 00:00:00' as ts", "id as user_id", "'view' as event_type", "1.5D as value")
+    documents = spark.range(5).selectExpr("id as doc_id", "concat('text ', id) as text")
+    roles.land_history_pages({"events": events, "documents": documents}, f"{tmp_out}/l", cut=True)
+    assert [e.name for e in os.scandir(f"{tmp_out}/l/documents") if e.is_dir()] == []
+    got = J.ingest(spark, f"{tmp_out}/l", "res", on_unreadable="quarantine")
+    forms = sorted((r.form, r.pages, r.records, r.unreadable, r.status) for r in got.ledger.where("form = 'document'").collect())
+    assert forms == [("document", 0, 0, 1, "unreadable")] * 2 + [("document", 1, 100, 0, "read")] * 2
+    assert len(rows(got)) == 800

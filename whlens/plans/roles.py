@@ -142,7 +142,9 @@ def land_history_pages(t: Tables, path: str, cut: bool = False) -> None:
     whole = F.when((c("page") % 5 == 4) & F.lit(cut), F.expr("left(text, cast(length(text) * 2 / 3 as int))")).otherwise(c("text"))
     pages = pages.select("page", text.alias("text"), own_file.alias("own")).select("page", whole.alias("text"), "own")
     pages.where(~c("own")).select("text").write.text(f"{path}/lines")
-    pages.where("own").select("page", "text").repartition("page").write.partitionBy("page").text(f"{path}/documents")
+    # Each in a file of its own, all in one folder, moved there by the tasks.
+    (pages.where("own").select("text").write.option("maxRecordsPerFile", 1)
+     .option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(f"{path}/documents"))
 
 
 # --- Redshift ------------------------------------------------------------------
