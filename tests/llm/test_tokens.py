@@ -36,6 +36,36 @@ def test_words_one_by_one_give_the_librarys_ids(library, monkeypatch):
     assert coder.encode(None).tolist() == [2]
 
 
+def test_each_stem_and_run_of_marks_is_encoded_once(library):
+    coder = tokens.WordEncoder(tokens.default_tokenizer())
+    texts = ["Élan élan, ÉLAN!! a1", None, "", "lan. Élan,\nLAN!! " + "y" * 60 + "! \x00"]
+    for _ in range(2):
+        assert [x.tolist() for x in coder.encode_all(texts)] == [ids(library, t) for t in texts]
+        # No word put together from both is remembered, nor a long one.
+        assert set(coder.known) == {"", "élan", "lan", ",", "!!", ".", "!", "a1", "\x00"}
+    places = coder.places
+    coder.encode_all(texts[:3])
+    assert coder.places == places
+    assert coder.encode_all([]) == []
+
+
+def test_a_model_without_ends_of_words_is_asked_word_by_word(library):
+    coder = tokens.WordEncoder(tokens.default_tokenizer())
+    coder.is_last[:] = False
+    assert coder.encode("Some words, été").tolist() == ids(library, "Some words, été")
+
+
+def test_batches_are_cut_by_the_bytes_of_their_texts(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 10)
+    texts = ["a" * 4, None, "b" * 5, "c" * 35, "", "d", "é" * 4, "e" * 9]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts)], names=["doc_id", "text"])
+    cut = list(tokens.text_slices(iter([batch, batch.slice(0, 0), batch.slice(4)])))
+    assert [t for b in cut for t in b.column(1).to_pylist()] == texts + texts[4:]
+    assert all(b.num_rows == 1 or sum(len((t or "").encode()) for t in b.column(1).to_pylist()[1:]) < 10 for b in cut)
+    assert len(cut) > 3
+
+
 @pytest.mark.parametrize("max_bits", [4, 7, 16])
 def test_code_lengths_are_optimal_and_limited(max_bits):
     rng = np.random.default_rng(max_bits)
