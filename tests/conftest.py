@@ -26,3 +26,12 @@ def spark():
 @pytest.fixture()
 def tmp_out():
     return tempfile.mkdtemp(prefix="whlens-test-")
+
+
+@pytest.fixture(scope="module", autouse=True)
+def own_stats_database():
+    """Two modules make a database of this name and count what is in it: none sees the other's tables."""
+    yield
+    from pyspark.sql import SparkSession
+    if session := SparkSession.getActiveSession():
+        session.sql("drop database if exists whl_stats cascade")
